@@ -30,7 +30,11 @@ def from_epoch_seconds(ts: Column | str) -> Column:
 
 
 def to_epoch_millis(ts: Column | str) -> Column:
-    return F.timestamp_diff("MILLISECOND", _epoch(), _col(ts))
+    """A zone-free timestamp to epoch milliseconds, finer digits cut off."""
+    ts = _col(ts)
+    day = F.unix_date(F.to_date(ts)).cast("bigint") * 86_400_000
+    clock = F.hour(ts) * 3_600_000 + F.minute(ts) * 60_000
+    return day + clock + F.floor(F.extract(F.lit("SECONDS"), ts) * 1000)
 
 
 def weekday(start: Column | str, style: str = "name") -> Column:

@@ -10,7 +10,8 @@ one costs its running tasks only.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from loomstar.operators.dimensions import (
 from loomstar.operators.facts import catalogue, songplays, with_start_time
 from loomstar.operators.filters import plays
 from loomstar.operators.quality import assert_checks, has_rows_checks, run_checks
-from loomstar.schemas import ARTISTS, EVENT, SONG, SONGPLAYS, SONGS, STAR, STAR_KEYS, TIME, USERS
+from loomstar.plans.steps import together
+from loomstar.schemas import ARTISTS, EVENT, SONG, SONGPLAYS, SONGS, STAR_KEYS, TIME, USERS
 from loomstar.sinks.tables import (
     append, exists, insert_by_name, insert_by_position, insert_if_absent, load_dimension,
     overwrite, overwrite_partitions, reset_tables, write_table,
@@ -43,8 +45,12 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, f"{out}/{name}") for name in STAR}
+def _stored(out: str, written: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables as stored; their schemas are known, so empty ones read back too."""
+    return {
+        name: read_table(df.sparkSession, f"{out}/{name}", df.schema)
+        for name, df in written.items()
+    }
 
 
 def star_first_wins(
@@ -54,8 +60,10 @@ def star_first_wins(
 
     Runs of the same files leave the dimensions as they are; plays are appended.
     """
-    songs = _staged(read_json_tree(spark, f"{root}/song_data", SONG), f"{out}/staging_songs")
-    events = _staged(read_json_tree(spark, f"{root}/log_data", EVENT), f"{out}/staging_events")
+    songs, events = together(
+        lambda: _staged(read_json_tree(spark, f"{root}/song_data", SONG), f"{out}/staging_songs"),
+        lambda: _staged(read_json_tree(spark, f"{root}/log_data", EVENT), f"{out}/staging_events"),
+    )
     played = with_start_time(plays(events, page), "ms")
 
     dims = {
@@ -64,8 +72,10 @@ def star_first_wins(
         "users": users_dim(played, "first"),
         "time": time_dim(played, weekday_style="name"),
     }
-    for name, dim in dims.items():
-        insert_if_absent(dim, f"{out}/{name}", STAR_KEYS[name])
+    together(*[
+        partial(insert_if_absent, dim, f"{out}/{name}", STAR_KEYS[name])
+        for name, dim in dims.items()
+    ])
 
     known = catalogue(
         read_table(spark, f"{out}/songs", SONGS), read_table(spark, f"{out}/artists", ARTISTS)
@@ -75,36 +85,36 @@ def star_first_wins(
     if exists(spark, target):
         last = read_table(spark, target).agg(F.max("songplay_id")).first()[0]
         start = 0 if last is None else last + 1
-    append(surrogate_id(fact, start=start).select(*_NUMBERED), target)
-    return _tables(spark, out)
+    numbered = surrogate_id(fact, start=start).select(*_NUMBERED)
+    append(numbered, target)
+    return _stored(out, {**dims, "songplays": numbered})
 
 
 def star_distinct(
     spark: SparkSession, root: str, out: str, page: str = "NextSong"
 ) -> dict[str, DataFrame]:
     """Typed staging, distinct dimensions, distinct facts matched on title and artist."""
-    songs = _staged(
-        stage_auto(read_json_tree(spark, f"{root}/song_data", SONG), SONG), f"{out}/staging_songs"
-    )
-    events = _staged(
-        stage(read_json_tree(spark, f"{root}/log_data", EVENT), EVENT_MAPPING),
-        f"{out}/staging_events",
+    raw_songs = read_json_tree(spark, f"{root}/song_data", SONG)
+    raw_events = read_json_tree(spark, f"{root}/log_data", EVENT)
+    songs, events = together(
+        lambda: _staged(stage_auto(raw_songs, SONG), f"{out}/staging_songs"),
+        lambda: _staged(stage(raw_events, EVENT_MAPPING), f"{out}/staging_events"),
     )
     played = plays(events, page).withColumnsRenamed({**EVENT_STAGE, "ts": "start_time"})
 
-    dims = {"users": USERS, "songs": SONGS, "artists": ARTISTS, "time": TIME}
-    reset_tables(spark, out, dims)
-    rows = {
-        "users": users_dim(played),
-        "songs": songs_dim(songs),
-        "artists": artists_dim(songs),
-        "time": time_dim(played, weekday_style="sunday0"),
+    schemas = {"users": USERS, "songs": SONGS, "artists": ARTISTS, "time": TIME}
+    reset_tables(spark, out, schemas)
+    dims = {
+        "users": insert_by_name(users_dim(played), USERS),
+        "songs": insert_by_name(songs_dim(songs), SONGS),
+        "artists": insert_by_name(artists_dim(songs), ARTISTS),
+        "time": insert_by_name(time_dim(played, weekday_style="sunday0"), TIME),
     }
-    for name, schema in dims.items():
-        append(insert_by_name(rows[name], schema), f"{out}/{name}")
+    together(*[partial(append, dim, f"{out}/{name}") for name, dim in dims.items()])
     fact = songplays(played, songs, how="inner", keys=2, distinct=True)
-    overwrite(surrogate_id(fact).select(*_NUMBERED), f"{out}/songplays")
-    return _tables(spark, out)
+    numbered = surrogate_id(fact).select(*_NUMBERED)
+    overwrite(numbered, f"{out}/songplays")
+    return _stored(out, {**dims, "songplays": numbered})
 
 
 def star_lake(
@@ -120,16 +130,22 @@ def star_lake(
     folder per artist and year; for a catalogue with many artists pass
     songs_by=["year"].
     """
-    songs = _staged(read_songs(spark, root), f"{out}/staging_songs")
-    write_table(songs_dim(songs), f"{out}/songs", partition_by=songs_by)
-    write_table(artists_dim(songs), f"{out}/artists")
-
-    events = _staged(read_events(spark, root), f"{out}/staging_events")
-    played = with_start_time(plays(events, page), "s")
-    write_table(users_dim(played), f"{out}/users")
-    write_table(
-        time_dim(played, weekday_style="short"), f"{out}/time", partition_by=["year", "month"]
+    songs, events = together(
+        lambda: _staged(read_songs(spark, root), f"{out}/staging_songs"),
+        lambda: _staged(read_events(spark, root), f"{out}/staging_events"),
     )
+    played = with_start_time(plays(events, page), "s")
+    dims = {
+        "songs": songs_dim(songs),
+        "artists": artists_dim(songs),
+        "users": users_dim(played),
+        "time": time_dim(played, weekday_style="short"),
+    }
+    folders = {"songs": songs_by, "time": ["year", "month"]}
+    together(*[
+        partial(write_table, dim, f"{out}/{name}", partition_by=folders.get(name, ()))
+        for name, dim in dims.items()
+    ])
 
     known = catalogue(
         read_table(spark, f"{out}/songs", SONGS), read_table(spark, f"{out}/artists", ARTISTS)
@@ -139,7 +155,7 @@ def star_lake(
         *_NUMBERED, F.year("start_time").alias("year"), F.month("start_time").alias("month")
     )
     write_table(dated, f"{out}/songplays", partition_by=["year", "month"])
-    return _tables(spark, out)
+    return _stored(out, {**dims, "songplays": dated})
 
 
 def star_daily(
@@ -163,10 +179,10 @@ def star_daily(
         if run_date is None
         else read_events_for(spark, root, run_date, layout)
     )
-    events = _staged(stage(raw, WHOLE_EVENTS), f"{out}/staging_events")
-    songs = _staged(
-        stage(read_json_tree(spark, f"{root}/song_data", SONG), WHOLE_SONGS),
-        f"{out}/staging_songs",
+    raw_songs = read_json_tree(spark, f"{root}/song_data", SONG)
+    events, songs = together(
+        lambda: _staged(stage(raw, WHOLE_EVENTS), f"{out}/staging_events"),
+        lambda: _staged(stage(raw_songs, WHOLE_SONGS), f"{out}/staging_songs"),
     )
     played = with_start_time(plays(events, page), "s")
 
@@ -178,13 +194,15 @@ def star_daily(
     write = append if append_fact else overwrite_partitions
     write(dated, f"{out}/songplays", ["event_date"])
 
-    stored = read_table(spark, f"{out}/songplays")
-    load_dimension(users_dim(played), f"{out}/users")
-    load_dimension(songs_dim(songs), f"{out}/songs")
-    load_dimension(artists_dim(songs), f"{out}/artists")
-    load_dimension(time_dim_from_fact(stored), f"{out}/time")
+    dims = {
+        "users": users_dim(played),
+        "songs": songs_dim(songs),
+        "artists": artists_dim(songs),
+        "time": time_dim_from_fact(read_table(spark, f"{out}/songplays", dated.schema)),
+    }
+    together(*[partial(load_dimension, dim, f"{out}/{name}") for name, dim in dims.items()])
 
-    tables = _tables(spark, out)
+    tables = _stored(out, {**dims, "songplays": dated})
     checked = {"staging_events": events, "staging_songs": songs, **tables}
     assert_checks(run_checks(spark, has_rows_checks(checked)))
     return tables

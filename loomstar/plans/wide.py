@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from loomstar.operators.filters import non_empty, project_play11
 from loomstar.operators.lookups import (
     song_data_by_session, song_data_by_user_and_session, user_data_by_song,
 )
+from loomstar.plans.steps import together
 from loomstar.sinks.tables import upsert, write_csv
 from loomstar.sources.files import read_events_csv, read_plays_csv, read_table
 
@@ -31,8 +34,14 @@ def wide_tables(spark: SparkSession, root: str, out: str) -> dict[str, DataFrame
     groups; a stored one is merged with the plays, which win.
     """
     merged = f"{out}/plays_csv"
-    write_csv(project_play11(non_empty(read_events_csv(spark, root), "artist")), merged, mode="overwrite")
+    played = non_empty(read_events_csv(spark, root), "artist")
+    write_csv(project_play11(played), merged, mode="overwrite")
     plays = read_plays_csv(spark, merged)
-    for name, (dist, sort) in PLACEMENT.items():
-        upsert(_BUILD[name](plays), f"{out}/{name}", [*dist, *sort], dist=dist, sort=[*dist, *sort])
+
+    def load(name: str) -> None:
+        dist, sort = PLACEMENT[name]
+        key = [*dist, *sort]
+        upsert(_BUILD[name](plays), f"{out}/{name}", key, dist=dist, sort=key)
+
+    together(*[partial(load, name) for name in PLACEMENT])
     return {name: read_table(spark, f"{out}/{name}") for name in PLACEMENT}

@@ -59,8 +59,12 @@ def save_bucketed(
     sort: Sequence[str] = (),
     mode: str = "errorifexists",
 ) -> None:
-    """Save a catalog table hashed into buckets, so joins on `by` need no shuffle."""
-    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, *by)
+    """Save a catalog table hashed into buckets, so joins on `by` need no shuffle.
+
+    A join reads each bucket in one task.  Where one value of `by` holds a
+    large share of the rows use `layout`, whose reads and joins can be split.
+    """
+    writer = layout(df, by).write.mode(mode).format("parquet").bucketBy(buckets, *by)
     (writer.sortBy(*sort) if sort else writer).saveAsTable(table)
 
 
@@ -234,4 +238,5 @@ def insert_by_position(df: DataFrame, schema: StructType) -> DataFrame:
 def reset_tables(spark: SparkSession, root: str, schemas: Mapping[str, StructType]) -> None:
     """Drop every named table below `root` and create it empty."""
     for name, schema in schemas.items():
-        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}")
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        spark.range(0).select(*columns).coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}")
