@@ -39,6 +39,16 @@ def hot_keys(
     return counts.orderBy(F.desc("_n"), *keys).limit(at_most).select(*keys)
 
 
+def equal_nulls(columns: Sequence[str]) -> Column:
+    """Equality of `c` and `_c` for all columns, null equal to null."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+
+
+def prefixed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns alone, each `c` renamed to `_c`."""
+    return df.select(*[F.col(c).alias(f"_{c}") for c in columns])
+
+
 def lookup_join(
     facts: DataFrame,
     unique: DataFrame,
@@ -49,25 +59,22 @@ def lookup_join(
     """Left join of `facts` to `unique`, which has at most one row per key.
 
     While `unique` measures under `broadcast_bytes` it is broadcast and no fact
-    row moves.  Beyond that the facts shuffle on their key, except those that
-    would pile up in one task: rows of a hot key, whose few lookup rows are
-    broadcast, and rows with a null key, which cannot match.  A hash join on an
-    aggregated side gives AQE no exchange to split, so this is done here.
+    row moves.  Beyond that the facts shuffle on their key, except the rows of
+    hot keys, null ones among them, which would pile up in one task: their
+    lookup rows are as few as the keys and are broadcast instead.  AQE cannot
+    be left to split them: a side that an aggregate has already partitioned by
+    the key joins without an exchange of its own.
     """
     keys = list(keys)
     if measured_bytes(unique) <= broadcast_bytes:
         return facts.join(F.broadcast(unique), keys, "left")
 
-    no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    keyed, unmatched = facts.filter(no_null), facts.filter(~no_null)
     scratch_root(facts.sparkSession)
-    hot = hot_keys(keyed, keys, hot_rows).checkpoint()  # at most MAX_HOT_KEYS rows
-    parts = []
-    if not hot.isEmpty():
-        hot = F.broadcast(hot)
-        hot_lookup = F.broadcast(unique.join(hot, keys, "left_semi"))
-        parts.append(keyed.join(hot, keys, "left_semi").join(hot_lookup, keys, "left"))
-        keyed = keyed.join(hot, keys, "left_anti")
-    parts.append(keyed.join(unique, keys, "left"))
-    parts.append(unmatched)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    hot = hot_keys(facts, keys, hot_rows).checkpoint()  # at most MAX_HOT_KEYS rows
+    if hot.isEmpty():
+        return facts.join(unique, keys, "left")
+    marked, same = F.broadcast(prefixed(hot, keys)), equal_nulls(keys)
+    hot_lookup = F.broadcast(unique.join(F.broadcast(hot), keys, "left_semi"))
+    ordinary = facts.join(marked, same, "left_anti").join(unique, keys, "left")
+    piled = facts.join(marked, same, "left_semi").join(hot_lookup, keys, "left")
+    return ordinary.unionByName(piled)

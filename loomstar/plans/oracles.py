@@ -350,6 +350,15 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.d
   SELECT s.song_id, s.artist_id, title, name AS artist_name, duration
   FROM song s JOIN artists_first a ON s.artist_id = a.artist_id
   QUALIFY row_number() OVER (PARTITION BY title, name, duration ORDER BY song_id) = 1) {_ON3}""",
+    "star_first_wins_rerun": _with(_LOG, _PLAYS)
+    + "\nUNION ALL ".join([
+        _count("songs", "part"),
+        _count("artists", "(SELECT DISTINCT p_brand FROM part)"),
+        _count("users", "(SELECT DISTINCT user_id FROM plays)"),
+        _count("time", "(SELECT DISTINCT at_ms FROM plays)"),
+        "SELECT 'songplays' AS table_name, 2 * count(*) AS row_count FROM plays",
+        "SELECT 'repeated_ids' AS table_name, CAST(0 AS BIGINT) AS row_count",
+    ]),
     "star_distinct": _with(*_BASE, _ARTISTS, f"fact AS ({_DISTINCT_FACT})")
     + _TOP_SONGS.format(counted="*", artists="artists"),
     "star_lake": _with(*_BASE, _ARTISTS)

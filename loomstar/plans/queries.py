@@ -637,6 +637,16 @@ def star_first_wins(spark, sf_dir):
     return tables["songplays"].drop("songplay_id")
 
 
+@query
+def star_first_wins_rerun(spark, sf_dir):
+    """Table sizes after two runs: dimensions as after one, plays appended twice."""
+    root, out = export_monthly(spark, sf_dir), _out(spark)
+    for _ in range(2):
+        tables = star.star_first_wins(spark, root, out, PLAY)
+    numbered = op.pk_violations(tables["songplays"], ["songplay_id"])
+    return op.row_counts({**tables, "repeated_ids": numbered})
+
+
 @query
 def star_distinct(spark, sf_dir):
     tables = star.star_distinct(spark, export_monthly(spark, sf_dir), _out(spark), PLAY)

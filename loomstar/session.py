@@ -19,10 +19,28 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
 
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Task sizes for a run over `input_bytes` on `cores`, as settings.
+
+    Shuffle partitions start near 256 MB, at least two per core, and AQE merges
+    what turns out small; their number is capped, as every one is a block per
+    map task.  Scan tasks grow from 128 MB to 1 GB where the input would
+    otherwise make more than a hundred of them per core.
+    """
+    mib = 1 << 20
+    partitions = min(max(input_bytes // (256 * mib), 2 * cores), 40_000)
+    scan = min(max(input_bytes // (100 * cores), 128 * mib), 1024 * mib)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }
+
+
 def build_session(app_name: str = "loomstar", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; `conf` overrides them.
 

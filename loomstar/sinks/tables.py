@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomstar.operators.dedup import pick_per_key
+from loomstar.operators.skew import equal_nulls, prefixed
 from loomstar.session import scratch_root
 
 
@@ -121,15 +122,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _equal_nulls(columns: Sequence[str]) -> Column:
-    """Equality of `c` and `_c` for all columns, null equal to null."""
-    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
-
-
-def _prefixed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"_{c}") for c in columns])
-
-
 def within(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of `target` between the smallest and largest values in `source`, and nulls.
 
@@ -148,7 +140,7 @@ def within(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> Data
 
 def absent(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `source` whose key `target` lacks; null keys compare as equal."""
-    return source.join(_prefixed(target, keys), _equal_nulls(keys), "left_anti")
+    return source.join(prefixed(target, keys), equal_nulls(keys), "left_anti")
 
 
 def insert_if_absent(
@@ -202,9 +194,9 @@ def upsert(
         return
     stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     if partition_by:
-        touched = _prefixed(df, partition_by).distinct()
+        touched = prefixed(df, partition_by).distinct()
         affected = within(stored, df, partition_by).join(
-            touched, _equal_nulls(partition_by), "left_semi"
+            touched, equal_nulls(partition_by), "left_semi"
         )
         overwrite_partitions(merged(df, affected, keys, order_by), path, partition_by, sort)
     else:

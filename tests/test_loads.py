@@ -102,3 +102,12 @@ def test_scratch_paths_lie_in_the_named_folder(spark):
     assert first != second and first.startswith(root)
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or root == named
+
+
+def test_task_sizes_follow_the_input_and_the_cluster():
+    tb = 1 << 40
+    small, large = session.sizing(10 << 30, 64), session.sizing(100 * tb, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "128"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+    assert large["spark.sql.shuffle.partitions"] == "40000"
+    assert 128 << 20 < int(large["spark.sql.files.maxPartitionBytes"]) <= 1 << 30
