@@ -35,8 +35,12 @@ def query(f: Query) -> Query:
     return f
 
 
-def _plays(spark: SparkSession, sf_dir: str, precision: str = "ms", names: bool = False) -> DataFrame:
-    return op.with_start_time(op.plays(event_log(spark, sf_dir, names), PLAY), precision)
+def _plays(spark: SparkSession, sf_dir: str, precision: str = "ms", **parts: bool) -> DataFrame:
+    return op.with_start_time(op.plays(event_log(spark, sf_dir, **parts), PLAY), precision)
+
+
+def _log_times(spark: SparkSession, sf_dir: str, precision: str = "ms") -> DataFrame:
+    return _plays(spark, sf_dir, precision, users=False, songs=False)
 
 
 def _all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -54,7 +58,7 @@ def plays_filter(spark, sf_dir):
 
 @query
 def non_empty_filter(spark, sf_dir):
-    return op.non_empty(event_log(spark, sf_dir), "artist").select(
+    return op.non_empty(event_log(spark, sf_dir, users=False), "artist").select(
         "sessionId", "itemInSession", "artist", "song"
     )
 
@@ -83,7 +87,8 @@ def numeric_casts(spark, sf_dir):
 @query
 def missing_values(spark, sf_dir):
     """Blank text and absent measures as nulls, counted per page."""
-    log = event_log(spark, sf_dir).withColumn("artist", fn.blank_to_null("artist"))
+    log = event_log(spark, sf_dir, users=False)
+    log = log.withColumn("artist", fn.blank_to_null("artist"))
     return log.groupBy("page").agg(
         F.count("*").alias("n"), F.count("artist").alias("n_artist"), F.count("length").alias("n_length")
     )
@@ -93,7 +98,7 @@ def missing_values(spark, sf_dir):
 
 
 def _users(spark, sf_dir, dedup):
-    return op.users_dim(_plays(spark, sf_dir, names=True), dedup)
+    return op.users_dim(_plays(spark, sf_dir, songs=False, names=True), dedup)
 
 
 @query
@@ -128,17 +133,18 @@ def artists_dim_first(spark, sf_dir):
 
 @query
 def time_dim_fullname(spark, sf_dir):
-    return op.time_dim(_plays(spark, sf_dir), weekday_style="name")
+    return op.time_dim(_log_times(spark, sf_dir), weekday_style="name")
 
 
 @query
 def time_dim_short(spark, sf_dir):
-    return op.time_dim(_plays(spark, sf_dir, "s"), weekday_style="short")
+    return op.time_dim(_log_times(spark, sf_dir, "s"), weekday_style="short")
 
 
 @query
 def time_dim_sunday0(spark, sf_dir):
-    staged = sources.stage(event_log(spark, sf_dir), sources.EVENT_MAPPING)
+    log = event_log(spark, sf_dir, users=False, songs=False)
+    staged = sources.stage(log, sources.EVENT_MAPPING)
     return op.time_dim(op.plays(staged, PLAY), "ts", "sunday0")
 
 
@@ -165,7 +171,8 @@ def time_scalars(spark, sf_dir):
 
 @query
 def time_from_fact_dups(spark, sf_dir):
-    fact = op.songplays(_plays(spark, sf_dir, "s"), song_records(spark, sf_dir), how="inner", keys=2)
+    plays = _plays(spark, sf_dir, "s", users=False)
+    fact = op.songplays(plays, song_records(spark, sf_dir), how="inner", keys=2)
     return op.time_dim_from_fact(fact)
 
 
@@ -233,7 +240,9 @@ def fact_partition_cols(spark, sf_dir):
 
 @query
 def surrogate_id(spark, sf_dir):
-    fact = op.songplays(_plays(spark, sf_dir), song_records(spark, sf_dir), how="inner", keys=2)
+    fact = op.songplays(
+        _plays(spark, sf_dir, users=False), song_records(spark, sf_dir), how="inner", keys=2
+    )
     return fn.surrogate_id(fact).agg(
         F.count("*").alias("n_rows"), F.count_distinct("songplay_id").alias("n_ids")
     )
@@ -241,7 +250,9 @@ def surrogate_id(spark, sf_dir):
 
 @query
 def dense_id(spark, sf_dir):
-    fact = op.songplays(_plays(spark, sf_dir), song_records(spark, sf_dir), how="inner", keys=2)
+    fact = op.songplays(
+        _plays(spark, sf_dir, users=False), song_records(spark, sf_dir), how="inner", keys=2
+    )
     return fn.dense_id(fact, start=1).agg(
         F.count_distinct("songplay_id").alias("n_ids"),
         F.min("songplay_id").alias("first_id"),
@@ -252,8 +263,9 @@ def dense_id(spark, sf_dir):
 # Reports
 
 
-def _fact_with_key(spark, sf_dir):
-    return keyed_plays(event_log(spark, sf_dir), song_records(spark, sf_dir), PLAY, how="inner", keys=2)
+def _fact_with_key(spark, sf_dir, users=False):
+    log = event_log(spark, sf_dir, users)
+    return keyed_plays(log, song_records(spark, sf_dir), PLAY, how="inner", keys=2)
 
 
 @query
@@ -264,22 +276,22 @@ def top_artists_all(spark, sf_dir):
 
 @query
 def plays_by_weekday_hour(spark, sf_dir):
-    played = _plays(spark, sf_dir)
+    played = _plays(spark, sf_dir, users=False)
     fact = op.songplays(played, song_records(spark, sf_dir), match="first")
-    return op.plays_by_weekday_hour(fact, op.time_dim(played))
+    return op.plays_by_weekday_hour(fact, op.time_dim(_log_times(spark, sf_dir)))
 
 
 @query
 def top_users(spark, sf_dir):
-    users = op.users_dim(_plays(spark, sf_dir, names=True), "first")
-    return op.top_users(_fact_with_key(spark, sf_dir), users)
+    users = op.users_dim(_plays(spark, sf_dir, songs=False, names=True), "first")
+    return op.top_users(_fact_with_key(spark, sf_dir, users=True), users)
 
 
 @query
 def top_users_distinct_rows(spark, sf_dir):
     """With whole-row users: one who changed level counts once per level."""
-    users = op.users_dim(_plays(spark, sf_dir, names=True), "row")
-    return op.top_users(_fact_with_key(spark, sf_dir), users)
+    users = op.users_dim(_plays(spark, sf_dir, songs=False, names=True), "row")
+    return op.top_users(_fact_with_key(spark, sf_dir, users=True), users)
 
 
 @query
@@ -300,7 +312,7 @@ def top_songs(spark, sf_dir):
 
 @query
 def song_data_by_session(spark, sf_dir):
-    return op.song_data_by_session(_plays(spark, sf_dir)).withColumn(
+    return op.song_data_by_session(_plays(spark, sf_dir, users=False)).withColumn(
         "length", F.round(F.col("length").cast("double"), 2)
     )
 
@@ -317,7 +329,7 @@ def user_data_by_song(spark, sf_dir):
 
 @query
 def lookup_session_item(spark, sf_dir):
-    found = op.q_session_item(op.song_data_by_session(_plays(spark, sf_dir)), 14, 6)
+    found = op.q_session_item(op.song_data_by_session(_plays(spark, sf_dir, users=False)), 14, 6)
     return found.withColumn("length", F.round(F.col("length").cast("double"), 2))
 
 
@@ -390,7 +402,7 @@ def overwrite_dim(spark, sf_dir):
 @query
 def load_dimension_append(spark, sf_dir):
     path = scratch_path(spark, "dimension")
-    users = op.users_dim(_plays(spark, sf_dir, names=True))
+    users = op.users_dim(_plays(spark, sf_dir, songs=False, names=True))
     for truncate in (True, False):
         sinks.load_dimension(users, path, truncate)
     return spark.read.parquet(path)
@@ -414,7 +426,7 @@ def insert_by_position(spark, sf_dir):
 def reset_tables(spark, sf_dir):
     """Fill the user dimension, reset the star, count what is left, fill it again."""
     root = scratch_path(spark, "reset")
-    users = op.users_dim(_plays(spark, sf_dir, names=True))
+    users = op.users_dim(_plays(spark, sf_dir, songs=False, names=True))
     sinks.append(users, f"{root}/users")
     sinks.reset_tables(spark, root, STAR)
     empty = op.row_counts({name: spark.read.parquet(f"{root}/{name}") for name in STAR})
@@ -490,7 +502,7 @@ def json_songs_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "songs")
     songs = song_records(spark, sf_dir)
     songs.withColumns({
-        "a": F.col("artist_location"), "b": F.col("year"), "c": F.substring("song_id", 1, 1)
+        "a": F.col("artist_location"), "b": F.col("year"), "c": F.col("num_songs")
     }).write.partitionBy("a", "b", "c").json(f"{root}/song_data")
     return sources.read_songs(spark, root)
 
@@ -589,7 +601,8 @@ def row_counts(spark, sf_dir):
 def quality_report(spark, sf_dir):
     """Has-rows checks on all tables, and checks that fail in each possible way."""
     tables = _all_tables(spark, sf_dir)
-    lines, docs, log = tables["lineitem"], tables["documents"], event_log(spark, sf_dir)
+    lines, docs = tables["lineitem"], tables["documents"]
+    log = event_log(spark, sf_dir, users=False)
     repeated = op.pk_violations(lines, LINE_KEY)
     checks = {
         **op.has_rows_checks(tables),

@@ -46,38 +46,63 @@ def song_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFrame:
-    """EVENT records, one per line item; `names` fills in the customer's."""
-    item, part = F.col("l_returnflag"), F.col("p_partkey")
-    log = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == part)
-    )
+def event_log(
+    spark: SparkSession, sf_dir: str, users: bool = True, songs: bool = True, names: bool = False
+) -> DataFrame:
+    """EVENT records, one per line item.
+
+    Each flag joins the table behind some fields, which stay null without it:
+    `users` the order, `songs` the part, `names` the customer as well.
+    """
+    log = table(spark, sf_dir, "lineitem")
+    if users or names:
+        orders = table(spark, sf_dir, "orders")
+        log = log.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if names:
         log = log.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    spelled = F.when(F.col("l_linestatus") == "F", F.upper("p_brand")).otherwise(F.col("p_brand"))
+    if songs:
+        log = log.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+
+    page = F.col("l_returnflag")
+    at = to_epoch_millis("l_shipdate") + F.col("l_linenumber") * 3_600_000 + F.col("l_suppkey")
     fields = {
-        "artist": F.when(item == PLAY, spelled).when(item == "A", F.lit("")),
         "auth": F.lit("Logged In"),
-        "firstName": F.col("c_mktsegment") if names else F.lit(None).cast("string"),
-        "gender": F.col("o_orderstatus"),
         "itemInSession": F.col("l_linenumber"),
-        "lastName": F.col("c_name") if names else F.lit(None).cast("string"),
-        "length": F.when(item == PLAY, F.col("p_size") + F.col("l_discount")),
-        "level": F.col("o_orderpriority"),
         "location": F.col("l_linestatus"),
         "method": F.lit("PUT"),
-        "page": item,
-        "registration": F.col("o_totalprice"),
+        "page": page,
         "sessionId": F.col("l_orderkey"),
-        "song": F.when(item == PLAY, _title(F.floor(part / 8))).when(item == "A", F.lit("")),
         "status": F.lit(200),
-        "ts": to_epoch_millis("l_shipdate") + F.col("l_linenumber") * 3_600_000 + F.col("l_suppkey"),
-        "userAgent": F.concat(F.lit('"agent '), F.col("p_brand"), F.lit('"')),
-        "userId": F.col("o_custkey").cast("string"),
+        "ts": at,
     }
-    return log.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in EVENT.fields])
+    if users or names:
+        fields |= {
+            "gender": F.col("o_orderstatus"),
+            "level": F.col("o_orderpriority"),
+            "registration": F.col("o_totalprice"),
+            "userId": F.col("o_custkey").cast("string"),
+        }
+    if names:
+        fields |= {"firstName": F.col("c_mktsegment"), "lastName": F.col("c_name")}
+    if songs:
+        spelled = F.when(F.col("l_linestatus") == "F", F.upper("p_brand"))
+        title = _title(F.floor(F.col("p_partkey") / 8))
+        fields |= {
+            "artist": F.when(page == PLAY, spelled.otherwise(F.col("p_brand"))).when(
+                page == "A", F.lit("")
+            ),
+            "length": F.when(page == PLAY, F.col("p_size") + F.col("l_discount")),
+            "song": F.when(page == PLAY, title).when(page == "A", F.lit("")),
+            "userAgent": F.concat(F.lit('"agent '), F.col("p_brand"), F.lit('"')),
+        }
+    return _records(log, fields)
+
+
+def _records(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """EVENT records of the given fields, the others null."""
+    return df.select(*[
+        fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT.fields
+    ])
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,14 +120,12 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts": to_epoch_millis("ts"),
         "userId": F.col("user_id").cast("string"),
     }
-    return table(spark, sf_dir, "events").select(*[
-        fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT.fields
-    ])
+    return _records(table(spark, sf_dir, "events"), fields)
 
 
 def export_songs(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write the catalogue as JSON, three directory levels below song_data/."""
-    levels = {"a": F.col("artist_location"), "b": F.col("year"), "c": F.substring("artist_id", 1, 3)}
+    levels = {"a": F.col("artist_location"), "b": F.col("year"), "c": F.col("num_songs")}
     songs = song_records(spark, sf_dir).withColumns(levels)
     songs.hint("rebalance", *levels).write.partitionBy(*levels).json(f"{root}/song_data")
 

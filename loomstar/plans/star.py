@@ -72,8 +72,10 @@ def star_first_wins(
         "users": users_dim(played, "first"),
         "time": time_dim(played, weekday_style="name"),
     }
+    # New events are mostly later than all stored times, which are then not read.
+    pruned = {"time": ["start_time"]}
     together(*[
-        partial(insert_if_absent, dim, f"{out}/{name}", STAR_KEYS[name])
+        partial(insert_if_absent, dim, f"{out}/{name}", STAR_KEYS[name], prune_on=pruned.get(name, ()))
         for name, dim in dims.items()
     ])
 

@@ -158,19 +158,21 @@ def insert_if_absent(
     names columns that the key determines and the table is partitioned or
     sorted by; stored rows outside their range in `df` are then not read.
     """
+    spark = df.sparkSession
     fresh = pick_per_key(df, keys, order_by, "first")
-    if exists(df.sparkSession, path):
-        stored = df.sparkSession.read.schema(df.schema).parquet(path)
-        fresh = absent(fresh, within(stored, df, prune_on), keys)
+    if exists(spark, path):
+        stored = spark.read.schema(df.schema).parquet(path)
+        if prune_on:
+            scratch_root(spark)
+            fresh = fresh.checkpoint()  # computed once, for its range and for the insert
+        fresh = absent(fresh, within(stored, fresh, prune_on), keys)
     append(fresh, path, partition_by)
 
 
-def merged(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
-) -> DataFrame:
-    """`target` after `source` was written over it: the last row per key."""
+def merged(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`target` after `source`, of one row per key, was written over it."""
     both = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
-    return pick_per_key(both, keys, ["_new", *order_by], "last").drop("_new")
+    return pick_per_key(both, keys, ["_new"], "last").drop("_new")
 
 
 def upsert(
@@ -189,19 +191,21 @@ def upsert(
     checkpoint in the shared folder, as its files are gone while it is written.
     """
     spark = df.sparkSession
+    scratch_root(spark)
+    latest = pick_per_key(df, keys, order_by, "last")
     if not exists(spark, path):
-        write_table(pick_per_key(df, keys, order_by, "last"), path, "append", partition_by, dist, sort)
+        write_table(latest, path, "append", partition_by, dist, sort)
         return
     stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     if partition_by:
-        touched = prefixed(df, partition_by).distinct()
-        affected = within(stored, df, partition_by).join(
+        latest = latest.checkpoint()  # computed once, for its partitions and for the merge
+        touched = prefixed(latest, partition_by).distinct()
+        affected = within(stored, latest, partition_by).join(
             touched, equal_nulls(partition_by), "left_semi"
         )
-        overwrite_partitions(merged(df, affected, keys, order_by), path, partition_by, sort)
+        overwrite_partitions(merged(latest, affected, keys), path, partition_by, sort)
     else:
-        scratch_root(spark)
-        state = merged(df, stored, keys, order_by).checkpoint()
+        state = merged(latest, stored, keys).checkpoint()
         write_table(state, path, "overwrite", (), dist, sort)
 
 
