@@ -195,7 +195,7 @@ def fact_left_one_split(spark, sf_dir):
     """The same fact by the route for catalogues too large to broadcast."""
     return op.songplays(
         _plays(spark, sf_dir), song_records(spark, sf_dir), match="first",
-        broadcast_bytes=0, hot_rows=20,
+        broadcast_bytes=0, hot_rows=3,
     )
 
 
