@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomstar.operators.dedup import pick_per_key
-from loomstar.operators.skew import equal_nulls, prefixed
+from loomstar.operators.skew import BROADCAST_BYTES, equal_nulls, measured_bytes, prefixed
 from loomstar.session import scratch_root
 
 
@@ -126,15 +126,18 @@ def within(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> Data
     """Rows of `target` between the smallest and largest values in `source`, and nulls.
 
     The ends are known when the read is planned, so partitions and row groups
-    outside them are not opened.
+    outside them are not opened.  They travel as text, which no time zone
+    shifts; zoned timestamps, whose text can be ambiguous, are not narrowed.
     """
-    if not columns:
+    kinds = {c: k for c, k in source.dtypes if c in columns and k != "timestamp"}
+    if not kinds:
         return target
-    ends = source.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)]).first()
-    for c in columns:
-        low, high = ends[f"min_{c}"], ends[f"max_{c}"]
-        inside = F.lit(False) if low is None else F.col(c).between(F.lit(low), F.lit(high))
-        target = target.filter(inside | F.col(c).isNull())
+    ends = source.agg(*[
+        f(c).cast("string").alias(f"{f.__name__}_{c}") for c in kinds for f in (F.min, F.max)
+    ]).first()
+    for c, kind in kinds.items():
+        low, high = (F.lit(ends[f"{end}_{c}"]).cast(kind) for end in ("min", "max"))
+        target = target.filter(F.col(c).between(low, high) | F.col(c).isNull())
     return target
 
 
@@ -200,6 +203,8 @@ def upsert(
     if partition_by:
         latest = latest.checkpoint()  # computed once, for its partitions and for the merge
         touched = prefixed(latest, partition_by).distinct()
+        if measured_bytes(touched) <= BROADCAST_BYTES:
+            touched = F.broadcast(touched)  # stored rows stay where they are read
         affected = within(stored, latest, partition_by).join(
             touched, equal_nulls(partition_by), "left_semi"
         )

@@ -86,6 +86,25 @@ def test_a_batch_given_twice_changes_nothing(spark, out):
         assert spark.read.parquet(sink).count() == 4
 
 
+def test_a_second_run_in_another_zone_finds_what_is_stored(spark, raw, out):
+    """Some plays fall on either side of New York's midnight."""
+    songs, sink = fixtures.songs(spark), f"{out}/sink"
+    rows = [
+        ("NextSong", 1541121934796 + h * 3_600_000, str(h), "free", h, 0, "T1", "Ann", 100.9)
+        for h in range(48)
+    ]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("America/New_York", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            store_plays(fixtures.events(spark, rows), songs, sink)
+            tables = star_first_wins(spark, raw, f"{out}/star")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert spark.read.parquet(sink).count() == 48
+    assert tables["time"].count() == 4
+
+
 def test_run_for_date_replaces_its_day(spark, raw, out):
     songs, sink = fixtures.songs(spark), f"{out}/sink"
     for day in ("2018-11-02", "2018-11-03", "2018-11-02", "2018-11-02"):
