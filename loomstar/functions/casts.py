@@ -49,6 +49,8 @@ def is_truthy(name: str, kind: T.DataType) -> Column:
         test = value != F.lit(0)
     elif isinstance(kind, T.StringType):
         test = value != F.lit("")
+    elif isinstance(kind, T.BinaryType):
+        test = F.octet_length(value) > 0
     elif isinstance(kind, (T.ArrayType, T.MapType)):
         test = F.size(value) > 0
     else:

@@ -25,6 +25,10 @@ def run_checks(spark: SparkSession, checks: Mapping[str, str | DataFrame]) -> Da
 
     def evaluate(name: str, check: str | DataFrame) -> DataFrame:
         row = (spark.sql(check) if isinstance(check, str) else check).limit(1)
+        folded = [c.lower() for c in row.columns]
+        row = row.toDF(*[
+            c if folded.count(c.lower()) == 1 else f"{c}_{i}" for i, c in enumerate(row.columns)
+        ])
         fields = row.schema.fields
         holds = reduce(lambda a, b: a & b, [is_truthy(f.name, f.dataType) for f in fields])
         text = F.to_json(F.struct(*[f"`{f.name}`" for f in fields]), {"ignoreNullFields": "false"})

@@ -18,6 +18,9 @@ from loomstar import operators as op
         ("select cast('nan' as double)", True),
         ("select date'2020-01-01'", True),
         ("select 1 where 1 = 0", False),
+        ("select count(*), count(*) from range(3)", True),
+        ("select 1 as a, 0 as A", False),
+        ("select cast('' as binary)", False),
         ("select cast(0 as decimal(10,2))", False),
     ],
 )
