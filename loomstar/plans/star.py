@@ -27,7 +27,7 @@ from loomstar.plans.steps import together
 from loomstar.schemas import ARTISTS, EVENT, SONG, SONGPLAYS, SONGS, STAR_KEYS, TIME, USERS
 from loomstar.sinks.tables import (
     append, exists, insert_by_name, insert_by_position, insert_if_absent, load_dimension,
-    overwrite, overwrite_partitions, reset_tables, write_table,
+    overwrite, overwrite_partitions, partition_path, reset_tables, write_table,
 )
 from loomstar.sources.files import (
     read_events, read_events_for, read_json_tree, read_songs, read_table,
@@ -191,10 +191,14 @@ def star_daily(
     fact = songplays(played, songs).select(
         play_key("session_id", "start_time").alias("songplay_id"), "*"
     )
-    day = F.to_date("start_time") if run_date is None else F.lit(str(run_date)).cast("date")
-    dated = insert_by_position(fact, SONGPLAYS).withColumn("event_date", day)
-    write = append if append_fact else overwrite_partitions
-    write(dated, f"{out}/songplays", ["event_date"])
+    placed = insert_by_position(fact, SONGPLAYS)
+    dated = placed.withColumn("event_date", F.to_date("start_time"))
+    if run_date is None:
+        write = append if append_fact else overwrite_partitions
+        write(dated, f"{out}/songplays", ["event_date"])
+    else:
+        write = append if append_fact else overwrite
+        write(placed, partition_path(f"{out}/songplays", "event_date", run_date))
 
     dims = {
         "users": users_dim(played),

@@ -1,10 +1,11 @@
 from loomstar.sinks.tables import (
     append, exists, insert_by_name, insert_by_position, insert_if_absent, layout, load_dimension,
-    overwrite, overwrite_partitions, reset_tables, save_bucketed, upsert, write_csv, write_table,
+    overwrite, overwrite_partitions, partition_path, reset_tables, save_bucketed, upsert, write_csv,
+    write_table,
 )
 
 __all__ = [
     "append", "exists", "insert_by_name", "insert_by_position", "insert_if_absent", "layout",
-    "load_dimension", "overwrite", "overwrite_partitions", "reset_tables", "save_bucketed",
-    "upsert", "write_csv", "write_table",
+    "load_dimension", "overwrite", "overwrite_partitions", "partition_path", "reset_tables",
+    "save_bucketed", "upsert", "write_csv", "write_table",
 ]

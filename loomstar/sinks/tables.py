@@ -106,6 +106,15 @@ def overwrite_partitions(
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def partition_path(path: str, column: str, value: object) -> str:
+    """Where one partition of the table at `path` lies.
+
+    Writing there as a table of its own shuffles nothing and, unlike a
+    partition overwrite, also empties the partition when there are no rows.
+    """
+    return f"{path}/{column}={value}"
+
+
 def load_dimension(df: DataFrame, path: str, truncate: bool = True) -> None:
     """Insert a dimension, emptying the table first if `truncate`."""
     (overwrite if truncate else append)(df, path)

@@ -12,7 +12,7 @@ from loomstar.functions.keys import play_key
 from loomstar.operators.facts import songplays, with_start_time
 from loomstar.operators.filters import plays
 from loomstar.schemas import EVENT
-from loomstar.sinks.tables import insert_if_absent, overwrite_partitions
+from loomstar.sinks.tables import insert_if_absent, overwrite, partition_path
 from loomstar.sources.files import read_events_for
 
 _BY_MONTH = ["year", "month"]
@@ -82,5 +82,4 @@ def run_for_date(
 ) -> None:
     """Load one day's plays, replacing what an earlier run of that day stored."""
     fact = keyed_plays(read_events_for(spark, root, run_date, layout), songs, page)
-    dated = fact.withColumn("event_date", F.lit(str(run_date)).cast("date"))
-    overwrite_partitions(dated, sink, ["event_date"])
+    overwrite(fact, partition_path(sink, "event_date", run_date))

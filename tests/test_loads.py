@@ -115,6 +115,17 @@ def test_run_for_date_replaces_its_day(spark, raw, out):
     }
 
 
+def test_a_day_run_again_without_plays_is_emptied(spark, raw, out):
+    songs, sink = fixtures.songs(spark), f"{out}/sink"
+    for day in ("2018-11-02", "2018-11-03"):
+        run_for_date(spark, raw, day, songs, sink)
+    quiet = [{**fixtures.event_rows()[4], "userId": ""}]
+    fixtures.write_lines(f"{raw}/log_data/2018/11/2018-11-02-events.json", quiet)
+    run_for_date(spark, raw, "2018-11-02", songs, sink)
+    left = spark.read.parquet(sink)
+    assert [str(r.event_date) for r in left.collect()] == ["2018-11-03"]
+
+
 def test_scratch_paths_lie_in_the_named_folder(spark):
     root = session.scratch_root(spark)
     first, second = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
