@@ -52,3 +52,29 @@ def if_small(df: DataFrame, max_rows: int) -> DataFrame:
 def crc32_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def text_md5(text: Column) -> Column:
+    """A short name of the exact text; null is empty."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
+def drop_unkept(docs: DataFrame, judged: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """`docs`, all its columns, without the rows that `judged` (doc_id, text_md5, kept) drops.
+
+    Rows are told apart by id and text.  Where rows repeat both, as many as `judged` keeps
+    (one at most) stay.  Marks for dropped rows travel by broadcast up to `max_rows`.
+    """
+    per_key = judged.groupBy("doc_id", "text_md5").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
+    marks = store(per_key.where(~F.col("stays") | (F.col("rows") > 1)).drop("rows"), "marks")
+    marks = if_small(marks, max_rows)
+    wide = docs.select(
+        F.struct("*").alias("__doc"),
+        F.col("`doc_id`").cast("long").alias("__doc_id"),
+        text_md5(F.col("`text`")).alias("__md5"),
+    )
+    match = wide["__doc_id"].eqNullSafe(marks["doc_id"]) & (wide["__md5"] == marks["text_md5"])
+    seen = wide.join(marks, match, "left")
+    single = seen.where("stays is null").select("__doc.*")
+    again = seen.where("stays").dropDuplicates(["__doc_id", "__md5"]).select("__doc.*")
+    return single.unionByName(again)

@@ -11,12 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.common import WHITE, if_small, narrow, store
+from loomstar.llm.common import WHITE, drop_unkept, narrow, store, text_md5
 
 #: A digest of at least this share of all rows is frequent; so at most 1 / SUPPORT are.
 SUPPORT = 0.001
-#: Copies to drop travel by broadcast up to this many (about 100 bytes each).
-BROADCAST_ROWS = 100_000
 
 
 def normalized(text: Column) -> Column:
@@ -33,6 +31,7 @@ def _digested(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.sha2(normalized(F.col("text")), 256).alias("digest"),
         F.length(F.coalesce("text", F.lit(""))).alias("chars"),
+        text_md5(F.col("text")).alias("text_md5"),
     )
 
 
@@ -57,7 +56,7 @@ def frequent_winners(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256, text_md5.
 
     Of equal texts the row with the most code points stays, then the smallest doc_id (a
     null one last); of rows that repeat even that, exactly one.  Null texts equal empty
@@ -74,32 +73,10 @@ def exact_dedup(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
         "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
         F.col("digest").alias("text_sha256"),
-        "chars",
+        "text_md5",
     )
 
 
 def drop_exact_copies(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """`docs`, all its columns, without the rows that `exact_dedup` drops.
-
-    Rows are told apart by id, digest and length.  Where one such key stands for several
-    rows, one of them stays.
-    """
-    key = ["doc_id", "digest", "chars"]
-    judged = store(exact_dedup(docs, support).withColumnRenamed("text_sha256", "digest"), "judged")
-    per_key = judged.groupBy(*key).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
-    marks = store(per_key.where(~F.col("stays") | (F.col("rows") > 1)), "marked-copies")
-    marks = if_small(marks.select(*key, "stays"), BROADCAST_ROWS)
-
-    own = {c: f"__{c}" for c in key}
-    digest = F.sha2(normalized(F.col("text").cast("string")), 256)
-    wide = docs.select(
-        F.struct("*").alias("__doc"),
-        F.col("doc_id").cast("long").alias(own["doc_id"]),
-        digest.alias(own["digest"]),
-        F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(own["chars"]),
-    )
-    match = [wide[own[c]].eqNullSafe(marks[c]) for c in key]
-    seen = wide.join(marks, match[0] & match[1] & match[2], "left")
-    single = seen.where("stays is null").select("__doc.*")
-    again = seen.where("stays").dropDuplicates(list(own.values())).select("__doc.*")
-    return single.unionByName(again)
+    """`docs`, all its columns, without the rows that `exact_dedup` drops."""
+    return drop_unkept(docs, exact_dedup(docs, support))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstar.llm import exact_dedup, language_id, quality
+from loomstar.llm import exact_dedup, language_id, near_dedup, quality
 from loomstar.llm.common import table
 
 
@@ -13,14 +13,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("chars")
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup, op5_language_id)}
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("text_md5")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup, op5_language_id, op7_near_dedup)}
 
 ORACLES = {
     "op4_exact_dedup": r"""
