@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstar.llm import exact_dedup, language_id, near_dedup, quality
+from loomstar.llm import exact_dedup, language_id, near_dedup, packing, quality
 from loomstar.llm.common import table
 
 
@@ -24,7 +24,14 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_exact_dedup, op5_language_id, op7_near_dedup)}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_quality_rules, op4_exact_dedup, op5_language_id, op7_near_dedup, op8_packing)
+}
 
 ORACLES = {
     "op4_exact_dedup": r"""
