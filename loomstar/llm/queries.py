@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstar.llm import chat, exact_dedup, language_id, near_dedup, packing, quality
+from loomstar.llm import chat, exact_dedup, language_id, license_scan, near_dedup, packing, quality
 from loomstar.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,7 +41,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_quality_rules, op4_exact_dedup, op5_language_id, op7_near_dedup, op8_packing, op10_chat_formatting)
+    for f in (
+        op1_license_scan, op2_quality_rules, op4_exact_dedup, op5_language_id, op7_near_dedup, op8_packing,
+        op10_chat_formatting,
+    )
 }
 
 ORACLES = {
