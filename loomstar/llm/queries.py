@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstar.llm import chat, exact_dedup, language_id, license_scan, near_dedup, packing, quality
+from loomstar.llm import chat, exact_dedup, html_text, language_id, license_scan, near_dedup, packing, quality
 from loomstar.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("text_md5")
 
@@ -42,7 +46,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_license_scan, op2_quality_rules, op4_exact_dedup, op5_language_id, op7_near_dedup, op8_packing,
+        op1_license_scan, op2_quality_rules, op3_html_text, op4_exact_dedup, op5_language_id, op7_near_dedup, op8_packing,
         op10_chat_formatting,
     )
 }
