@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstar.llm import chat, exact_dedup, html_text, language_id, license_scan, near_dedup, packing, quality
+from loomstar.llm import chat, exact_dedup, html_text, language_id, license_scan, near_dedup, packing, ppm, quality
 from loomstar.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op6_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("text_md5")
 
@@ -46,8 +50,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_license_scan, op2_quality_rules, op3_html_text, op4_exact_dedup, op5_language_id, op7_near_dedup, op8_packing,
-        op10_chat_formatting,
+        op1_license_scan, op2_quality_rules, op3_html_text, op4_exact_dedup, op5_language_id, op6_ppm_score, op7_near_dedup,
+        op8_packing, op10_chat_formatting,
     )
 }
 
