@@ -60,16 +60,16 @@ def gram_vectors(grams: np.ndarray, letters: np.ndarray) -> np.ndarray:
 
 
 def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(gram, text, letters): n-grams of lower-cased letters; any run of others is one blank."""
-    joined = "\n".join((t or "") if "\n" not in (t or "") else t.replace("\n", " ") for t in texts).lower()
+    """(gram, text, letters): n-grams of lower-cased letters; any run of others, and either end, is one blank."""
+    joined = "".join("\n" + (t or "").replace("\n", " ") + " " for t in texts).lower()
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(codes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-    ends = codes == 10
+    begins = codes == 10
     codes = np.where(_letters()[np.minimum(codes, 0x10FFFF)], codes, np.uint32(32))
     keep = np.ones(len(codes), bool)
-    keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32) | ends[1:] | ends[:-1]
-    owner = np.cumsum(ends)[keep]  # a text's closing blank belongs to the next one: no n-gram crosses it
+    keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32) | begins[1:]
+    owner = np.cumsum(begins)[keep] - 1
     codes = codes[keep]
     seen = np.zeros(int(codes.max()) + 1, bool)
     seen[codes] = True
@@ -145,11 +145,6 @@ def predict(texts: list[str | None], names: list[str], vectors: np.ndarray) -> t
     norms = np.linalg.norm(own, axis=1)
     if not names:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    # a text of one or two letters has no n-gram: its padded form decides
-    short = [k for k in np.flatnonzero(norms == 0) if texts[k] and any(c.isalpha() for c in texts[k])]
-    if short:
-        padded = bundles([f" {texts[k]} " for k in short], np.arange(len(short)), len(short))
-        own[short], norms[short] = padded, np.linalg.norm(padded, axis=1)
     cosine = own @ vectors.T / np.maximum(norms, 1e-300)[:, None]
     best = np.round(cosine, 9).argmax(axis=1)
     score = np.clip(cosine[np.arange(len(texts)), best], 0, 1)

@@ -1,0 +1,65 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from loomstar.llm import pieces
+from tests.llm.cases import DOCUMENTS, documents, key, text
+
+MODEL = pieces.default_model()
+TEXT = st.text(alphabet=st.sampled_from(list(" ab▁thing\n\té日🙂\x00<s>0x")), max_size=30)
+
+
+def keys(n):
+    return np.arange(n, dtype=np.int64).view(np.uint64)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(TEXT, max_size=6))
+def test_decoding_is_lossless_and_batches_do_not_matter(texts):
+    vocab = pieces.vocabulary(MODEL)
+    ids = pieces.sample(vocab, texts, keys(len(texts)))
+    assert [b"".join(vocab.bytes[i] for i in x).decode() for x in ids] == texts
+    for k, t in enumerate(texts):
+        assert pieces.sample(vocab, [t], keys(len(texts))[k : k + 1])[0].tolist() == ids[k].tolist()
+
+
+@pytest.mark.parametrize("word", [" thing", "aé", " the"])
+def test_draws_follow_the_lattice(word):
+    """Frequencies of segmentations against their enumeration."""
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    size = model.get_piece_size()
+    weight = {
+        model.id_to_piece(i): (i, (1 + min(-model.get_score(i), size)) ** -pieces.SHARPNESS)
+        for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))
+    }
+
+    def paths(rest):
+        if not rest:
+            yield (), 1.0
+        for n in range(1, len(rest) + 1):
+            if rest[:n] in weight:
+                i, w = weight[rest[:n]]
+                yield from (((i, *tail), w * v) for tail, v in paths(rest[n:]))
+
+    found = dict(paths(word.replace(" ", "▁")))
+    n = 20_000
+    drawn = Counter(tuple(x.tolist()) for x in pieces.sample(pieces.vocabulary(MODEL), [word] * n, keys(n)))
+    assert set(drawn) <= set(found)
+    assert sum(abs(drawn[s] / n - w / sum(found.values())) for s, w in found.items()) / 2 < 0.02
+
+
+def test_rows_come_back_and_reruns_agree(spark):
+    docs = documents(spark)
+    one = pieces.decode(pieces.encode(docs)).collect()
+    assert sorted(((r.doc_id, r.text) for r in one), key=key) == sorted(((d[0], d[1] or "") for d in DOCUMENTS), key=key)
+    again = pieces.encode(docs.repartition(5)).collect()
+    assert sorted((str(r.doc_id), r.ids) for r in one) == sorted((str(r.doc_id), r.ids) for r in again)
+
+
+def test_rows_differ_by_key(spark):
+    rows = pieces.encode(documents(spark, [(k, text(30), "aa") for k in range(20)])).collect()
+    assert len({bytes(r.ids) for r in rows}) > 15
