@@ -14,9 +14,12 @@ def blank_to_null(c: Column | str) -> Column:
 
 
 def whole_units(c: Column | str) -> Column:
-    """A number as numeric(18,0) with the fraction cut off, not rounded."""
+    """A number as numeric(18,0) with the fraction cut off, not rounded.
+
+    What is no number, NaN and numbers beyond the type become null.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("bigint").cast("decimal(18,0)")
+    return c.try_cast("decimal(38,18)").try_cast("bigint").try_cast("decimal(18,0)")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -19,13 +19,13 @@ def _col(c: Column | str) -> Column:
 
 
 def from_epoch_millis(ts: Column | str) -> Column:
-    """Epoch milliseconds to a timestamp, milliseconds kept."""
-    return F.timestamp_add("MILLISECOND", _col(ts).cast("bigint"), _epoch())
+    """Epoch milliseconds to a timestamp, milliseconds kept; null for what is no whole number."""
+    return F.timestamp_add("MILLISECOND", _col(ts).try_cast("bigint"), _epoch())
 
 
 def from_epoch_seconds(ts: Column | str) -> Column:
     """Epoch milliseconds to a timestamp in whole seconds."""
-    seconds = F.call_function("div", _col(ts).cast("bigint"), F.lit(1000))
+    seconds = F.call_function("div", _col(ts).try_cast("bigint"), F.lit(1000))
     return F.timestamp_add("SECOND", seconds, _epoch())
 
 

@@ -79,6 +79,9 @@ def time_dim(plays: DataFrame, start: str = "start_time", weekday_style: str = "
     return starts.withColumns(calendar("start_time", weekday_style))
 
 
-def time_dim_from_fact(fact: DataFrame, weekday_style: str = "sunday0") -> DataFrame:
-    """One row per fact row: equal start times stay repeated."""
-    return fact.select("start_time").withColumns(calendar("start_time", weekday_style))
+def time_dim_from_fact(
+    fact: DataFrame, weekday_style: str = "sunday0", also: Sequence[str] = ()
+) -> DataFrame:
+    """One row per fact row, with further columns of it: equal start times stay repeated."""
+    parts = calendar("start_time", weekday_style)
+    return fact.select("start_time", *[c.alias(name) for name, c in parts.items()], *also)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstar.functions.casts import whole_units
 from loomstar.functions.timeparts import from_epoch_millis, from_epoch_seconds
 from loomstar.operators.dedup import pick_per_key
-from loomstar.operators.skew import BROADCAST_BYTES, HOT_ROWS, lookup_join
+from loomstar.operators.skew import BROADCAST_BYTES, lookup_join
 
 # Log column -> catalogue column, in the order in which keys are added.
 _MATCH = {"song": "title", "artist": "artist_name", "length": "duration"}
@@ -36,7 +38,7 @@ def songplays(
     distinct: bool = False,
     truncate_duration: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """The play fact without its generated key.
 
@@ -47,6 +49,7 @@ def songplays(
     match   `all` lets a play match several songs, `first` takes the lowest id
     distinct           drop repeated fact rows
     truncate_duration  compare durations by whole seconds, the rest cut off
+    also               further columns of the plays that the fact carries
     """
     if how not in ("left", "inner") or match not in ("all", "first") or keys not in (2, 3):
         raise ValueError(f"unsupported: how={how!r}, match={match!r}, keys={keys!r}")
@@ -62,13 +65,14 @@ def songplays(
         F.col("sessionId").alias("session_id"),
         "location",
         F.col("userAgent").alias("user_agent"),
+        *also,
         *[key(c).alias(c) for c in on],
     )
     songs = songs.select("song_id", "artist_id", *[key(_MATCH[c]).alias(c) for c in on])
 
     if match == "first":
         unique = pick_per_key(songs, on, ["song_id"])
-        joined = lookup_join(plays, unique, on, broadcast_bytes, hot_rows)
+        joined = lookup_join(plays, unique, on, broadcast_bytes, at_most=songs)
         if how == "inner":
             joined = joined.filter(F.col("song_id").isNotNull())
     else:
@@ -79,6 +83,6 @@ def songplays(
 
     fact = joined.select(
         "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location",
-        "user_agent",
+        "user_agent", *also,
     )
     return fact.distinct() if distinct else fact

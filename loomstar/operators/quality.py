@@ -67,6 +67,27 @@ def has_rows_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {f"{name}_has_rows": row_count(df) for name, df in tables.items()}
 
 
+def star_checks(
+    tables: Mapping[str, DataFrame],
+    unique: Mapping[str, Sequence[str]] | None = None,
+    required: Mapping[str, Sequence[str]] | None = None,
+    references: Mapping[str, Mapping[str, str]] | None = None,
+) -> dict[str, DataFrame]:
+    """Checks for `run_checks`: keys that must not repeat, columns without nulls, references.
+
+    `references` maps a table's columns to tables that have a column of that name.
+    """
+    none = lambda df: df.agg((F.count("*") == 0).alias("none"))
+    checks = {f"{t}_key_unique": none(pk_violations(tables[t], keys)) for t, keys in (unique or {}).items()}
+    for t, columns in (required or {}).items():
+        nulls = null_violations(tables[t], columns).filter("n_nulls > 0")
+        checks[f"{t}_required"] = none(nulls)
+    for t, columns in (references or {}).items():
+        for c, dim in columns.items():
+            checks[f"{t}_{c}_in_{dim}"] = none(fk_violations(tables[t], tables[dim], c))
+    return checks
+
+
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, and how often."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))

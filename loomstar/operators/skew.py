@@ -1,4 +1,4 @@
-"""Size-checked broadcasts and hot-key handling for key lookups."""
+"""Size-checked broadcasts, and joins whose hot keys can be split."""
 
 from __future__ import annotations
 
@@ -8,11 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.session import scratch_root
-
 BROADCAST_BYTES = 64 << 20
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 1_000
 _ROW_OVERHEAD = 64  # bytes per row of a hash relation beside its values
 
 
@@ -27,18 +23,6 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).cast("bigint")).first()[0]
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, at_most: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The most frequent keys with at least `min_rows` rows, `at_most` of them.
-
-    The result has a fixed bound and is used only to choose a route; a key
-    that misses the list takes the ordinary route and is still answered.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_rows)
-    return counts.orderBy(F.desc("_n"), *keys).limit(at_most).select(*keys)
-
-
 def equal_nulls(columns: Sequence[str]) -> Column:
     """Equality of `c` and `_c` for all columns, null equal to null."""
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
@@ -54,27 +38,23 @@ def lookup_join(
     unique: DataFrame,
     keys: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    at_most: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of `facts` to `unique`, which has at most one row per key.
 
-    While `unique` measures under `broadcast_bytes` it is broadcast and no fact
-    row moves.  Beyond that the facts shuffle on their key, except the rows of
-    hot keys, null ones among them, which would pile up in one task: their
-    lookup rows are as few as the keys and are broadcast instead.  AQE cannot
-    be left to split them: a side that an aggregate has already partitioned by
-    the key joins without an exchange of its own.
+    Null keys match nothing.  `at_most` is a cheaper relation that `unique` cannot
+    outgrow, such as the one it was deduplicated from; without it `unique` itself
+    is measured.  Under `broadcast_bytes` it is broadcast and no fact row moves.
+
+    Beyond that both sides shuffle.  The keys are compared null-safely, which an
+    aggregate's partitioning does not satisfy, so each side gets an exchange of
+    its own and AQE can split the partitions of any number of hot keys, null ones
+    among them.
     """
     keys = list(keys)
-    if measured_bytes(unique) <= broadcast_bytes:
+    if measured_bytes(unique if at_most is None else at_most) <= broadcast_bytes:
         return facts.join(F.broadcast(unique), keys, "left")
-
-    scratch_root(facts.sparkSession)
-    hot = hot_keys(facts, keys, hot_rows).checkpoint()  # at most MAX_HOT_KEYS rows
-    if hot.isEmpty():
-        return facts.join(unique, keys, "left")
-    marked, same = F.broadcast(prefixed(hot, keys)), equal_nulls(keys)
-    hot_lookup = F.broadcast(unique.join(F.broadcast(hot), keys, "left_semi"))
-    ordinary = facts.join(marked, same, "left_anti").join(unique, keys, "left")
-    piled = facts.join(marked, same, "left_semi").join(hot_lookup, keys, "left")
-    return ordinary.unionByName(piled)
+    known = prefixed(unique.dropna(subset=keys), unique.columns)
+    new = [F.col(f"_{c}").alias(c) for c in unique.columns if c not in keys]
+    rest = [c for c in facts.columns if c not in keys]
+    return facts.join(known, equal_nulls(keys), "left").select(*keys, *rest, *new)

@@ -76,8 +76,12 @@ _ARTISTS_FIRST = """artists_first AS (
     artist_latitude AS latitude, artist_longitude AS longitude
   FROM song QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY song_id) = 1
 )"""
+_SONGS_TWICE = """songs_twice AS (
+  SELECT * FROM song UNION ALL
+  SELECT * REPLACE (regexp_replace(song_id, '^S', 'R') AS song_id) FROM song WHERE song_id LIKE '%3'
+)"""
 _SONG_ONE = """song_one AS (
-  SELECT * FROM song
+  SELECT * FROM songs_twice
   QUALIFY row_number() OVER (PARTITION BY title, artist_name, duration ORDER BY song_id) = 1
 )"""
 # The inner fact on two keys, under its md5 key.
@@ -159,6 +163,12 @@ def _last(columns: str, keys: str, ties: str = "") -> str:
   PARTITION BY {keys} ORDER BY "sessionId" DESC, "itemInSession" DESC{ties}) = 1"""
 
 
+# The day whose file holds an event: one in ten comes a day late.
+_FILED = """CAST(CAST(make_timestamp(ts * 1000) AS DATE) + CASE WHEN "sessionId" % 10 = 0 THEN 1 ELSE 0 END AS DATE)"""
+_SONGS_ONCE = """songs_once AS (
+  SELECT * FROM song
+  QUALIFY row_number() OVER (PARTITION BY title, artist_name, duration ORDER BY song_id) = 1
+)"""
 _BY_SESSION = _last(
     """"sessionId" AS session_id, "itemInSession" AS item_in_session, artist AS artist_name,
   song AS song_title, round(CAST(CAST(length AS FLOAT) AS DOUBLE), 2) AS length""",
@@ -174,7 +184,42 @@ _BY_SONG = _last(
     'song AS song_title, user_id, "firstName" AS user_first_name, "lastName" AS user_last_name',
     "song, user_id", '"firstName", "lastName"',
 )
-_LEFT_ONE = _with(*_BASE, _SONG_ONE) + f"SELECT {_fact('at_ms')} FROM plays LEFT JOIN song_one {_ON3}"
+# The log, and its closed plays logged again later under another title.
+_PLAYS_TWICE = """log_once AS (
+  SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY "sessionId", "itemInSession"
+    ORDER BY ts, artist NULLS FIRST, length NULLS FIRST, song NULLS FIRST) = 1
+),
+both_files AS (
+  SELECT *, 0 AS file FROM log_once UNION ALL
+  SELECT * REPLACE (song || chr(10) || '(live)' AS song), 1 AS file FROM log_once WHERE location = 'F'
+),
+heard AS (SELECT *, CAST("userId" AS BIGINT) AS user_id FROM both_files WHERE artist <> '')"""
+
+
+def _later(table_name: str, columns: dict[str, str], keys: str) -> str:
+    every = "session_id item_in_session user_id artist_name song_title length user_first_name user_last_name".split()
+    cells = ", ".join(f"{columns.get(c, 'NULL')} AS {c}" for c in every)
+    return f"""SELECT '{table_name}' AS table_name, {cells} FROM heard
+  QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY file DESC) = 1"""
+
+
+_WIDE_COLUMNS = {
+    "session_id": '"sessionId"', "item_in_session": '"itemInSession"', "artist_name": "artist", "song_title": "song",
+}
+_WIDE_NAMES = {"user_id": "user_id", "user_first_name": '"firstName"', "user_last_name": '"lastName"'}
+_WIDE = "\nUNION ALL ".join([
+    _later(
+        "song_data_by_session",
+        {**_WIDE_COLUMNS, "length": "round(CAST(CAST(length AS FLOAT) AS DOUBLE), 2)"},
+        '"sessionId", "itemInSession"',
+    ),
+    _later(
+        "song_data_by_user_and_session", {**_WIDE_COLUMNS, **_WIDE_NAMES},
+        'user_id, "sessionId", "itemInSession"',
+    ),
+    _later("user_data_by_song", {"song_title": "song", **_WIDE_NAMES}, "song, user_id"),
+])
+_LEFT_ONE = _with(*_BASE, _SONGS_TWICE, _SONG_ONE) + f"SELECT {_fact('at_ms')} FROM plays LEFT JOIN song_one {_ON3}"
 _INNER_LAKE = (
     f"SELECT {_fact('at_s')} FROM plays JOIN (SELECT s.song_id, s.artist_id, title, name AS artist_name "
     f"FROM song s JOIN artists a ON s.artist_id = a.artist_id) {_ON2}"
@@ -203,7 +248,8 @@ ORACLES: dict[str, str] = {
     "project_rename": _with(_LOG) + f"SELECT {_PLAY11} FROM log WHERE page = 'R'",
     "preview": "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 5",
     "numeric_casts": _with(_LOG)
-    + """SELECT TRY_CAST(song AS BIGINT) AS user_id, level, CAST(NULL AS VARCHAR) AS gender,
+    + """SELECT TRY_CAST(CASE "itemInSession" WHEN 1 THEN '' WHEN 2 THEN 'no ' || "userId" ELSE "userId" END AS BIGINT)
+    AS user_id, level, CAST(NULL AS VARCHAR) AS gender,
   count(*) AS n, count(DISTINCT "userId") AS n_names FROM log GROUP BY 1, 2""",
     "missing_values": _with(_LOG)
     + """SELECT page, count(*) AS n, count(nullif(artist, '')) AS n_artist,
@@ -238,7 +284,8 @@ JOIN artists a ON s.artist_id = a.artist_id""",
     "fact_left_one_split": _LEFT_ONE,
     "fact_inner_distinct": _with(*_BASE) + _DISTINCT_FACT,
     "fact_inner": _with(*_BASE, _ARTISTS) + _INNER_LAKE,
-    "fact_left_fanout": _with(*_BASE) + f"SELECT {_fact('at_s')} FROM plays LEFT JOIN song {_ON3}",
+    "fact_left_fanout": _with(*_BASE, _SONGS_TWICE)
+    + f"SELECT {_fact('at_s')} FROM plays LEFT JOIN songs_twice {_ON3}",
     "fact_left_truncated": _with(*_BASE)
     + f"SELECT {_fact('at_s')} FROM plays LEFT JOIN song {_ON3_WHOLE}",
     "fact_md5_key": _with(*_BASE) + _DAILY,
@@ -297,6 +344,7 @@ UNION ALL SELECT DISTINCT {_USER_COLUMNS} FROM plays""",
     "parquet_plain_roundtrip": _with(_SONG, _ARTISTS) + f"{_ARTISTS_SELECT} artists",
     "parquet_partition_roundtrip": _with(_SONG) + _SONGS_SELECT.replace("SELECT", "SELECT DISTINCT", 1),
     "layout_roundtrip": _with(_LOG, _PLAYS) + _BY_USER_SESSION,
+    "bucketed_roundtrip": _with(_LOG, _PLAYS) + _BY_USER_SESSION,
     "csv_quoted_roundtrip": _with(_LOG)
     + f"SELECT {_PLAY11.replace('location', '\"userAgent\" AS location')} FROM log WHERE artist <> ''",
     "csv_events_roundtrip": _with(_LOG) + f"SELECT {_EVENT_CSV} FROM log WHERE artist <> ''",
@@ -317,14 +365,17 @@ FROM (SELECT page, "userAgent", song FROM log
   UNION ALL SELECT page, CAST(NULL AS VARCHAR), song FROM stream) GROUP BY page""",
     "date_incremental": _with(_STREAM)
     + f"""SELECT "sessionId", "userId", page, song, artist, length, ts FROM stream
-WHERE CAST(make_timestamp(ts * 1000) AS DATE) = DATE '{RUN_DATE}'""",
-    "stream_ingest": _with(_LOG, _PLAYS)
-    + f"""SELECT DISTINCT {_MD5} CAST(year(at_s) AS INTEGER) AS year,
-  CAST(month(at_s) AS INTEGER) AS month FROM plays""",
+WHERE {_FILED} = DATE '{RUN_DATE}'""",
+    "stream_ingest": _with(*_BASE, _SONGS_ONCE)
+    + f"""SELECT md5(CAST(session_id AS VARCHAR) || CAST(start_time AS VARCHAR)) AS songplay_id, *,
+  CAST(year(start_time) AS INTEGER) AS year, CAST(month(start_time) AS INTEGER) AS month
+FROM (SELECT {_fact('at_s').replace('"sessionId" AS', 'CASE WHEN "sessionId" % 50 <> 0 THEN "sessionId" END AS')}
+  FROM plays LEFT JOIN songs_once {_ON3})""",
     "rerun_idempotent": _with(_STREAM, _SONG, _STREAM_PLAYS)
-    + f"SELECT {_fact('at_s', _MD5)} FROM plays LEFT JOIN song {_ON3}",
+    + f"""SELECT * FROM (SELECT {_fact('at_s', _MD5)}, {_FILED} AS event_date FROM plays LEFT JOIN song {_ON3})
+WHERE event_date BETWEEN DATE '{RUN_DATE}' AND DATE '2024-01-17'""",
     "row_counts": "\nUNION ALL ".join(_count(t, t) for t in TABLES),
-    "quality_report": "\nUNION ALL ".join([
+    "quality_report": _with(_LOG) + "\nUNION ALL ".join([
         *[f"SELECT '{t}_has_rows' AS test_name, count(*) > 0 AS passed FROM {t}" for t in TABLES],
         """SELECT 'lineitem_key_unique', count(*) = 0 FROM (
   SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
@@ -332,9 +383,24 @@ WHERE CAST(make_timestamp(ts * 1000) AS DATE) = DATE '{RUN_DATE}'""",
   SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)""",
         """SELECT 'no_unlabelled_document', count(*) = 0 FROM documents
   WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
-        "SELECT 'a_free_part_exists', false",
-        "SELECT 'quiet_page_has_artist', false",
-        "SELECT 'blank_page_has_artist', false",
+        "SELECT 'a_free_part_exists', count(*) > 0 FROM part WHERE p_retailprice = 0",
+        "SELECT 'quiet_page_has_artist', coalesce(max(artist), '') <> '' FROM log WHERE page = 'N'",
+        "SELECT 'blank_page_has_artist', coalesce(max(artist), '') <> '' FROM log WHERE page = 'A'",
+        "SELECT 'some_discount_in_sql', count(*) > 0 AND coalesce(max(l_discount), 0) <> 0 FROM lineitem",
+        "SELECT 'some_loss_in_sql', count(*) > 0 FROM lineitem WHERE l_extendedprice < 0",
+    ]),
+    "star_violations": _with(_LOG)
+    + "\nUNION ALL ".join([
+        """SELECT 'orders_key_unique' AS test_name, count(*) = 0 AS passed FROM (
+  SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)""",
+        """SELECT 'lines_key_unique', count(*) = 0 FROM (
+  SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)""",
+        "SELECT 'lines_required', count(*) = 0 FROM lineitem WHERE l_orderkey IS NULL",
+        "SELECT 'log_required', count(*) = 0 FROM log WHERE ts IS NULL OR length IS NULL",
+        """SELECT 'lines_o_orderkey_in_orders', count(*) = 0 FROM lineitem
+  WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+        """SELECT 'lines_p_partkey_in_parts', count(*) = 0 FROM lineitem
+  WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 2 = 0)""",
     ]),
     "pk_violations": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
@@ -365,12 +431,18 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.d
     + f"""SELECT *, CAST(year(start_time) AS INTEGER) AS year,
   CAST(month(start_time) AS INTEGER) AS month FROM ({_INNER_LAKE})""",
     "star_daily": _with(_STREAM, _SONG, _STREAM_PLAYS) + _DAILY,
+    "star_distinct_fact": _with(*_BASE) + _DISTINCT_FACT,
+    "star_daily_rerun": _with(_STREAM, _SONG, _STREAM_PLAYS)
+    + f"SELECT {_fact('at_s', _MD5)}, {_FILED} AS event_date FROM plays LEFT JOIN song {_ON3_WHOLE}",
+    "star_daily_times": _with(_STREAM, _SONG, _STREAM_PLAYS)
+    + f"""SELECT start_time, {_parts('start_time', _number('start_time'))}, event_date FROM (
+  SELECT at_s AS start_time, {_FILED} AS event_date FROM plays LEFT JOIN song {_ON3_WHOLE})""",
     "star_daily_tables": _with(_STREAM, _SONG, _STREAM_PLAYS, _ARTISTS)
     + "\nUNION ALL ".join([
         _count(
             "users",
             f"""(SELECT DISTINCT user_id, level FROM plays
-  WHERE CAST(at_s AS DATE) = DATE '{RUN_DATE}')""",
+  WHERE {_FILED} = DATE '{RUN_DATE}')""",
         ),
         _count("songs", f"({_SONGS_SELECT.replace('SELECT', 'SELECT DISTINCT', 1)})"),
         _count(
@@ -380,11 +452,10 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.d
         _count("time", f"({_DAILY})"),
         _count("songplays", f"({_DAILY})"),
     ]),
-    "wide_tables": _with(_LOG, _PLAYS)
-    + "\nUNION ALL ".join([
-        _count("song_data_by_session", f"({_BY_SESSION})"),
-        _count("song_data_by_user_and_session", f"({_BY_USER_SESSION})"),
-        _count("user_data_by_song", f"({_BY_SONG})"),
-    ]),
+    "wide_tables": _with(_LOG, _PLAYS_TWICE) + _WIDE,
 }
 ORACLES["stage_table"] = ORACLES["stage_mapping"]
+ORACLES["date_incremental_file"] = ORACLES["date_incremental"]
+ORACLES["failed_checks"] = (
+    f"SELECT count(*) AS n_failed FROM ({ORACLES['quality_report']}) WHERE NOT passed"
+)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from loomstar import operators as op
 from loomstar import sinks, sources
 from loomstar.plans import star, wide
 from loomstar.plans.roles import (
-    PLAY, PURCHASE, event_log, event_stream, export_daily, export_monthly, song_records, table,
+    PLAY, PURCHASE, event_log, event_stream, export_daily, export_monthly, filed_on, song_records, table,
 )
 from loomstar.schemas import EVENT, SONG, SONGPLAYS, SONGS, STAR, USERS
 from loomstar.session import scratch_path
@@ -27,7 +28,7 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-RUN_DATE = "2024-01-15"
+RUN_DATE, NEXT_DATE = "2024-01-15", "2024-01-16"
 
 
 def query(f: Query) -> Query:
@@ -77,8 +78,10 @@ def preview(spark, sf_dir):
 @query
 def numeric_casts(spark, sf_dir):
     """Text fields to numbers, '' and words to null."""
+    item, user = F.col("itemInSession"), F.col("userId")
+    text = F.when(item == 1, F.lit("")).when(item == 2, F.concat(F.lit("no "), user)).otherwise(user)
     raw = event_log(spark, sf_dir).select(
-        F.col("song").alias("user_id"), F.col("userId").alias("first_name"), F.col("level").alias("LEVEL")
+        text.alias("user_id"), F.col("userId").alias("first_name"), F.col("level").alias("LEVEL")
     )
     counts = fn.conform(raw, USERS).groupBy("user_id", "level", "gender")
     return counts.agg(F.count("*").alias("n"), F.count_distinct("first_name").alias("n_names"))
@@ -179,6 +182,13 @@ def time_from_fact_dups(spark, sf_dir):
 # Facts
 
 
+def _repeated_songs(spark, sf_dir):
+    """The catalogue, every tenth song of it twice under another id, so that plays match both."""
+    songs = song_records(spark, sf_dir)
+    again = songs.filter(F.col("song_id").endswith("3"))
+    return songs.unionByName(again.withColumn("song_id", F.regexp_replace("song_id", "^S", "R")))
+
+
 @query
 def catalogue_join(spark, sf_dir):
     songs = song_records(spark, sf_dir)
@@ -187,23 +197,23 @@ def catalogue_join(spark, sf_dir):
 
 @query
 def fact_left_one(spark, sf_dir):
-    return op.songplays(_plays(spark, sf_dir), song_records(spark, sf_dir), match="first")
+    return op.songplays(_plays(spark, sf_dir), _repeated_songs(spark, sf_dir), match="first")
 
 
 @query
 def fact_left_one_split(spark, sf_dir):
     """The same fact by the route for catalogues too large to broadcast."""
     return op.songplays(
-        _plays(spark, sf_dir), song_records(spark, sf_dir), match="first",
-        broadcast_bytes=0, hot_rows=3,
+        _plays(spark, sf_dir), _repeated_songs(spark, sf_dir), match="first", broadcast_bytes=0
     )
 
 
 @query
 def fact_inner_distinct(spark, sf_dir):
-    return op.songplays(
-        _plays(spark, sf_dir), song_records(spark, sf_dir), how="inner", keys=2, distinct=True
-    )
+    """Plays of which some are logged twice."""
+    plays = _plays(spark, sf_dir)
+    plays = plays.unionByName(plays.filter("itemInSession = 1"))
+    return op.songplays(plays, song_records(spark, sf_dir), how="inner", keys=2, distinct=True)
 
 
 @query
@@ -215,7 +225,7 @@ def fact_inner(spark, sf_dir):
 
 @query
 def fact_left_fanout(spark, sf_dir):
-    return op.songplays(_plays(spark, sf_dir, "s"), song_records(spark, sf_dir))
+    return op.songplays(_plays(spark, sf_dir, "s"), _repeated_songs(spark, sf_dir))
 
 
 @query
@@ -368,8 +378,8 @@ def upsert_last(spark, sf_dir):
     path = scratch_path(spark, "upsert")
     stored, later = _halves(spark, sf_dir)
     for rows in (stored, later):
-        sinks.upsert(rows, path, LINE_KEY, ["l_shipdate"])
-    return spark.read.parquet(path)
+        sinks.upsert(rows, path, LINE_KEY, ["l_shipdate"], buckets=8)
+    return sources.read_table(spark, path, stored.schema)
 
 
 @query
@@ -460,6 +470,15 @@ def layout_roundtrip(spark, sf_dir):
     return sources.read_table(spark, path)
 
 
+@query
+def bucketed_roundtrip(spark, sf_dir):
+    """A catalog table in buckets, read back."""
+    plays = op.song_data_by_user_and_session(_plays(spark, sf_dir, names=True))
+    name = f"plays_{uuid.uuid4().hex}"
+    sinks.save_bucketed(plays, name, 8, ["user_id"], ["session_id", "item_in_session"])
+    return spark.table(name)
+
+
 @query
 def csv_quoted_roundtrip(spark, sf_dir):
     """Quotes inside fields, and the play file written from the log and read again."""
@@ -564,29 +583,39 @@ def date_incremental(spark, sf_dir):
     )
 
 
+@query
+def date_incremental_file(spark, sf_dir):
+    """One day of a log of one file a day, beside the next day's."""
+    root = scratch_path(spark, "raw")
+    log = event_stream(spark, sf_dir)
+    for day in (RUN_DATE, NEXT_DATE):
+        log.filter(filed_on() == F.lit(day).cast("date")).write.json(sources.events_path(root, day))
+    return sources.read_events_for(spark, root, RUN_DATE).select(
+        "sessionId", "userId", "page", "song", "artist", "length", "ts"
+    )
+
+
 @query
 def stream_ingest(spark, sf_dir):
-    """The log streamed in file by file, and streamed again with nothing new to find."""
-    root, sink = _json_tree(spark, sf_dir), scratch_path(spark, "streamed")
-    checkpoint = scratch_path(spark, "progress")
-    songs = song_records(spark, sf_dir)
-    for _ in range(2):
+    """Closed lines streamed in, then all lines, which overlap them; some plays lack a session."""
+    session = F.col("sessionId")
+    log = event_log(spark, sf_dir).withColumn("sessionId", F.when(session % 50 != 0, session))
+    root, sink = scratch_path(spark, "json"), scratch_path(spark, "streamed")
+    songs, checkpoint = song_records(spark, sf_dir), scratch_path(spark, "progress")
+    for name, rows in (("first", log.filter("location = 'F'")), ("second", log)):
+        rows.write.json(f"{root}/{name}")
         stream_events(spark, root, checkpoint, lambda batch: store_plays(batch, songs, sink, PLAY))
-    return spark.read.parquet(sink).select("songplay_id", "year", "month")
+    return spark.read.parquet(sink).drop("event_key")
 
 
 @query
 def rerun_idempotent(spark, sf_dir):
-    """Every day loaded at once, then one day run again, twice."""
+    """Three days loaded one by one, two of them run again, twice."""
     root, sink = export_daily(spark, sf_dir), scratch_path(spark, "daily")
     songs = song_records(spark, sf_dir)
-    fact = keyed_plays(sources.read_json_tree(spark, f"{root}/log_data", EVENT), songs, PURCHASE)
-    sinks.overwrite_partitions(
-        fact.withColumn("event_date", F.to_date("start_time")), sink, ["event_date"]
-    )
-    for _ in range(2):
-        run_for_date(spark, root, RUN_DATE, songs, sink, PURCHASE, layout="partition")
-    return spark.read.parquet(sink).drop("event_date")
+    for day in (RUN_DATE, NEXT_DATE, "2024-01-17", NEXT_DATE, RUN_DATE, RUN_DATE):
+        run_for_date(spark, root, day, songs, sink, PURCHASE, layout="partition")
+    return spark.read.parquet(sink)
 
 
 # Quality
@@ -604,8 +633,11 @@ def quality_report(spark, sf_dir):
     lines, docs = tables["lineitem"], tables["documents"]
     log = event_log(spark, sf_dir, users=False)
     repeated = op.pk_violations(lines, LINE_KEY)
+    lines.createOrReplaceTempView("quality_lines")
     checks = {
         **op.has_rows_checks(tables),
+        "some_discount_in_sql": "SELECT count(*) AS n, max(l_discount) AS most FROM quality_lines",
+        "some_loss_in_sql": "SELECT count(*) AS n FROM quality_lines WHERE l_extendedprice < 0",
         "lineitem_key_unique": repeated.agg((F.count("*") == 0).alias("unique")),
         "order_key_unique": op.pk_violations(tables["orders"], ["o_orderkey"]).agg(
             (F.count("*") == 0).alias("unique")
@@ -620,6 +652,35 @@ def quality_report(spark, sf_dir):
     return op.run_checks(spark, checks).select("test_name", "passed")
 
 
+@query
+def failed_checks(spark, sf_dir):
+    """The one error that names every failed check of the report above."""
+    report = quality_report(spark, sf_dir).withColumn("detail", F.lit(""))
+    try:
+        op.assert_checks(report)
+    except op.DataQualityError as error:
+        return spark.createDataFrame([(int(str(error).split()[0]),)], "n_failed bigint")
+    return spark.createDataFrame([(0,)], "n_failed bigint")
+
+
+@query
+def star_violations(spark, sf_dir):
+    """Checks of keys, required columns and references on the log, of which some fail."""
+    tables = {
+        "lines": table(spark, sf_dir, "lineitem").withColumnsRenamed({"l_orderkey": "o_orderkey", "l_partkey": "p_partkey"}),
+        "orders": table(spark, sf_dir, "orders"),
+        "parts": table(spark, sf_dir, "part").filter("p_partkey % 2 = 0"),
+        "log": event_log(spark, sf_dir, users=False),
+    }
+    checks = op.star_checks(
+        tables,
+        unique={"orders": ["o_orderkey"], "lines": ["o_orderkey"]},
+        required={"lines": ["o_orderkey"], "log": ["ts", "length"]},
+        references={"lines": {"o_orderkey": "orders", "p_partkey": "parts"}},
+    )
+    return op.run_checks(spark, checks).select("test_name", "passed")
+
+
 @query
 def pk_violations(spark, sf_dir):
     return op.pk_violations(table(spark, sf_dir, "lineitem"), LINE_KEY)
@@ -679,6 +740,30 @@ def star_daily(spark, sf_dir):
     return tables["songplays"].select(*SONGPLAYS.fieldNames())
 
 
+@query
+def star_distinct_fact(spark, sf_dir):
+    tables = star.star_distinct(spark, export_monthly(spark, sf_dir), _out(spark), PLAY)
+    return tables["songplays"].drop("songplay_id")
+
+
+def _daily_reruns(spark, sf_dir):
+    """The whole log loaded, then two neighbouring days again, across whose midnight plays fall."""
+    root, out = export_daily(spark, sf_dir), _out(spark)
+    for run_date in (None, RUN_DATE, NEXT_DATE):
+        tables = star.star_daily(spark, root, out, run_date, PURCHASE, layout="partition")
+    return tables
+
+
+@query
+def star_daily_rerun(spark, sf_dir):
+    return _daily_reruns(spark, sf_dir)["songplays"]
+
+
+@query
+def star_daily_times(spark, sf_dir):
+    return _daily_reruns(spark, sf_dir)["time"]
+
+
 @query
 def star_daily_tables(spark, sf_dir):
     """Table sizes after loading the whole log and then one day again."""
@@ -690,10 +775,18 @@ def star_daily_tables(spark, sf_dir):
 
 @query
 def wide_tables(spark, sf_dir):
-    """The play file upserted into the three tables, twice over."""
+    """The play file upserted into the three tables, twice over; all their rows.
+
+    A later file logs some plays again, under a title with a line break in it.
+    Within a file, whose line order SQL cannot know, an item occurs once.
+    """
     root, out = scratch_path(spark, "csv-log"), scratch_path(spark, "wide")
     log = event_log(spark, sf_dir, names=True).drop("userAgent")
-    sinks.write_csv(log, root, quote_all=False)
+    log = op.pick_per_key(log, ["sessionId", "itemInSession"], ["ts"])
+    live = F.when(F.col("artist") != "", F.concat("song", F.lit("\n(live)"))).otherwise(F.col("song"))
+    sinks.write_csv(log, f"{root}/a", quote_all=False)
+    sinks.write_csv(log.filter("location = 'F'").withColumn("song", live), f"{root}/b", quote_all=False)
     for _ in range(2):
         tables = wide.wide_tables(spark, root, out)
-    return op.row_counts(tables)
+    rows = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    return sources.union_sources(*rows).withColumn("length", F.round(F.col("length").cast("double"), 2))

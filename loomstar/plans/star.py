@@ -15,6 +15,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from loomstar.functions.keys import play_key, surrogate_id
 from loomstar.operators.dimensions import (
@@ -22,15 +23,17 @@ from loomstar.operators.dimensions import (
 )
 from loomstar.operators.facts import catalogue, songplays, with_start_time
 from loomstar.operators.filters import plays
-from loomstar.operators.quality import assert_checks, has_rows_checks, run_checks
+from loomstar.operators.quality import (
+    assert_checks, has_rows_checks, run_checks, star_checks,
+)
 from loomstar.plans.steps import together
 from loomstar.schemas import ARTISTS, EVENT, SONG, SONGPLAYS, SONGS, STAR_KEYS, TIME, USERS
 from loomstar.sinks.tables import (
-    append, exists, insert_by_name, insert_by_position, insert_if_absent, load_dimension,
+    append, exists, insert_by_name, insert_by_position, insert_if_absent, layout, load_dimension,
     overwrite, overwrite_partitions, partition_path, reset_tables, write_table,
 )
 from loomstar.sources.files import (
-    read_events, read_events_for, read_json_tree, read_songs, read_table,
+    day_of, read_events, read_events_for, read_json_tree, read_songs, read_table, with_file_date,
 )
 from loomstar.sources.staging import (
     EVENT_MAPPING, EVENT_STAGE, WHOLE_EVENTS, WHOLE_SONGS, stage, stage_auto,
@@ -38,6 +41,13 @@ from loomstar.sources.staging import (
 
 # The generated key is a number, unlike the md5 key.
 _NUMBERED = ["songplay_id", *[c for c in SONGPLAYS.fieldNames() if c != "songplay_id"]]
+_FILE_DATE = {"event_date": ("event_date", "date")}
+_DATED = StructType([*SONGPLAYS.fields, StructField("event_date", DateType())])
+# What every star must satisfy: columns without nulls, and columns that refer to a table's key.
+_REQUIRED = {"songplays": ["start_time"]}
+_REFERENCES = {
+    "songplays": {"start_time": "time", "user_id": "users", "song_id": "songs", "artist_id": "artists"},
+}
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
@@ -53,12 +63,30 @@ def _stored(out: str, written: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def _checked(
+    spark: SparkSession, tables: dict[str, DataFrame], unique: Sequence[str] = ()
+) -> dict[str, DataFrame]:
+    """The tables, if unique keys do not repeat, plays have a time and references exist."""
+    keys = {name: STAR_KEYS[name] for name in unique}
+    assert_checks(run_checks(spark, star_checks(tables, keys, _REQUIRED, _REFERENCES)))
+    return tables
+
+
+def _write_days(df: DataFrame, path: str, day: dt.date | None, add: bool) -> None:
+    """Replace the days in `df`, or the one `day` even if it has no rows; or add to them."""
+    if day is None:
+        (append if add else overwrite_partitions)(df, path, ["event_date"])
+    else:
+        (append if add else overwrite)(df.drop("event_date"), partition_path(path, "event_date", day))
+
+
 def star_first_wins(
     spark: SparkSession, root: str, out: str, page: str = "NextSong"
 ) -> dict[str, DataFrame]:
     """Millisecond plays, each matched to at most one song; stored dimension rows win.
 
     Runs of the same files leave the dimensions as they are; plays are appended.
+    Fails if a dimension's key repeats, a play lacks its time, or a reference is missing.
     """
     songs, events = together(
         lambda: _staged(read_json_tree(spark, f"{root}/song_data", SONG), f"{out}/staging_songs"),
@@ -89,13 +117,16 @@ def star_first_wins(
         start = 0 if last is None else last + 1
     numbered = surrogate_id(fact, start=start).select(*_NUMBERED)
     append(numbered, target)
-    return _stored(out, {**dims, "songplays": numbered})
+    return _checked(spark, _stored(out, {**dims, "songplays": numbered}), unique=list(dims))
 
 
 def star_distinct(
     spark: SparkSession, root: str, out: str, page: str = "NextSong"
 ) -> dict[str, DataFrame]:
-    """Typed staging, distinct dimensions, distinct facts matched on title and artist."""
+    """Typed staging, distinct dimensions, distinct facts matched on title and artist.
+
+    Fails if a play lacks its time or a reference is missing.
+    """
     raw_songs = read_json_tree(spark, f"{root}/song_data", SONG)
     raw_events = read_json_tree(spark, f"{root}/log_data", EVENT)
     songs, events = together(
@@ -116,7 +147,7 @@ def star_distinct(
     fact = songplays(played, songs, how="inner", keys=2, distinct=True)
     numbered = surrogate_id(fact).select(*_NUMBERED)
     overwrite(numbered, f"{out}/songplays")
-    return _stored(out, {**dims, "songplays": numbered})
+    return _checked(spark, _stored(out, {**dims, "songplays": numbered}))
 
 
 def star_lake(
@@ -128,10 +159,13 @@ def star_lake(
 ) -> dict[str, DataFrame]:
     """Partitioned parquet, whole seconds, plays matched on title and artist name.
 
-    Fails if a table is already there.  Partitioning songs by artist makes a
-    folder per artist and year; for a catalogue with many artists pass
-    songs_by=["year"].
+    Fails if a table is already there, before it writes anything, and if a play lacks
+    its time or a reference is missing.  Partitioning songs by artist makes a folder
+    per artist and year; for a catalogue with many artists pass songs_by=["year"].
     """
+    there = [name for name in STAR_KEYS if exists(spark, f"{out}/{name}")]
+    if there:
+        raise FileExistsError(f"{out} already holds {', '.join(there)}")
     songs, events = together(
         lambda: _staged(read_songs(spark, root), f"{out}/staging_songs"),
         lambda: _staged(read_events(spark, root), f"{out}/staging_events"),
@@ -153,11 +187,11 @@ def star_lake(
         read_table(spark, f"{out}/songs", SONGS), read_table(spark, f"{out}/artists", ARTISTS)
     )
     fact = songplays(played, known, how="inner", keys=2)
-    dated = surrogate_id(fact).select(
-        *_NUMBERED, F.year("start_time").alias("year"), F.month("start_time").alias("month")
-    )
-    write_table(dated, f"{out}/songplays", partition_by=["year", "month"])
-    return _stored(out, {**dims, "songplays": dated})
+    by = ["year", "month"]
+    placed = fact.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+    dated = surrogate_id(layout(placed, by)).select(*_NUMBERED, *by)  # numbered after the shuffle
+    dated.write.partitionBy(*by).parquet(f"{out}/songplays")
+    return _checked(spark, _stored(out, {**dims, "songplays": dated}))
 
 
 def star_daily(
@@ -172,43 +206,42 @@ def star_daily(
     """Stage one day (or the whole log), add its plays, rebuild the dimensions, check.
 
     Measures are whole numbers, times whole seconds, keys md5.  Users come from
-    the staged events, times from the whole fact table with repeats kept.  The
-    plays replace those of an earlier run for the same days; `append_fact` adds
-    them regardless.  Fails if a table ends up empty.
+    the staged events, times from the plays with repeats kept.  A play belongs to
+    the day of its file, also when it begins on a neighbouring day, so whole loads
+    and daily ones agree.  The plays, and their times, replace those of an earlier
+    run for the same days and no other day is read or written; `append_fact` adds
+    them regardless.  Fails if a table ends up empty or a play lacks its time.
     """
+    day = None if run_date is None else day_of(run_date)
     raw = (
-        read_json_tree(spark, f"{root}/log_data", EVENT)
-        if run_date is None
-        else read_events_for(spark, root, run_date, layout)
+        with_file_date(read_json_tree(spark, f"{root}/log_data", EVENT))
+        if day is None
+        else read_events_for(spark, root, day, layout).withColumn("event_date", F.lit(day))
     )
     raw_songs = read_json_tree(spark, f"{root}/song_data", SONG)
     events, songs = together(
-        lambda: _staged(stage(raw, WHOLE_EVENTS), f"{out}/staging_events"),
+        lambda: _staged(stage(raw, {**WHOLE_EVENTS, **_FILE_DATE}), f"{out}/staging_events"),
         lambda: _staged(stage(raw_songs, WHOLE_SONGS), f"{out}/staging_songs"),
     )
     played = with_start_time(plays(events, page), "s")
 
-    fact = songplays(played, songs).select(
+    fact = songplays(played, songs, also=["event_date"]).select(
         play_key("session_id", "start_time").alias("songplay_id"), "*"
     )
-    placed = insert_by_position(fact, SONGPLAYS)
-    dated = placed.withColumn("event_date", F.to_date("start_time"))
-    if run_date is None:
-        write = append if append_fact else overwrite_partitions
-        write(dated, f"{out}/songplays", ["event_date"])
-    else:
-        write = append if append_fact else overwrite
-        write(placed, partition_path(f"{out}/songplays", "event_date", run_date))
-
-    dims = {
-        "users": users_dim(played),
-        "songs": songs_dim(songs),
-        "artists": artists_dim(songs),
-        "time": time_dim_from_fact(read_table(spark, f"{out}/songplays", dated.schema)),
-    }
+    dated = insert_by_position(fact, _DATED)
+    _write_days(dated, f"{out}/songplays", day, append_fact)
+    # The times of the days in hand, from the plays just stored.
+    stored = read_table(spark, f"{out}/songplays", _DATED)
+    if day is not None:
+        stored = stored.where(F.col("event_date") == F.lit(day))
+    times = time_dim_from_fact(stored, also=["event_date"])
+    _write_days(times, f"{out}/time", day, False)
+
+    dims = {"users": users_dim(played), "songs": songs_dim(songs), "artists": artists_dim(songs)}
     together(*[partial(load_dimension, dim, f"{out}/{name}") for name, dim in dims.items()])
 
-    tables = _stored(out, {**dims, "songplays": dated})
+    tables = _stored(out, {**dims, "time": times, "songplays": dated})
     checked = {"staging_events": events, "staging_songs": songs, **tables}
-    assert_checks(run_checks(spark, has_rows_checks(checked)))
+    no_time = star_checks({"songplays": tables["songplays"]}, required=_REQUIRED)
+    assert_checks(run_checks(spark, {**has_rows_checks(checked), **no_time}))
     return tables

@@ -11,8 +11,8 @@ from loomstar.operators.lookups import (
     song_data_by_session, song_data_by_user_and_session, user_data_by_song,
 )
 from loomstar.plans.steps import together
-from loomstar.sinks.tables import upsert, write_csv
-from loomstar.sources.files import read_events_csv, read_plays_csv, read_table
+from loomstar.sinks.tables import overwrite, upsert, write_csv
+from loomstar.sources.files import ARRIVAL, read_events_csv, read_table, with_arrival
 
 # The columns that place a row and order it there.
 PLACEMENT = {
@@ -27,21 +27,28 @@ _BUILD = {
 }
 
 
-def wide_tables(spark: SparkSession, root: str, out: str) -> dict[str, DataFrame]:
-    """Merge the CSV files into one play file and upsert the three tables from it.
+def wide_tables(
+    spark: SparkSession, root: str, out: str, multi_line: bool = True
+) -> dict[str, DataFrame]:
+    """Merge the CSV files into one play file and upsert the three tables from them.
 
-    A table that is new is laid out by its placement, so a lookup reads few row
-    groups; a stored one is merged with the plays, which win.
+    The export is parsed once, into typed parquet, with the place of each record;
+    of records with one key the later wins, by file name and then by line.  The
+    merged play file is written from there.  `multi_line` reads line breaks inside
+    quotes, one task a file; without it such a record fails the load.  A stored
+    table is merged with the plays, which win, bucket by touched bucket.
     """
-    merged = f"{out}/plays_csv"
-    played = non_empty(read_events_csv(spark, root), "artist")
-    write_csv(project_play11(played), merged, mode="overwrite")
-    plays = read_plays_csv(spark, merged)
+    played = non_empty(with_arrival(read_events_csv(spark, root, multi_line)), "artist")
+    staged = f"{out}/staging_plays"
+    overwrite(played, staged)
+    plays = spark.read.schema(played.schema).parquet(staged)
+    tables = {name: build(plays, ARRIVAL) for name, build in _BUILD.items()}
 
     def load(name: str) -> None:
         dist, sort = PLACEMENT[name]
         key = [*dist, *sort]
-        upsert(_BUILD[name](plays), f"{out}/{name}", key, dist=dist, sort=key)
+        upsert(tables[name], f"{out}/{name}", key, sort=key)
 
-    together(*[partial(load, name) for name in PLACEMENT])
-    return {name: read_table(spark, f"{out}/{name}") for name in PLACEMENT}
+    merge = partial(write_csv, project_play11(plays), f"{out}/plays_csv", mode="overwrite")
+    together(merge, *[partial(load, name) for name in PLACEMENT])
+    return {name: read_table(spark, f"{out}/{name}", df.schema) for name, df in tables.items()}

@@ -27,14 +27,14 @@ DEFAULTS = {
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Task sizes for a run over `input_bytes` on `cores`, as settings.
 
-    Shuffle partitions start near 256 MB, at least two per core, and AQE merges
-    what turns out small; their number is capped, as every one is a block per
-    map task.  Scan tasks grow from 128 MB to 1 GB where the input would
-    otherwise make more than a hundred of them per core.
+    Shuffle partitions start near 256 MB at any size, at least two per core, and
+    AQE merges what turns out small.  Scan tasks grow from 128 MB where the input
+    would otherwise make more than a hundred of them per core, which keeps the
+    number of shuffle blocks in bounds.
     """
     mib = 1 << 20
-    partitions = min(max(input_bytes // (256 * mib), 2 * cores), 40_000)
-    scan = min(max(input_bytes // (100 * cores), 128 * mib), 1024 * mib)
+    partitions = max(-(-input_bytes // (256 * mib)), 2 * cores)
+    scan = max(input_bytes // (100 * cores), 128 * mib)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(scan),

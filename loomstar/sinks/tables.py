@@ -15,7 +15,14 @@ from pyspark.sql.types import StructType
 
 from loomstar.operators.dedup import pick_per_key
 from loomstar.operators.skew import BROADCAST_BYTES, equal_nulls, measured_bytes, prefixed
-from loomstar.session import scratch_root
+from loomstar.session import scratch_path
+
+
+#: Combinations of values that become a filter of the stored partitions.
+MAX_TOUCHED = 1_000
+#: Partitions of a new upsert table without partition columns; pass more for a large one.
+BUCKETS = 64
+_BUCKET = "bucket_of_"
 
 
 def layout(df: DataFrame, dist: Sequence[str] = (), sort: Sequence[str] = ()) -> DataFrame:
@@ -150,9 +157,52 @@ def within(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> Data
     return target
 
 
+def touching(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of `target` that share a combination of values with `source`, null equal to null.
+
+    Up to MAX_TOUCHED combinations become a filter, so exactly their partitions are
+    opened: a stray old row in `source` opens one more.  Beyond that the rows are
+    narrowed to the range of each column and semi-joined.
+    """
+    kinds = dict(source.dtypes)
+    combinations = source.select(*columns).distinct()
+    if "timestamp" not in {kinds[c] for c in columns}:  # its text can be ambiguous
+        texts = [F.col(c).cast("string").alias(c) for c in columns]
+        found = combinations.select(*texts).limit(MAX_TOUCHED + 1).collect()
+        if len(found) <= MAX_TOUCHED:
+            same = [
+                reduce(lambda a, b: a & b, [
+                    F.col(c).isNull() if row[c] is None else F.col(c) == F.lit(row[c]).cast(kinds[c]) for c in columns
+                ])
+                for row in found
+            ]
+            return target.filter(reduce(lambda a, b: a | b, same, F.lit(False)))
+    marked = prefixed(combinations, columns)
+    if measured_bytes(marked) <= BROADCAST_BYTES:
+        marked = F.broadcast(marked)  # stored rows stay where they are read
+    return within(target, source, columns).join(marked, equal_nulls(columns), "left_semi")
+
+
 def absent(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `source` whose key `target` lacks; null keys compare as equal."""
-    return source.join(prefixed(target, keys), equal_nulls(keys), "left_anti")
+    """Rows of `source` whose key `target` lacks; null keys compare as equal.
+
+    Whole keys join by plain equality, which reuses a partitioning by key; rows
+    with a null in their key, usually few, take a branch of their own.
+    """
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+    known = prefixed(target, keys)
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in keys])
+    broken = prefixed(target.filter(~whole), keys)
+    return source.filter(whole).join(known, same, "left_anti").unionByName(
+        source.filter(~whole).join(broken, equal_nulls(keys), "left_anti")
+    )
+
+
+def _once(df: DataFrame) -> DataFrame:
+    """`df` computed once and for all, in a file of the shared folder."""
+    path = scratch_path(df.sparkSession, "incoming")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def insert_if_absent(
@@ -168,16 +218,16 @@ def insert_if_absent(
     Of several new rows with one key the first in `order_by` is taken, ties by
     the remaining columns.  Repeating the call changes nothing.  `prune_on`
     names columns that the key determines and the table is partitioned or
-    sorted by; stored rows outside their range in `df` are then not read.
+    sorted by; stored rows with other values are then not read.
     """
     spark = df.sparkSession
     fresh = pick_per_key(df, keys, order_by, "first")
     if exists(spark, path):
         stored = spark.read.schema(df.schema).parquet(path)
         if prune_on:
-            scratch_root(spark)
-            fresh = fresh.checkpoint()  # computed once, for its range and for the insert
-        fresh = absent(fresh, within(stored, fresh, prune_on), keys)
+            fresh = _once(fresh)  # for its values and for the insert
+            stored = touching(stored, fresh, prune_on)
+        fresh = absent(fresh, stored, keys)
     append(fresh, path, partition_by)
 
 
@@ -193,34 +243,31 @@ def upsert(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
-    dist: Sequence[str] = (),
     sort: Sequence[str] = (),
+    buckets: int = BUCKETS,
 ) -> None:
     """Insert new keys and replace the rows of stored ones, last write wins.
 
-    A table partitioned by columns its key determines is rewritten only in the
-    partitions that `df` touches.  Any other table is rewritten whole, from a
-    checkpoint in the shared folder, as its files are gone while it is written.
+    `partition_by` names columns that the key determines.  Without any the table is
+    partitioned by a hash of the key, `buckets` of them when it is created, in a
+    column that readers drop by naming theirs.  Only the partitions that `df` touches
+    are read and rewritten: into a folder beside them, which takes their place when
+    all rows are there, so a write that fails leaves the stored rows as they were.
     """
     spark = df.sparkSession
-    scratch_root(spark)
+    stored = spark.read.parquet(path) if exists(spark, path) else None
+    if not partition_by:
+        known = [c for c in stored.columns if c.startswith(_BUCKET)] if stored is not None else []
+        name = known[0] if known else f"{_BUCKET}{buckets}"
+        size = int(name.removeprefix(_BUCKET))
+        df = df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(size)).cast("int"))
+        partition_by = [name]
     latest = pick_per_key(df, keys, order_by, "last")
-    if not exists(spark, path):
-        write_table(latest, path, "append", partition_by, dist, sort)
-        return
-    stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    if partition_by:
-        latest = latest.checkpoint()  # computed once, for its partitions and for the merge
-        touched = prefixed(latest, partition_by).distinct()
-        if measured_bytes(touched) <= BROADCAST_BYTES:
-            touched = F.broadcast(touched)  # stored rows stay where they are read
-        affected = within(stored, latest, partition_by).join(
-            touched, equal_nulls(partition_by), "left_semi"
-        )
-        overwrite_partitions(merged(latest, affected, keys), path, partition_by, sort)
-    else:
-        state = merged(latest, stored, keys).checkpoint()
-        write_table(state, path, "overwrite", (), dist, sort)
+    if stored is not None:
+        latest = _once(latest)  # for its partitions and for the merge
+        stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        latest = merged(latest, touching(stored, latest, partition_by), keys)
+    overwrite_partitions(latest, path, partition_by, sort)
 
 
 def insert_by_name(

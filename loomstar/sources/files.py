@@ -13,10 +13,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from loomstar.schemas import EVENT, EVENT_CSV, PLAY11, SONG
 
+ARRIVAL = ("arrival_file", "arrival_block", "arrival_row")
+
 
 def read_json_tree(
     spark: SparkSession, root: str | list[str], schema: StructType, mode: str = "FAILFAST"
@@ -41,12 +43,27 @@ def read_events(spark: SparkSession, root: str, mode: str = "FAILFAST") -> DataF
     return spark.read.schema(EVENT).option("mode", mode).json(f"{root}/log_data/*/*/*.json")
 
 
+def day_of(run_date: dt.date | str) -> dt.date:
+    """A run date; text must be YYYY-MM-DD."""
+    return dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
+
+
 def events_path(root: str, run_date: dt.date | str) -> str:
     """Where the event log of one day lies."""
-    day = dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
+    day = day_of(run_date)
     return f"{root}/log_data/{day:%Y}/{day:%m}/{day:%Y-%m-%d}-events.json"
 
 
+def with_file_date(df: DataFrame, name: str = "event_date") -> DataFrame:
+    """Add the date that each record's file is named by, in either layout of `read_events_for`.
+
+    A day is what its file holds, also where a record's own time lies on a
+    neighbouring day.  Null for files without a date; call it on a scan.
+    """
+    found = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})(?:-events\.json|/[^/]+)$", 1)
+    return df.withColumn(name, found.try_cast("date"))
+
+
 def read_events_for(
     spark: SparkSession,
     root: str,
@@ -54,7 +71,7 @@ def read_events_for(
     layout: str = "file",
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """The event log of one day only; no other day's file is opened.
+    """The event log of one day only; no other day's folder is even listed.
 
     layout  `file`       log_data/YYYY/MM/YYYY-MM-DD-events.json
             `partition`  log_data/event_date=YYYY-MM-DD/
@@ -63,9 +80,8 @@ def read_events_for(
         return spark.read.schema(EVENT).option("mode", mode).json(events_path(root, run_date))
     if layout != "partition":
         raise ValueError(f"unknown layout {layout!r}")
-    dated = StructType([*EVENT.fields, StructField("event_date", DateType())])
-    log = spark.read.schema(dated).option("mode", mode).json(f"{root}/log_data")
-    return log.filter(F.col("event_date") == F.lit(str(run_date)).cast("date")).drop("event_date")
+    folder = f"{root}/log_data/event_date={day_of(run_date)}"
+    return spark.read.schema(EVENT).option("mode", mode).json(folder)
 
 
 def _csv(spark: SparkSession, root: str | list[str], schema: StructType, multi_line: bool, mode: str):
@@ -77,6 +93,7 @@ def _csv(spark: SparkSession, root: str | list[str], schema: StructType, multi_l
         .option("encoding", "UTF-8")
         .option("recursiveFileLookup", True)
         .option("multiLine", multi_line)
+        .option("columnPruning", False)  # a pruned parse cannot see that a record is malformed
         .option("mode", mode)
         .csv(root)
     )
@@ -88,7 +105,7 @@ def read_events_csv(
     """The CSV export of the log: one header per file, any number of files.
 
     `multi_line` allows line breaks inside quotes, at the price that a file is
-    no longer split over tasks.
+    no longer split over tasks.  Without it such a record fails the read.
     """
     return _csv(spark, root, EVENT_CSV, multi_line, mode)
 
@@ -111,6 +128,21 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Add ARRIVAL, the order in which a scan's records lie: by file, then by place in it.
+
+    The row number grows within each task's part of a file, which the block start
+    puts in order, so the order does not depend on how tasks were scheduled.
+    """
+    file, block, row = ARRIVAL
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias(file),
+        F.col("_metadata.file_block_start").alias(block),
+        F.monotonically_increasing_id().alias(row),
+    )
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """All rows of all frames, columns matched by name, missing ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

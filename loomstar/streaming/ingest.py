@@ -8,14 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstar.functions.keys import play_key
+from loomstar.functions.keys import event_key, play_key
 from loomstar.operators.facts import songplays, with_start_time
 from loomstar.operators.filters import plays
 from loomstar.schemas import EVENT
 from loomstar.sinks.tables import insert_if_absent, overwrite, partition_path
-from loomstar.sources.files import read_events_for
+from loomstar.sources.files import day_of, read_events_for
 
 _BY_MONTH = ["year", "month"]
+#: Files in one batch of a stream, which commits after each.
+MAX_FILES = 1_000
 
 
 def keyed_plays(
@@ -29,15 +31,17 @@ def keyed_plays(
 def store_plays(events: DataFrame, songs: DataFrame, sink: str, page: str = "NextSong") -> None:
     """Insert the plays of `events` that `sink` lacks; repeating it changes nothing.
 
-    Year and month follow from the key, so only the partitions the events fall
-    into are read back.
+    A play is known by `event_key`, a digest of the whole record: plays of one
+    session in the same second, or without a session, stay apart, while a record
+    that is delivered again is not stored again.  Year and month follow from the
+    record, so only the months the events fall into are read back.
     """
-    fact = keyed_plays(events, songs, page, match="first").withColumns(
+    played = with_start_time(plays(events, page), "s").withColumn("event_key", event_key(EVENT.fieldNames()))
+    fact = songplays(played, songs, match="first", also=["event_key"])
+    fact = fact.select(play_key("session_id", "start_time").alias("songplay_id"), "*").withColumns(
         {"year": F.year("start_time"), "month": F.month("start_time")}
     )
-    insert_if_absent(
-        fact, sink, ["songplay_id"], ["start_time"], _BY_MONTH, [*_BY_MONTH, "start_time"]
-    )
+    insert_if_absent(fact, sink, ["event_key"], ["start_time"], _BY_MONTH, _BY_MONTH)
 
 
 def stream_events(
@@ -45,12 +49,13 @@ def stream_events(
     root: str,
     checkpoint: str,
     load: Callable[[DataFrame], None],
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
 ) -> int:
     """Give `load` every log file below `root` not yet seen; return the batches run.
 
-    The checkpoint records which files are done.  A batch that failed half way
-    is given again, so `load` must bear repeating, as `store_plays` does.
+    Files come `max_files` at a time (None: all at once) and are committed after
+    each batch in the checkpoint.  A batch that failed half way is given again, so
+    `load` must bear repeating, as `store_plays` does.
     """
     reader = (
         spark.readStream.schema(EVENT)
@@ -60,15 +65,21 @@ def stream_events(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    batches = []
+
+    def run(batch: DataFrame, number: int) -> None:
+        load(batch)
+        batches.append(number)
+
     query = (
         reader.json(root)
-        .writeStream.foreachBatch(lambda batch, _: load(batch))
+        .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p.numInputRows > 0)
+    return len(batches)
 
 
 def run_for_date(
@@ -80,6 +91,7 @@ def run_for_date(
     page: str = "NextSong",
     layout: str = "file",
 ) -> None:
-    """Load one day's plays, replacing what an earlier run of that day stored."""
-    fact = keyed_plays(read_events_for(spark, root, run_date, layout), songs, page)
-    overwrite(fact, partition_path(sink, "event_date", run_date))
+    """Load the plays of one day's file, replacing what an earlier run of that day stored."""
+    day = day_of(run_date)
+    fact = keyed_plays(read_events_for(spark, root, day, layout), songs, page)
+    overwrite(fact, partition_path(sink, "event_date", day))

@@ -47,25 +47,60 @@ def test_insert_if_absent_first_write_wins(spark, out):
     assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "d", 0), (None, "n", 0)]
 
 
-def test_insert_if_absent_reads_only_the_range_it_needs(spark, out):
+def test_insert_if_absent_opens_only_the_partitions_it_needs(spark, out):
+    """A stray old row opens its own partition, not all of them since."""
     path = f"{out}/t"
-    first = spark.range(100).selectExpr("cast(id as int) k", "'a' v", "cast(id div 10 as int) at")
+    first = kv(spark, *[(k, "a", k) for k in range(10)])
     sinks.insert_if_absent(first, path, ["k"], [], ["at"], ["at"])
-    again = first.filter("at = 3").unionByName(kv(spark, (200, "b", 3)))
-    sinks.insert_if_absent(again, path, ["k"], [], ["at"], ["at"])
-    table = spark.read.parquet(path)
-    assert table.count() == 101 and table.filter("at = 3").count() == 11
-    stored = sinks.tables.within(table, again, ["at"])
+    again = kv(spark, (9, "z", 9), (1, "z", 1), (99, "n", 9))
+    stored = sinks.tables.touching(spark.read.parquet(path), again, ["at"])
+    assert sorted(r.at for r in stored.select("at").distinct().collect()) == [1, 9]
     plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"\(at#\d+ >= 3\)", plan) and "DataFilters: []" in plan
+    assert "PartitionFilters: [" in plan and "at#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    sinks.insert_if_absent(again, path, ["k"], [], ["at"], ["at"])
+    assert spark.read.parquet(path).count() == 11
+
+
+def test_whole_keys_join_on_the_partitioning_they_have(spark, out):
+    """One exchange on each side: rows already parted by key do not shuffle again."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = kv(spark, *[(k, "a", k) for k in range(5)]).groupBy("k").agg(F.min("v").alias("v"))
+        plan = sinks.tables.absent(fresh, kv(spark, (1, "b", 1)), ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(k#") <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_more_combinations_than_a_filter_holds(spark, monkeypatch):
+    monkeypatch.setattr(sinks.tables, "MAX_TOUCHED", 2)
+    table = kv(spark, *[(k, "a", k) for k in range(9)], (10, "a", None))
+    found = sinks.tables.touching(table, kv(spark, (0, "", 1), (0, "", 4), (0, "", 6), (0, "", None)), ["at"])
+    assert sorted(str(r.at) for r in found.collect()) == ["1", "4", "6", "None"]
 
 
 def test_upsert_last_write_wins(spark, out):
     path = f"{out}/t"
-    sinks.upsert(kv(spark, (1, "a", 9), (1, "b", 1), (2, "c", 0)), path, ["k"], ["at"])
-    assert rows(spark.read.parquet(path)) == [(1, "a", 9), (2, "c", 0)]
+    read = lambda: rows(spark.read.parquet(path).select("k", "v", "at"))
+    sinks.upsert(kv(spark, (1, "a", 9), (1, "b", 1), (2, "c", 0)), path, ["k"], ["at"], buckets=4)
+    assert read() == [(1, "a", 9), (2, "c", 0)]
     sinks.upsert(kv(spark, (1, "z", 0), (3, "n", 0)), path, ["k"], ["at"])
-    assert rows(spark.read.parquet(path)) == [(1, "z", 0), (2, "c", 0), (3, "n", 0)]
+    assert read() == [(1, "z", 0), (2, "c", 0), (3, "n", 0)]
+
+
+def test_upsert_of_one_key_rewrites_one_bucket_and_fails_safely(spark, out):
+    path = f"{out}/t"
+    sinks.upsert(kv(spark, *[(k, "a", 0) for k in range(100)]), path, ["k"], buckets=8)
+    files = lambda: {r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()}
+    before = files()
+    sinks.upsert(kv(spark, (5, "z", 1)), path, ["k"])
+    assert len(before - files()) == 1 and len(files()) == len(before)
+    state, stored = files(), rows(spark.read.parquet(path).select("k", "v", "at"))
+    bad = kv(spark, (6, "x", 1)).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.upsert(bad, path, ["k"])
+    assert files() == state and rows(spark.read.parquet(path).select("k", "v", "at")) == stored
 
 
 def test_upsert_touches_only_its_partitions(spark, out):

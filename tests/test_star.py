@@ -70,7 +70,7 @@ def test_time_from_fact_keeps_repeats(spark, plays):
         (dict(truncate_duration=True), 6, 5),
         (dict(match="first", how="inner"), 3, 3),
         (dict(match="first", broadcast_bytes=0), 5, 3),
-        (dict(match="first", broadcast_bytes=0, hot_rows=2), 5, 3),
+        (dict(match="first", broadcast_bytes=0), 5, 3),
     ],
 )
 def test_fact_variants(spark, plays, options, rows, matched):
@@ -191,8 +191,8 @@ def test_facts_against_brute_force(spark, seed):
         return collections.Counter((r.session_id, r.song_id) for r in fact.collect())
 
     assert got(match="first") == expect(3, "left", True)
-    assert got(match="first", broadcast_bytes=0, hot_rows=50) == expect(3, "left", True)
-    assert got(match="first", keys=2, broadcast_bytes=0, hot_rows=10**9) == expect(2, "left", True)
+    assert got(match="first", broadcast_bytes=0) == expect(3, "left", True)
+    assert got(match="first", keys=2, broadcast_bytes=0) == expect(2, "left", True)
     assert got() == expect(3, "left", False)
     assert got(how="inner", keys=2) == expect(2, "inner", False)
     assert got(truncate_duration=True) == expect(3, "left", False, cut=True)
