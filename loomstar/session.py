@@ -74,6 +74,20 @@ def scratch_root(spark: SparkSession) -> str:
     return own
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared scratch folder."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has put under `scratch_path`.
+
+    Call it once no result that was read from there is needed any more; a
+    DataFrame returned by a load or a query may still be.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -173,6 +173,16 @@ def test_scratch_paths_lie_in_the_named_folder(spark):
     assert named is None or root == named
 
 
+def test_scratch_is_removed_on_request(spark):
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    session.clear_scratch(spark)
+    session.clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_task_sizes_follow_the_input_and_the_cluster():
     tb = 1 << 40
     small, large = session.sizing(10 << 30, 64), session.sizing(100 * tb, 4000)
