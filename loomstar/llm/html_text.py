@@ -33,19 +33,21 @@ BROADCAST_PATHS = 200_000
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|select|option|canvas|object"
+RAW = "script|style|noscript|textarea|title|iframe"
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var".split()
 )
-GONE = frozenset("head nav aside footer form dialog menu button fieldset input audio video map".split())
+GONE = frozenset(
+    "head nav aside footer form dialog menu button fieldset audio video map template svg math select option canvas object".split()
+)
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl dt dd fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr li main menu nav ol p pre section table ul".split()
 )
 SIBLINGS = {
     "li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
-    "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
+    "option": ("option", ("select", "datalist")), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
 }
 #: Words in a class, id or role that name what is not the article.
 NOISE_WORDS = frozenset(

@@ -33,6 +33,8 @@ def test_broken_and_odd_markup():
     assert text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>") == "deep"
     assert text("<article><p>" + "word " * 200_000 + "</article>") == ("word " * 200_000).strip()
     assert text("<script>never ends <p>x") == ""
+    assert text("<article><p>a<select><option>no<option>no</select><svg><title>no</title></svg><p>b</article>") == "a\nb"
+    assert text("<div><option>no</div><p>c<div><svg><path d='x'></div><p>d") == "c\nd"
 
 
 def pages(spark, rows):
