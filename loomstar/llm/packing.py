@@ -11,16 +11,19 @@ what is left of it goes back to the index, so that only a shard's last window is
 from __future__ import annotations
 
 import base64
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.common import bounded, narrow, store
-from loomstar.llm.words import mix
+from loomstar.llm.common import bounded, narrow
+from loomstar.session import scratch_path
 
 WINDOW = 1024
 END_ID = 0
@@ -31,8 +34,8 @@ SHARD_DOCUMENTS = 1_000
 #: A window's query: the seed's ids of the highest weight.
 QUERY_IDS = 32
 K1, B = 1.2, 0.75
-#: Distinct words whose ids a task remembers before it forgets them all.
-REMEMBERED = 200_000
+#: A Python worker remembers the ids of so many distinct words, and of as many before them: 150 MB at most.
+REMEMBERED = 300_000
 
 
 def default_ranks() -> str:
@@ -57,29 +60,58 @@ class Encoder:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._known: dict[str, bytes | None] = {}
+        self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+        self._tails: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self._whole.encode_ordinary(text), "<u2").tobytes()
+        ids = array("H", self._whole.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a blank and the word; none if the word cannot be encoded apart from its text."""
+        ids = self._before.get(word)
+        if ids is None:
+            stem = word.rstrip(_MARKS)
+            if not word or word[0].isspace() or word[-1].isspace():
+                ids = b""
+            elif stem != word and stem[-1:].isalpha():  # the pattern parts letters from marks
+                ids = (self._known.get(stem) or self._word(stem)) + self._tail(word[len(stem) :])
+            else:
+                ids = self._ids(" " + word)
+        if len(self._known) >= REMEMBERED:
+            self._before, self._known = self._known, {}
+        self._known[word] = ids
+        return ids
+
+    def _tail(self, marks: str) -> bytes:
+        ids = self._tails.get(marks)
+        if ids is None:
+            ids = self._ids(marks)
+            if len(self._tails) < 1_000:
+                self._tails[marks] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
         head, *words = text.split(" ")
-        known, parts = self._known, []
         if head[-1:].isspace():
             return self._ids(text)
-        for word in words:
-            ids = known.get(word, 0)
-            if ids == 0:
-                ids = None if not word or word[0].isspace() or word[-1].isspace() else self._ids(" " + word)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[word] = ids
-            if ids is None:
-                return self._ids(text)
-            parts.append(ids)
+        parts = list(map(self._known.get, words))
+        if None in parts:
+            parts = [self._word(w) if x is None else x for w, x in zip(words, parts)]
+        if b"" in parts:
+            return self._ids(text)
         return self._ids(head) + b"".join(parts)
 
 
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One for each Python worker, whose tasks share what it remembers."""
+    return Encoder(path)
+
+
 def crc(ids: bytes) -> int:
     """crc32 over the ids as little-endian 32-bit numbers."""
     return zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
@@ -88,14 +120,16 @@ def crc(ids: bytes) -> int:
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
-_CUT = "doc_id long, start long, doc_tokens long, sketch long, ids binary"
+#: Marks that often close a word; none of them begins a contraction.
+_MARKS = ".,;:!?*#$%&|)"
+_CUT = "doc_id long, start long, doc_tokens long, ids binary, part int"
 
 
 def _cut(path: str):
     """Whole windows and the remainder of each document, as rows of pieces."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = Encoder(path), np.array([END_ID], "<u2").tobytes()
+        encode, end = encoder(path), np.array([END_ID], "<u2").tobytes()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].array, batch["text"]):
@@ -103,10 +137,10 @@ def _cut(path: str):
                 tokens = len(ids) // 2
                 last = tokens - tokens % WINDOW
                 for start in range(0, last, WINDOW):
-                    rows.append((doc_id, start, tokens, -1, ids[2 * start : 2 * (start + WINDOW)]))
+                    rows.append((doc_id, start, tokens, ids[2 * start : 2 * (start + WINDOW)], 0))
                 if last < tokens:
-                    rows.append((doc_id, last, tokens, 0, ids[2 * last :]))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "doc_tokens", "sketch", "ids"])
+                    rows.append((doc_id, last, tokens, ids[2 * last :], 1))
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "doc_tokens", "ids", "part"])
 
     return run
 
@@ -121,12 +155,17 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"id": used, "documents": found[used]})
 
 
-def _sketch(ids: bytes, documents: np.ndarray) -> int:
-    """The rarest two ids that other documents hold too: near documents sort together."""
-    own = np.unique(np.frombuffer(ids, "<u2"))
-    often = np.where(documents[own] > 1, documents[own], np.iinfo(np.int64).max)
-    rarest = own[np.lexsort((own, often))[:2]].astype(np.int64)
-    return int(rarest[0] * VOCABULARY + rarest[-1])
+def _sketches(batch: list[bytes], documents: np.ndarray) -> np.ndarray:
+    """Each text's rarest two ids that other documents hold too: near documents sort together."""
+    ids = np.frombuffer(b"".join(batch), "<u2").astype(np.int64)
+    sizes = np.fromiter(map(len, batch), np.int64, len(batch)) // 2
+    often = documents[ids]
+    rank = np.where(often > 1, often, np.int64(1) << 40) * VOCABULARY + ids
+    starts = np.cumsum(sizes) - sizes
+    first = np.minimum.reduceat(rank, starts)
+    rest = np.where(rank == np.repeat(first, sizes), np.iinfo(np.int64).max, rank)
+    second = np.minimum(np.minimum.reduceat(rest, starts), np.iinfo(np.int64).max - 1)
+    return first % VOCABULARY * VOCABULARY + second % VOCABULARY
 
 
 def pack_shard(items: list[tuple[int, bytes]], documents: np.ndarray, total: int) -> list[tuple[int, int, int, int, int]]:
@@ -164,9 +203,9 @@ def pack_shard(items: list[tuple[int, bytes]], documents: np.ndarray, total: int
         query = terms[seed]
         if len(query) > QUERY_IDS:
             query = query[np.argsort(-idf[query], kind="stable")[:QUERY_IDS]]
-        spans = [np.arange(first[t], first[t + 1]) for t in query]
-        at = np.concatenate(spans)
-        score = np.bincount(owner[at], weights=weight[at], minlength=n)
+        spans = [slice(first[t], first[t + 1]) for t in query]
+        found = np.concatenate([owner[x] for x in spans])
+        score = np.bincount(found, weights=np.concatenate([weight[x] for x in spans]), minlength=n)
         score[left == 0] = -1
         for k in np.argsort(-score, kind="stable"):
             if not room or score[k] < 0:
@@ -236,8 +275,10 @@ def pack(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     path = ranks or default_ranks()
     one = narrow(docs, doc_id="long", text="string")
-    cut = store(bounded(one).mapInPandas(_cut(path), _CUT), "cut")
-    rest, whole = cut.where("sketch = 0"), cut.where("sketch < 0")
+    place = scratch_path(spark, "cut")
+    bounded(one).mapInPandas(_cut(path), _CUT).write.partitionBy("part").parquet(place)
+    cut = spark.read.schema(_CUT).parquet(place)
+    rest, whole = cut.where("part = 1"), cut.where("part = 0")
 
     counts = bounded(rest).mapInPandas(_frequencies, "id int, documents long")
     counts = counts.groupBy("id").agg(F.sum("documents").alias("documents")).toPandas()
@@ -248,7 +289,7 @@ def pack(docs: DataFrame, ranks: str | None = None) -> DataFrame:
 
     @F.pandas_udf("long")
     def sketch(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: _sketch(x, share.value))
+        return pd.Series(_sketches(ids.tolist(), share.value) if len(ids) else [], dtype="int64")
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _pack(share.value, total)(batches)
@@ -257,7 +298,7 @@ def pack(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     # sketches of any number are parted by id, so no shard outgrows its size.
     shards = max(1, -(-total // SHARD_DOCUMENTS))
     order = ["sketch", "doc_id", "start", "tie"]
-    dealt = rest.withColumn("sketch", sketch("ids")).withColumn("tie", F.xxhash64("ids"))
+    dealt = bounded(rest).withColumn("sketch", sketch("ids")).withColumn("tie", F.xxhash64("ids"))
     dealt = dealt.repartitionByRange(max(1, -(-shards // 4)), *order).sortWithinPartitions(*order)
     parts = bounded(dealt.select("doc_id", "start", "doc_tokens", "ids")).mapInPandas(packed, PIECE)
     return parts.unionByName(bounded(whole.select("doc_id", "start", "doc_tokens", "ids")).mapInPandas(_whole, PIECE))
