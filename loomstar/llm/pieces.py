@@ -28,6 +28,8 @@ from loomstar.llm.words import mix
 SEED = 7
 #: Weights are (1 + rank) ** -SHARPNESS; larger values draw fewer, commoner pieces.
 SHARPNESS = 1.0
+#: Nodes of one lattice, 130 bytes each; only a longer run without a blank makes a larger one.
+NODES = 500_000
 
 _BLANK, _MARK, _LITERAL = 0x20, 0x2581, 0x110000  # fixed values: blank, blank mark, a stand-in for a mark in a text
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd 64-bit multiplier
@@ -191,26 +193,31 @@ def sample(vocab: Vocabulary, texts: list[str], keys: np.ndarray) -> list[np.nda
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
     first, of = first[order], number[of]
-    base, share, ids = _lattice(vocab, codes, start[first], length[first])
+    group_of = np.cumsum(length[first] + 1) // NODES
 
     owner = np.repeat(np.arange(len(texts)), sizes)[start]
     seed = mix(mix(keys.astype(np.uint64)) + np.uint64(SEED))[owner]
     shift = start - text_start[owner]  # place of the chunk in its text
     drawn = np.full(total, -1, np.int32)
-    chunk, left = np.arange(len(start)), length.copy()
-    while len(chunk):
-        node = base[of[chunk]] + left
-        u = (mix(seed[chunk] + (shift[chunk] + left).astype(np.uint64) * _STEP) >> np.uint64(11)).astype(float) * 2.0**-53
-        taken = np.zeros(len(chunk), np.int64)
-        open_ = np.arange(len(chunk))
-        for k in range(vocab.longest):  # the piece that the draw falls on
-            open_ = open_[u[open_] >= share[k, node[open_]]]
-            if not len(open_):
-                break
-            taken[open_] += 1
-        left = left - taken - 1
-        drawn[start[chunk] + left] = ids[taken, node]
-        chunk, left = chunk[left > 0], left[left > 0]
+    for group in np.unique(group_of):  # distinct chunks, as many as one lattice holds
+        a, b = np.searchsorted(group_of, [group, group + 1])
+        base, share, ids = _lattice(vocab, codes, start[first[a:b]], length[first[a:b]])
+        chunk = np.flatnonzero((of >= a) & (of < b))
+        left = length[chunk]
+        while len(chunk):
+            node = base[of[chunk] - a] + left
+            draw = mix(seed[chunk] + (shift[chunk] + left).astype(np.uint64) * _STEP)
+            u = (draw >> np.uint64(11)).astype(float) * 2.0**-53
+            taken = np.zeros(len(chunk), np.int64)
+            open_ = np.arange(len(chunk))
+            for k in range(vocab.longest):  # the piece that the draw falls on
+                open_ = open_[u[open_] >= share[k, node[open_]]]
+                if not len(open_):
+                    break
+                taken[open_] += 1
+            left = left - taken - 1
+            drawn[start[chunk] + left] = ids[taken, node]
+            chunk, left = chunk[left > 0], left[left > 0]
 
     at = np.flatnonzero(drawn != -1)
     out = drawn[at].astype(np.int64)

@@ -27,6 +27,13 @@ def test_decoding_is_lossless_and_batches_do_not_matter(texts):
         assert pieces.sample(vocab, [t], keys(len(texts))[k : k + 1])[0].tolist() == ids[k].tolist()
 
 
+def test_the_size_of_a_lattice_changes_nothing(monkeypatch):
+    texts, vocab = [text(200, k) for k in range(5)] + ["", "x" * 300], pieces.vocabulary(MODEL)
+    whole = pieces.sample(vocab, texts, keys(7))
+    monkeypatch.setattr(pieces, "NODES", 40)
+    assert [x.tolist() for x in pieces.sample(vocab, texts, keys(7))] == [x.tolist() for x in whole]
+
+
 @pytest.mark.parametrize("word", [" thing", "aé", " the"])
 def test_draws_follow_the_lattice(word):
     """Frequencies of segmentations against their enumeration."""
