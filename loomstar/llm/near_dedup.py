@@ -1,7 +1,7 @@
 """Near duplicates by ProbMinHash signatures, banding, and exact verification.
 
-A text is the weighted set of its five-word shingles, each weighing as often as it
-occurs.  Every shingle is a Poisson process of that rate, whose arrivals fall on random
+A text is the weighted set of its five-word shingles; one that occurs n times weighs
+1 + ln n, so that a line repeated a thousand times does not outweigh the rest.  Every shingle is a Poisson process of that rate, whose arrivals fall on random
 components of the signature; a component keeps its first arrival.  A shingle stops as soon
 as its next arrival is later than all that its text has kept, so most stop at once.  Two
 texts agree in a component with the probability Jaccard similarity of their shingles.
@@ -11,10 +11,12 @@ a link is a Jaccard similarity of the shingle sets of 0.8 or more.  Classes are
 connected components of the links.
 
 A bucket of a few texts is verified pair by pair.  In a larger one all members are first
-held against its most central member.  Members whose distances to it show, by the
-triangle inequality, that no link can be missing are settled; the others are held against
-1, 2, 4 ... further members until none is left.  So a bucket of thousands of near copies
-costs a few comparisons for each, and no pair that shares a bucket is left undecided.
+held against its most central member, which connects most of them.  Whatever is left
+outside a bucket's largest component is then held against each member outside its own,
+unless an exact bound shows that the two cannot be linked: they share at most what both
+share with the central member, and of the rest only shingles that another text holds too.
+So no pair that shares a bucket is left undecided, and a bucket of thousands of near copies
+costs a few comparisons for each.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loomstar.llm.common import bounded, drop_unkept, if_small, narrow, store, text_md5
 from loomstar.llm.components import components
@@ -70,11 +71,11 @@ def shingles(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return found[first], owner[first], np.bincount(code, minlength=len(unique))
 
 
-def signatures(h: np.ndarray, owner: np.ndarray, times: np.ndarray, n: int) -> np.ndarray:
+def signatures(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """ProbMinHash signatures, `n` rows of BANDS * ROWS; a row without shingles is zero."""
     m = BANDS * ROWS
     best, kept = np.full(n * m, np.inf), np.zeros(n * m, np.uint64)
-    clock, rate = np.zeros(len(h)), times.astype(float)
+    clock, rate = np.zeros(len(h)), weight.astype(float)
     arrival = np.zeros(1, np.uint64)
     while len(h):
         arrival += np.uint64(1)
@@ -105,7 +106,8 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         words = word_lists(batch["text"].tolist())
-        bands = band_hashes(signatures(*shingles(words), len(words)))
+        h, owner, times = shingles(words)
+        bands = band_hashes(signatures(h, owner, 1 + np.log(times), len(words)))
         yield pd.DataFrame({
             "doc_id": batch["doc_id"].array,
             "text_md5": batch["text_md5"],
@@ -170,7 +172,7 @@ def _links(docs: DataFrame, units: DataFrame) -> DataFrame:
     if texts.count() > wanted.count():  # rows that repeat id and text
         texts = store(texts.dropDuplicates(["unit"]), "texts")
 
-    # Round 0: small buckets pair by pair, large ones against their most central member.
+    # Small buckets pair by pair, large ones against their most central member.
     small = shared.where(F.col("size") <= SMALL_BUCKET).select("bucket", "unit")
     pairs = small.join(small.withColumnRenamed("unit", "other"), "bucket").where("unit < other")
     pairs = pairs.select(F.col("unit").alias("a"), F.col("other").alias("b"))
@@ -178,54 +180,69 @@ def _links(docs: DataFrame, units: DataFrame) -> DataFrame:
     large = store(shared.where(F.col("size") > SMALL_BUCKET).join(central, "unit"), "large-buckets")
     rank = F.struct("weight", (-F.col("unit")).alias("less"))
     leaders = large.groupBy("bucket").agg((-F.max(rank)["less"]).alias("leader"))
-    led = large.join(leaders, "bucket")
-    against = led.where("unit <> leader").select(*_ordered("unit", "leader"))
-    done = _verified(pairs.unionByName(against).distinct(), texts)
+    led = large.join(leaders, "bucket").select("bucket", "unit", "leader", *_ordered("unit", "leader"))
+    done = _verified(pairs.unionByName(led.where("a <> b").select("a", "b")).distinct(), texts)
     links = done.where(F.col("similarity") >= SIMILARITY).select("a", "b")
     if large.isEmpty():
         return links
+    alike = F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.col("similarity")).alias("alike")
+    members = led.join(done, ["a", "b"], "left").select("bucket", "unit", "leader", alike)
+    rest = _undecided(members, components(links), units, texts)
+    more = _verified(rest.join(done.select("a", "b"), ["a", "b"], "left_anti"), texts)
+    return links.unionByName(more.where(F.col("similarity") >= SIMILARITY).select("a", "b"))
 
-    # How far each member of a large bucket is from its first leader.
-    key = led.select("bucket", "unit", "weight", "leader", *_ordered("unit", "leader"))
-    first = F.col("unit") == F.col("leader")
-    far = key.join(done, ["a", "b"], "left").select(
-        "bucket", "unit", "weight", F.when(first, 0.0).otherwise(1 - F.col("similarity")).alias("far"), first.alias("led")
+
+def _shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        h, owner, _ = shingles(word_lists(batch["text"].tolist()))
+        order = np.argsort(owner, kind="stable")
+        sets = np.split(h[order].view(np.int64), np.searchsorted(owner[order], np.arange(1, len(batch))))
+        yield pd.DataFrame({"unit": batch["unit"], "shingles": sets})
+
+
+def _undecided(members: DataFrame, found: DataFrame, units: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of large buckets that are in two components and may still be linked.
+
+    `members` are (bucket, unit, leader, alike): the similarity to the bucket's central member.
+    Two texts can share at most what both share with that member, and of what else they
+    have, only shingles that some other text holds as well.
+    """
+    placed = members.join(found, "unit", "left").withColumn("component", F.coalesce("component", "unit"))
+    sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("components")
     )
-    open_ = store(far, "distances")
-    leaders_now = 1
-    while True:
-        found = components(links)
-        placed = open_.join(found, "unit", "left").withColumn("component", F.coalesce("component", "unit"))
-        span = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        placed = store(placed.join(span.where("lo < hi").select("bucket"), "bucket"), "unsettled")
-        # The least distance in other components of the bucket: the least one, or the second for those in it.
-        each = placed.groupBy("bucket", "component").agg(F.min("far").alias("far"))
-        nearest = each.groupBy("bucket").agg(F.min(F.struct("far", "component")).alias("first"))
-        second = each.join(nearest, "bucket").where("component <> first.component")
-        second = second.groupBy("bucket").agg(F.min("far").alias("second"))
-        bound = nearest.join(second, "bucket")
-        other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.far"))
-        # Two texts that are linked lie no further apart in their distances to the leader than `reach`.
-        reach = 1 - SIMILARITY + 1e-9
-        rest = store(placed.join(bound, "bucket").where(F.col("far") >= other - reach).select(*placed.columns), "rest")
-        turn = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "unit")
-        next_ = rest.where(~F.col("led")).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= leaders_now)
-        next_ = next_.select(
-            "bucket", F.col("unit").alias("leader"), F.col("component").alias("of"), F.col("far").alias("leader_far")
-        )
-        next_ = store(next_, "leaders")
-        if next_.isEmpty():
-            return links
-        near = F.abs(F.col("far") - F.col("leader_far")) <= reach
-        pairs = rest.join(next_, "bucket").where((F.col("component") != F.col("of")) & near)
-        pairs = pairs.select(*_ordered("unit", "leader")).distinct()
-        fresh = _verified(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), texts)
-        done = done.unionByName(fresh)
-        links = links.unionByName(fresh.where(F.col("similarity") >= SIMILARITY).select("a", "b"))
-        served = next_.select("bucket", F.col("leader").alias("unit"), F.lit(True).alias("now"))
-        open_ = rest.select("bucket", "unit", "weight", "far", "led").join(served, ["bucket", "unit"], "left")
-        open_ = store(open_.select("bucket", "unit", "weight", "far", F.coalesce("now", "led").alias("led")), "distances")
-        leaders_now *= 2
+    placed = store(placed.join(largest.where("components > 1").drop("components"), "bucket"), "undecided")
+
+    # Shingles of each member, and how many of them another member has as well.
+    universe = placed.select("unit").distinct()
+    sets = bounded(texts.join(universe, "unit")).mapInPandas(_shingle_sets, "unit long, shingles array<long>")
+    each = sets.select("unit", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("unit").alias("unit")).where("n = 1")
+    alone = alone.groupBy("unit").agg(F.count(F.lit(1)).alias("alone"))
+    total = sets.select("unit", F.size("shingles").alias("total"))
+    counts = total.join(alone, "unit", "left").select("unit", "total", (F.col("total") - F.coalesce("alone", F.lit(0))).alias("held"))
+    counts = store(counts, "held")
+    leaders = counts.select(F.col("unit").alias("leader"), F.col("total").alias("leader_total"))
+    # Fewer than SIMILARITY of a text's own shingles elsewhere: no link at all.
+    counts = counts.where(F.col("held") >= (SIMILARITY - 1e-9) * F.col("total"))
+    placed = placed.join(counts, "unit").join(leaders, "leader").join(units.select("unit", "bands"), "unit")
+    common = F.round(F.col("alike") * (F.col("total") + F.col("leader_total")) / (1 + F.col("alike")))
+    placed = placed.withColumn("common", common).withColumn("extra", F.col("held") - F.col("common"))
+    columns = ["unit", "component", "largest", "total", "common", "extra", "bands"]
+    placed = store(placed.select("bucket", *columns), "may-be-linked")
+
+    outside = placed.where("component <> largest").select("bucket", *(F.col(c).alias(f"_{c}") for c in columns))
+    overlap = F.least("common", "_common") + F.least("extra", "_extra")
+    possible = (
+        (F.col("component") != F.col("_component"))
+        & ((F.col("component") == F.col("largest")) | (F.col("unit") < F.col("_unit")))
+        & (overlap >= (SIMILARITY - 1e-9) * (F.col("total") + F.col("_total") - overlap))
+        # a pair that shares several buckets is taken in one of them
+        & (F.array_min(F.array_intersect("bands", "_bands")) == F.col("bucket"))
+    )
+    pairs = placed.withColumnRenamed("bucket", "own").join(outside, (F.col("own") == F.col("bucket")) & possible)
+    return pairs.select(*_ordered("unit", "_unit"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

@@ -41,6 +41,9 @@ ROWS += [(60 + k, " ".join(BASE[2]).upper() + "." * k, "aa") for k in range(12)]
 ROWS += [(80, variant(BASE[2], 2, 80), "aa"), (81, variant(BASE[2], 20, 81), "aa"), (82, None, "aa"), (83, "", "aa")]
 ROWS += [(84, "two words", "aa"), (85, "Two, words!", "aa"), (86, "two other", "aa")]
 ROWS += [(90 + k, " ".join(words(60, 500 + k)), "aa") for k in range(30)]
+# A second hub whose variants reach only each other, and texts that are part of a base.
+ROWS += [(130 + k, variant(variant(BASE[0], 9, 777).split(), 1, 130 + k), "aa") for k in range(12)]
+ROWS += [(150 + k, " ".join(BASE[0][: 100 + 4 * k]), "aa") for k in range(12)]
 
 
 @pytest.mark.parametrize("small", [8, 2])
