@@ -82,3 +82,24 @@ def test_without_training_text_symbols_are_equally_likely(spark):
     row = ppm.score(documents(spark, [(held, "ab c", "aa")])).first()
     assert row.score == pytest.approx(-5 * math.log10(ppm.SYMBOLS))
     assert (row.n_known, row.train_tokens, row.base_score) == (0, 0, 0.0)
+
+
+def test_rare_strings_of_a_large_corpus_count(spark, monkeypatch):
+    """More than 2^19 positions: strings seen once predict as well, be they looked up in a task or by a join."""
+    rows = [(k, text(6_000, 1000 + k), "aa") for k in range(30)] + [(200, "qzj xq~ qzj", "aa"), (201, "qzj xq~ wv", "aa")]
+    held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k, _, _ in rows}
+    train = [low(t) for k, t, _ in rows if not held[k]]
+    assert sum(map(len, train)) > 2**19 and held[200] and not held[201]
+    got = {r.doc_id: r.score for r in ppm.score(documents(spark, rows)).collect()}
+    monkeypatch.setattr(ppm, "SHARE", 0.0)
+    model = Brute(train)
+    for k, t, _ in rows[-2:] + rows[:2]:
+        assert got[k] == pytest.approx(model.text(low(t)))
+
+
+def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    score = lambda: {r.doc_id: r.score for r in ppm.score(documents(spark, ROWS)).collect()}
+    whole = score()
+    for share in (0.001, 2.0):
+        monkeypatch.setattr(ppm, "COMMON_SHARE", share)
+        assert score() == pytest.approx(whole)
