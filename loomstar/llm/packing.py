@@ -31,8 +31,6 @@ END_ID = 0
 VOCABULARY = 1 << 16
 #: Remainders in one shard, a million tokens at most: its index takes some 50 MB.
 SHARD_DOCUMENTS = 1_000
-#: A window's query: the seed's ids of the highest weight.
-QUERY_IDS = 32
 K1, B = 1.2, 0.75
 #: A Python worker remembers the ids of so many distinct words, and of as many before them: 150 MB at most.
 REMEMBERED = 300_000
@@ -200,12 +198,12 @@ def pack_shard(items: list[tuple[int, bytes]], documents: np.ndarray, total: int
         out.append((seed, int(begin[seed]), int(left[seed]), window, 0))
         room, offset = WINDOW - int(left[seed]), int(left[seed])
         left[seed] = 0
+        # The query is all ids of the seed; one that the seed alone holds matches nothing else.
         query = terms[seed]
-        if len(query) > QUERY_IDS:
-            query = query[np.argsort(-idf[query], kind="stable")[:QUERY_IDS]]
-        spans = [slice(first[t], first[t + 1]) for t in query]
-        found = np.concatenate([owner[x] for x in spans])
-        score = np.bincount(found, weights=np.concatenate([weight[x] for x in spans]), minlength=n)
+        start, size = first[query], first[query + 1] - first[query]
+        start, size = start[size > 1], size[size > 1]
+        at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+        score = np.bincount(owner[at], weights=weight[at], minlength=n)
         score[left == 0] = -1
         for k in np.argsort(-score, kind="stable"):
             if not room or score[k] < 0:

@@ -56,3 +56,15 @@ def test_neighbours_are_the_best_unused_by_bm25():
     for k, _, _, window, _ in placed:
         windows[window].add(k % 3)
     assert windows[0] >= {0} and [p[0] % 3 for p in placed[:4]] == [0] * 4
+
+
+def test_all_ids_of_a_seed_take_part():
+    """40 ids that only the seed holds do not crowd out the one it shares."""
+    item = lambda *own: (0, np.array(own, "<u2").tobytes())
+    items = [item(*range(2000, 2040), 7)] + [item(*range(3000 + 30 * k, 3030 + 30 * k)) for k in range(60)]
+    items += [item(7, *range(9000, 9030))]
+    documents_ = np.zeros(packing.VOCABULARY, np.int64)
+    for _, x in items:
+        documents_[np.unique(np.frombuffer(x, "<u2"))] += 1
+    placed = packing.pack_shard(items, documents_, len(items))
+    assert [p[0] for p in placed[:2]] == [0, 61]
