@@ -96,3 +96,14 @@ def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(30)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 3), (500, 500)]
     found = {r.unit: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{k: 0 for k in range(31)}, **{100 + k: 100 for k in range(50)}}
+
+
+def test_passages_repeated_often_hide_no_link(spark):
+    """Pairs at a set similarity of 0.8 or more, of which one text repeats its own part 100 times."""
+    rows = []
+    for k in range(30):
+        shared, own = words(420, 9000 + k), [f"own{k}x{j}" for j in range(60)]
+        rows += [(2 * k, " ".join(shared), "aa"), (2 * k + 1, " ".join(shared + own * 100), "aa")]
+    want = brute(rows)
+    assert all(want[2 * k + 1] == 2 * k for k in range(30))
+    assert {r.doc_id: r.class_id for r in near_dedup.near_dedup(documents(spark, rows)).collect()} == want
