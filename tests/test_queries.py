@@ -132,3 +132,14 @@ def test_null_keys_match_nothing_by_either_route(spark):
     for size in (0, 1 << 20):
         rows = lookup_join(facts, known, ["k"], broadcast_bytes=size).collect()
         assert sorted((r.n, r.v) for r in rows) == sorted([(1, None), (2, 8), (3, None)], key=lambda x: x[0])
+
+
+def test_reruns_keep_every_day_of_the_log(spark, duck):
+    """The table after the reruns against the query's SQL without its range of days."""
+    from loomstar.plans.queries import _reruns
+
+    sql = ORACLES["rerun_idempotent"]
+    whole = sql[: sql.rindex("WHERE event_date BETWEEN")]
+    expected = dict(duck.execute(f"SELECT CAST(event_date AS VARCHAR), count(*) FROM ({whole}) GROUP BY 1").fetchall())
+    stored = _reruns(spark, SF_DIR).groupBy(F.col("event_date").cast("string").alias("day")).count()
+    assert len(expected) > 3 and {r.day: r["count"] for r in stored.collect()} == expected
