@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstar.llm import chat, exact_dedup, html_text, language_id, license_scan, near_dedup, packing, pieces, ppm, quality
+from loomstar.llm import (
+    alignment, centroids, chat, decontaminate, exact_dedup, html_text, language_id, license_scan, near_dedup, packing, pieces,
+    ppm, quality,
+)
+from loomstar.llm.clustering_sql import clustering_sql
 from loomstar.llm.common import table
 
 
@@ -60,14 +64,34 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(chat.as_events(given.unionByName(more))))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustering(table(spark, sf_dir, "embeddings"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_join("items", ",").cast("binary")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(items, 256).alias("items_sha256"), "contaminated")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.links(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_quality_rules, op3_html_text, op4_exact_dedup, op5_language_id, op6_ppm_score, op7_near_dedup,
-        op8_packing, op9_piece_sampling, op10_chat_formatting,
+        op8_packing, op9_piece_sampling, op10_chat_formatting, op11_centroid_clustering, op12_decontamination, op13_alignment,
     )
 }
 
+# A-Z in lower case, then runs of ASCII letters and digits and of all characters beyond ASCII.
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
 ORACLES = {
     "op4_exact_dedup": r"""
         WITH d AS (
@@ -81,4 +105,28 @@ ORACLES = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM j
     """,
+    "op11_centroid_clustering": clustering_sql(),
+    "op12_decontamination": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, words(text) AS w FROM documents
+        ), b AS (
+            SELECT coalesce(item_id::VARCHAR, '') AS item, words(text) AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS run
+            FROM b, unnest(range(1, greatest(len(w) - 8, 2))) t(k) WHERE len(w) > 0
+        ), runs AS (
+            SELECT row, k, n, array_to_string(w[k:k + n - 1], ' ') AS run
+            FROM d, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) t(k)
+        ), found AS (
+            SELECT row, k, runs.n, item FROM runs JOIN windows USING (run) WHERE runs.n = windows.n
+        ), hits AS (
+            SELECT row, count(DISTINCT place) AS n_hit FROM found, unnest(range(k, k + n)) t(place) GROUP BY row
+        ), items AS (
+            SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT row, item FROM found)
+            GROUP BY row
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hits USING (row) LEFT JOIN items USING (row)
+    """.replace("words(text)", _SQL_WORDS),
 }
