@@ -2,11 +2,14 @@
 
 A page is read into blocks under paths of element names and classes.  The pages of one
 host are merged: for every path, the entropy of its child sequences (presentation) and of
-its content over the host's pages makes its importance.  A branch whose presentation and
-content repeat from page to page has little, and is removed from each page.  Elements
-that say what they are (menus, forms, scripts, adverts, comments) go by their names, and
-where a page marks its article, the article is what stays; its plain paragraphs and
-headings are never held for boilerplate, only branches inside it are.
+its content over the host's pages, and what its names say beforehand, make its importance.
+A branch of low importance is removed from each page, inside and outside `<article>`.
+
+Names are a prior, no verdict of their own: elements called menu, advert, comments and the
+like start far lower, an article's own paragraphs and headings somewhat higher.  Names of
+`html`, `body`, headings, paragraphs and inline elements say nothing, and a branch that
+is low by its name alone stays if it holds the page's text: more than half of it, with no
+paragraph, heading or marked article outside.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,9 +27,13 @@ from pyspark.sql import functions as F
 
 from loomstar.llm.common import bounded, if_small, narrow, store
 
-#: A path less important than this is boilerplate, if its host has so many pages.
-MIN_IMPORTANCE = 0.2
-MIN_PAGES = 5
+#: A path that weighs less than this is boilerplate.
+MIN_WEIGHT = 0.2
+#: Pages of full importance that every path has beside its own: a branch alike on all pages
+#: of a host is boilerplate from five pages on, and less certain ones come later.
+OTHER_PAGES = 1
+#: What names add to importance: below the threshold whatever the entropy, or above it.
+NOISE, OWN = -0.85, 0.3
 #: Weight of presentation against content.
 PRESENTATION = 0.1
 #: Boilerplate paths travel by broadcast up to this many (about 30 bytes each).
@@ -38,9 +46,11 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var".split()
 )
-GONE = frozenset(
-    "head nav aside footer form dialog menu button fieldset audio video map template svg math select option canvas object".split()
-)
+#: Elements without text for readers, and elements that are named for noise.
+GONE = frozenset("head audio video map template svg math select option canvas object".split())
+NAMED = frozenset("nav aside footer form dialog menu button fieldset".split())
+#: Of these, whatever holds a page's whole text is still none of the article.
+NEVER_MAIN = frozenset("nav aside footer dialog menu button".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl dt dd fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr li main menu nav ol p pre section table ul".split()
@@ -59,6 +69,8 @@ NOISE_WORDS = frozenset(
 #: The same for the page's header and footer, which an article may have too.
 PAGE_WORDS = frozenset("header footer masthead topbar".split())
 MAIN_WORDS = frozenset("article main post entry story".split())
+#: Elements whose class, id and role say nothing about noise.
+PLAIN = frozenset("html body main p h1 h2 h3 h4 h5 h6 blockquote pre td th tr caption".split())
 #: Elements that carry an article's own text.
 TEXTUAL = frozenset("article main p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr caption figcaption".split())
 
@@ -81,8 +93,8 @@ def _path(parent: bytes, label: str) -> bytes:
 
 
 @lru_cache(50_000)
-def _named(attributes: str) -> tuple[str, bool, bool, bool]:
-    """Label, and whether the attributes name noise, a page's own frame, or the article."""
+def _named(attributes: str) -> tuple[str, bool, bool, bool, bool]:
+    """Label, and whether the attributes hide an element, name noise, a page's own frame, or the article."""
     words, hidden = [], False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -93,27 +105,42 @@ def _named(attributes: str) -> tuple[str, bool, bool, bool]:
         else:
             words += _PART.findall(value)
     own = set(words)
-    return ".".join(sorted(own)), hidden or bool(own & NOISE_WORDS), bool(own & PAGE_WORDS), bool(own & MAIN_WORDS)
+    return ".".join(sorted(own)), hidden, bool(own & NOISE_WORDS), bool(own & PAGE_WORDS), bool(own & MAIN_WORDS)
+
+
+class Element(NamedTuple):
+    """An open element: `prior` is what its name adds to its path's importance."""
 
+    tag: str
+    path: bytes
+    gone: bool
+    marked: bool  # inside <article> or <main>
+    classed: bool  # inside a class named for the article
+    prior: float
+    number: int
 
-class Block:
-    """A run of text: its path, the paths above it, and what they make of it."""
 
-    __slots__ = ("text", "tags", "paths", "gone", "marked", "classed")
+class Block(NamedTuple):
+    """A run of text and the elements it stands in, outermost first."""
 
-    def __init__(
-        self, text: str, tags: tuple[str, ...], paths: tuple[bytes, ...], gone: bool, marked: bool, classed: bool
-    ):
-        self.text, self.tags, self.paths = text, tags, paths
-        self.gone, self.marked, self.classed = gone, marked, classed
+    text: str
+    within: tuple[Element, ...]
+
+    @property
+    def gone(self) -> bool:
+        return bool(self.within) and self.within[-1].gone
+
+    @property
+    def article(self) -> bool:
+        """Whether it is text that articles are made of."""
+        return any(e.marked or e.classed or e.tag in PLAIN and e.tag not in ("html", "body") for e in self.within)
 
 
 def blocks(page: str) -> tuple[list[Block], list[tuple[bytes, str]]]:
     """The page's blocks in order, and (path of the parent, label of the child) of its elements in order."""
     out: list[Block] = []
     children: list[tuple[bytes, str]] = []
-    # open elements: name, path, gone, inside <article> or <main>, inside a so-called class
-    stack: list[tuple[str, bytes, bool, bool, bool]] = [("", b"", False, False, False)]
+    stack = [Element("", b"", False, False, False, 0.0, 0)]
     text: list[str] = []
 
     def flush() -> None:
@@ -121,9 +148,7 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[bytes, str]]]:
             joined = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if joined:
-                _, _, gone, marked, classed = stack[-1]
-                tags, paths = tuple(x[0] for x in stack[1:]), tuple(x[1] for x in stack[1:])
-                out.append(Block(joined, tags, paths, gone, marked, classed))
+                out.append(Block(joined, tuple(stack[1:])))
 
     def close(names: frozenset[str] | set[str], stop: frozenset[str] | set[str]) -> None:
         """Close the innermost open element of `names`, unless one of `stop` lies between."""
@@ -145,9 +170,9 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[bytes, str]]]:
                 text.append(" ")
             continue
         tag, attributes = tag.lower(), m[4]
-        named = _named(attributes) if attributes and not m[2] else ("", False, False, False)
-        if tag in INLINE and not named[1]:
-            if any(x[0] == tag for x in stack[-1:]) and m[2]:
+        label, hidden, noise, frame, article = _named(attributes) if attributes and not m[2] else ("", False, False, False, False)
+        if tag in INLINE and not hidden:
+            if stack[-1].tag == tag and m[2]:
                 flush()
                 stack.pop()
             continue
@@ -169,14 +194,15 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[bytes, str]]]:
             close({"head"}, set())
         if tag == "hr":
             continue
-        label, noise, frame, article = named
         label = f"{tag}.{label}" if label else tag
-        _, path, gone, marked, classed = stack[-1]
+        _, path, gone, marked, classed, _, _ = stack[-1]
         children.append((path, label))
         marked |= tag in ("article", "main")
         classed |= article
-        gone |= noise or tag in GONE or (frame or tag == "header") and not (marked or classed)
-        stack.append((tag, _path(path, label), gone, marked, classed))
+        noise &= tag not in PLAIN and not (tag == "article" and article)
+        noise |= tag in NAMED or (frame and tag not in PLAIN or tag == "header") and not (marked or classed)
+        prior = NOISE if noise else OWN if marked and tag in TEXTUAL else 0.0
+        stack.append(Element(tag, _path(path, label), gone or hidden or tag in GONE, marked, classed, prior, len(children)))
     if at < len(page):
         text.append(page[at:])
     flush()
@@ -184,17 +210,39 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[bytes, str]]]:
 
 
 def main_text(page: str | None, boilerplate: frozenset[bytes] | set[bytes]) -> str:
-    """The article's blocks, joined by line feeds."""
-    found, _ = blocks(page or "")
-    kept = [b for b in found if not b.gone]
-    own = [b for b in kept if b.marked] or [b for b in kept if b.classed] or kept
-    important = [b for b in own if boilerplate.isdisjoint(b.paths)]
+    """The blocks outside of low branches, joined by line feeds.
+
+    `boilerplate` are paths of low importance; elements that are low by name are known here.
+    """
+    found = [b for b in blocks(page or "")[0] if not b.gone]
+    low = lambda b: any(e.path in boilerplate and e.prior >= 0 for e in b.within)
+    important = [b for b in found if not low(b)] if boilerplate else found
+    kept = _without_named(important)
     # A page whose every branch repeats all over its host is one text in many copies.
-    return "\n".join(b.text for b in important or own)
+    return "\n".join(b.text for b in kept or _without_named(found))
+
+
+def _without_named(found: list[Block]) -> list[Block]:
+    """Blocks outside of elements named for noise, unless such an element holds the page's text."""
+    total = sum(len(b.text) for b in found)
+    size: dict[int, int] = {}
+    for b in found:
+        for e in b.within:
+            if e.prior < 0:
+                size[e.number] = size.get(e.number, 0) + len(b.text)
+    plain = [b for b in found if all(e.prior >= 0 for e in b.within)]
+    if not size:
+        return plain
+    outside = any(b.article for b in plain)
+
+    def noise(e: Element) -> bool:
+        return e.prior < 0 and (outside or e.tag in NEVER_MAIN or 2 * size[e.number] <= total)
+
+    return [b for b in found if not any(noise(e) for e in b.within)]
 
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per page and path that may be boilerplate: its child sequence and its content, hashed."""
+    """One row per page and path: what its name adds, its child sequence and its content, hashed."""
     for batch in batches:
         rows = []
         for host, page in zip(batch["host"], batch["html"]):
@@ -205,16 +253,15 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if not seen or seen[-1] != label:  # a run of equal children is one
                     seen.append(label)
             content: dict[bytes, list[str]] = {}
+            prior: dict[bytes, float] = {}
             for b in found:
-                for tag, path in zip(b.tags, b.paths):
-                    if not (b.marked and tag in TEXTUAL):
-                        content.setdefault(path, []).append(b.text)
+                for e in b.within:
+                    content.setdefault(e.path, []).append(b.text)
+                    prior[e.path] = e.prior
             for path, texts in content.items():
-                rows.append((
-                    host, path, _hash(" ".join(style.get(path, []))), _hash("\n".join(texts)),
-                ))
+                rows.append((host, path, prior[path], _hash(" ".join(style.get(path, []))), _hash("\n".join(texts))))
         if rows:
-            yield pd.DataFrame(rows, columns=["host", "path", "style", "content"])
+            yield pd.DataFrame(rows, columns=["host", "path", "prior", "style", "content"])
 
 
 def _hash(text: str) -> int:
@@ -228,27 +275,29 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of all paths but plain text inside marked articles.
+    """(host, path, prior, pages, importance, weight) of all paths.
 
     Presentation is the entropy of child sequences, content the mean of one minus the
     entropy share of each page's content, both to the base of the host's pages: 0 where all
-    pages are alike, 1 where no two are.  Counts combine before the shuffle, so a host with
-    a third of all pages costs no more than its distinct features.
+    pages are alike, 1 where no two are.  `weight` decides: importance with OTHER_PAGES
+    beside the host's own, so that one page tells nothing and many tell all, and the prior.
+    Counts combine before the shuffle, so a host with a third of all pages costs no more
+    than its distinct features.
     """
     rows = bounded(with_host(pages).select("host", "html")).mapInPandas(
-        _features, "host string, path binary, style long, content long"
+        _features, "host string, path binary, prior double, style long, content long"
     )
-    key = ["host", "path"]
+    key = ["host", "path", "prior"]
     seen = store(rows.groupBy(*key, "style", "content").agg(F.count(F.lit(1)).alias("n")), "style-tree")
-    pages_of = seen.groupBy(*key).agg(F.sum("n").alias("pages"))
     # -sum p log p = log m - sum n log n / m; the mean of 1 - log n / log m weighs each page alike
-    spread = lambda by: (
-        seen.groupBy(*key, by).agg(F.sum("n").alias("n")).groupBy(*key).agg(F.sum(F.col("n") * F.log("n")).alias(by))
-    )
-    both = pages_of.join(spread("style"), key).join(spread("content"), key)
+    weight = lambda by: F.sum(F.col("n") * F.log("n")).alias(by)
+    contents = seen.groupBy(*key, "content").agg(F.sum("n").alias("n")).groupBy(*key)
+    styles = seen.groupBy(*key, "style").agg(F.sum("n").alias("n")).groupBy(*key)
+    both = contents.agg(F.sum("n").alias("pages"), weight("content")).join(styles.agg(weight("style")), key)
     share = lambda by: 1 - F.col(by) / (F.col("pages") * F.log("pages"))
-    importance = PRESENTATION * share("style") + (1 - PRESENTATION) * share("content")
-    return both.select(*key, "pages", F.when(F.col("pages") > 1, importance).otherwise(1.0).alias("importance"))
+    entropy = F.when(F.col("pages") > 1, PRESENTATION * share("style") + (1 - PRESENTATION) * share("content")).otherwise(1.0)
+    smooth = (F.col("pages") * F.col("importance") + OTHER_PAGES) / (F.col("pages") + OTHER_PAGES)
+    return both.select(*key, "pages", entropy.alias("importance")).withColumn("weight", smooth + F.col("prior"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -259,7 +308,8 @@ def extract(pages: DataFrame) -> DataFrame:
     A page without a host is merged with others of its kind.  Other columns are not read;
     an empty table gives an empty result.
     """
-    low = style_tree(pages).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < MIN_IMPORTANCE))
+    # Branches that are low by name are known from each page; the entropy's verdicts travel.
+    low = style_tree(pages).where((F.col("prior") >= 0) & (F.col("weight") < MIN_WEIGHT))
     low = low.groupBy("host").agg(F.collect_set("path").alias("low"), F.count(F.lit(1)).alias("n"))
     low = store(low, "boilerplate")
     paths = low.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n

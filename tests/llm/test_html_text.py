@@ -79,3 +79,44 @@ def test_importance_is_entropy(spark):
     assert found[of("div.s")] == (8, 0.0)
     pages_, importance = found[of("div.d")]
     assert pages_ == 8 and abs(importance - 0.9) < 1e-9  # one presentation, all contents their own
+
+
+STORY = "<article><h1>T</h1><p>The story of {k}</p></article>"
+
+
+def test_names_are_no_verdict():
+    """Each page keeps its story whatever its wrappers, headings and inline elements are called."""
+    told = "T\nThe story of 1"
+    story = STORY.format(k=1)
+    for page in (
+        f"<body class='has-sidebar'>{story}</body>", f"<html class='no-comments'><body>{story}", f"<form>{story}</form>",
+        f"<div class='layout with-menu'>{story}<nav>Menu</nav></div>", f"<div class='header'><div id='search'>{story}</div></div>",
+    ):
+        assert text(page) == told
+    assert text("<article><h1 class='ad-hoc'>T</h1><p class='social'>x</p><h2 id='search'>Y</h2></article>") == "T\nx\nY"
+    assert text("<p>see <a class='related-link'>it</a> <span class='search-hit'>now</span></p>") == "see it now"
+
+
+def test_text_outside_of_a_marked_article_stays():
+    assert text("<div class='content'><p>The long story</p></div><article>Teaser</article>") == "The long story\nTeaser"
+    assert text("<p>Lead</p>" + STORY.format(k=2)) == "Lead\nT\nThe story of 2"
+
+
+def test_named_noise_goes_however_long():
+    long = "<p>" + "much said " * 200 + "</p>"
+    assert text(f"<div><p>Short story</p></div><div class='comments'>{long}</div>") == "Short story"
+    assert text(f"{STORY.format(k=3)}<section class='comments'><article>{long}</article></section>") == "T\nThe story of 3"
+    assert text(f"<nav>{long}</nav>") == text(f"<aside>{long}</aside>") == ""
+
+
+def test_the_tree_decides_beside_and_inside_articles(spark):
+    """Unnamed branches that repeat go, with and without <article>; the same ones on a host of few pages stay."""
+    with_article = "<body><div class='q'>We are here for you</div>" + STORY + "</body>"
+    without = "<body><div class='q'>We are here for you</div><div class='r'><p>The story of {k}</p></div></body>"
+    rows = [(k, f"http://a.example/{k}", with_article.format(k=k)) for k in range(10)]
+    rows += [(20 + k, f"http://b.example/{k}", without.format(k=20 + k)) for k in range(10)]
+    rows += [(40 + k, f"http://c.example/{k}", without.format(k=40 + k)) for k in range(4)]
+    out = {r.page_id: r.text for r in html_text.extract(pages(spark, rows)).collect()}
+    assert all(out[k] == f"T\nThe story of {k}" for k in range(10))
+    assert all(out[20 + k] == f"The story of {20 + k}" for k in range(10))
+    assert all(out[40 + k] == f"We are here for you\nThe story of {40 + k}" for k in range(4))
