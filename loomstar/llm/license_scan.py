@@ -10,6 +10,7 @@ mandatory phrases are verified word by word and the rest of the template is weig
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,36 +28,102 @@ TEMPLATES: list[tuple[str, str, list[str]]] = [
      "documentation files the software to deal in the software without restriction including without limitation the "
      "rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
      ["permission is hereby granted free of charge", "to deal in the software without restriction"]),
+    ("mit",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the "
+     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+     "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
+     "and this permission notice shall be included in all copies or substantial portions of the software the software is "
+     "provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+     "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+     "holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+     "arising from out of or in connection with the software or the use or other dealings in the software",
+     ["permission is hereby granted free of charge", "this permission notice shall be included in all copies",
+      "the authors or copyright holders be liable for any claim"]),
     ("apache-2", "licensed under the apache license version 2 0", ["apache license version 2"]),
     ("apache-2",
      "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
      "the license", ["apache license version 2", "except in compliance with the license"]),
+    ("apache-2",
+     "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the "
+     "license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by "
+     "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+     "without warranties or conditions of any kind either express or implied see the license for the specific language "
+     "governing permissions and limitations under the license",
+     ["apache license version 2", "distributed on an as is basis", "governing permissions and limitations under the license"]),
     ("bsd",
      "redistribution and use in source and binary forms with or without modification are permitted provided that the "
      "following conditions are met", ["redistribution and use in source and binary forms"]),
+    ("bsd",
+     "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice "
+     "this list of conditions and the following disclaimer in the documentation and or other materials provided with the "
+     "distribution",
+     ["redistribution and use in source and binary forms", "redistributions of source code must retain",
+      "redistributions in binary form must reproduce"]),
     ("isc",
      "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
      "granted", ["distribute this software for any purpose", "with or without fee"]),
+    ("isc",
+     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies the software is provided as "
+     "is and the author disclaims all warranties with regard to this software including all implied warranties of "
+     "merchantability and fitness",
+     ["distribute this software for any purpose", "this permission notice appear in all copies", "the author disclaims all warranties"]),
     ("gpl-3", "licensed under the gnu general public license version 3", ["gnu general public license", "version 3"]),
     ("gpl-2", "licensed under the gnu general public license version 2", ["gnu general public license", "version 2"]),
+    ("gpl-3",
+     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+     "license as published by the free software foundation either version 3 of the license or at your option any later "
+     "version", ["gnu general public license", "published by the free software foundation", "version 3"]),
+    ("gpl-2",
+     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+     "license as published by the free software foundation either version 2 of the license or at your option any later "
+     "version", ["gnu general public license", "published by the free software foundation", "version 2"]),
     ("lgpl", "licensed under the gnu lesser general public license", ["gnu lesser general public license"]),
+    ("lgpl",
+     "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+     "public license as published by the free software foundation either version 2 1 of the license or at your option any "
+     "later version", ["gnu lesser general public license", "published by the free software foundation"]),
     ("agpl", "licensed under the gnu affero general public license", ["gnu affero general public license"]),
+    ("agpl",
+     "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general "
+     "public license as published by the free software foundation either version 3 of the license or at your option any "
+     "later version", ["gnu affero general public license", "published by the free software foundation"]),
     ("mpl-2",
      "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license v 2"]),
+    ("mpl-2",
+     "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+     "distributed with this file you can obtain one at http mozilla org mpl 2 0",
+     ["mozilla public license v 2", "if a copy of the mpl was not distributed with this file"]),
     ("epl-2", "made available under the terms of the eclipse public license 2 0", ["eclipse public license"]),
+    ("epl-2",
+     "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 "
+     "which is available at https www eclipse org legal epl 2 0",
+     ["the accompanying materials are made available", "eclipse public license"]),
     ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
     ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa"]),
     ("cc-by", "licensed under cc by 4 0", ["cc by 4"]),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license",
      ["creative commons attribution 4"]),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license",
+     ["creative commons attribution sharealike 4"]),
     ("cc0", "cc0 1 0 universal public domain dedication", ["cc0 1 0"]),
     ("unlicense", "this is free and unencumbered software released into the public domain",
      ["free and unencumbered software"]),
 ]
+#: What follows "SPDX-License-Identifier:", and its label.
+SPDX = [
+    ("mit", "mit"), ("apache 2 0", "apache-2"), ("bsd 2 clause", "bsd"), ("bsd 3 clause", "bsd"), ("isc", "isc"),
+    ("gpl 3 0", "gpl-3"), ("gpl 2 0", "gpl-2"), ("lgpl 2 1", "lgpl"), ("lgpl 3 0", "lgpl"), ("agpl 3 0", "agpl"),
+    ("mpl 2 0", "mpl-2"), ("epl 2 0", "epl-2"), ("cc by nc 4 0", "cc-by-nc"), ("cc by sa 4 0", "cc-by-sa"),
+    ("cc by 4 0", "cc-by"), ("cc0 1 0", "cc0"), ("unlicense", "unlicense"),
+]
 #: Phrases that name a licence wherever they stand.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-#: Words that may be missing or added between two parts of a notice.
-SLACK = 3
+#: Words that may be missing or added around and inside a notice: so many at least, or this share of its words.
+SLACK, SLACK_SHARE = 3, 0.2
 #: Share of a template's IDF weight that must be there.
 COVERAGE = 0.6
 #: Rarest words of each mandatory phrase that are looked up.
@@ -74,7 +141,9 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _parsed() -> list[Template]:
-    return [(label, words_of(text), [words_of(p) for p in phrases]) for label, text, phrases in TEMPLATES]
+    lines = [(label, f"spdx license identifier {name}") for name, label in SPDX]
+    notices = TEMPLATES + [(label, line, [line]) for label, line in lines]
+    return [(label, words_of(text), [words_of(p) for p in phrases]) for label, text, phrases in notices]
 
 
 def vocabulary() -> frozenset[bytes]:
@@ -155,9 +224,11 @@ class Index:
     def _place(self, words, whole, phrases, starts, first) -> tuple[int, int, float] | None:
         """The template around its first phrase at `first`, if all the other phrases are in reach."""
         offset = _find(whole, phrases[0])
-        lo, hi = max(0, first - offset - SLACK), first - offset + len(whole) + SLACK
-        for others in starts[1:]:
-            if not any(lo <= s < hi for s in others):
+        slack = max(SLACK, int(SLACK_SHARE * len(whole)))
+        lo, hi = max(0, first - offset - slack), first - offset + len(whole) + slack
+        for others in starts[1:]:  # in rising order
+            next_ = bisect_left(others, lo)
+            if next_ == len(others) or others[next_] >= hi:
                 return None
         left: dict[bytes, int] = defaultdict(int)
         for w in words[lo:hi]:
@@ -181,9 +252,10 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     joined, out = b" " + b" ".join(words) + b" ", []
     for phrase, label in BASE:
         wanted = b" " + phrase.encode() + b" "
-        at = joined.find(wanted)
+        at, counted, n = joined.find(wanted), 0, 0
         while at >= 0:
-            out.append((joined.count(b" ", 0, at), label))
+            n, counted = n + joined.count(b" ", counted, at), at
+            out.append((n, label))
             at = joined.find(wanted, at + 1)
     return out
 
