@@ -7,7 +7,8 @@ end, each last piece is drawn in proportion to the paths it closes.  Draws depen
 seed, the row key and the place alone, so any rerun on any cluster gives the same ids.
 
 Pieces hold the blank mark at their beginning only, so the lattice falls apart at blanks
-and words are filtered once however often they occur; their draws stay independent.
+and words are filtered once however often they occur; their draws stay independent.  A long
+run without a blank is filtered on its own, block by block, whatever its length.
 Characters that no piece has become byte pieces, as does the blank mark itself where a text
 has it, so decoding gives back every text exactly.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import exp, log
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,13 @@ from loomstar.llm.words import mix
 SEED = 7
 #: Weights are (1 + rank) ** -SHARPNESS; larger values draw fewer, commoner pieces.
 SHARPNESS = 1.0
-#: Nodes of one lattice, 130 bytes each; only a longer run without a blank makes a larger one.
+#: Nodes of one lattice, 130 bytes each.
 NODES = 500_000
+#: Longer runs without a blank are filtered one character after another, in blocks of BLOCK
+#: characters, and keep 8 bytes a character.
+LONG, BLOCK = 256, 1 << 16
+#: Characters whose lattices are built from one set of arrays, about 100 bytes each.
+CHARACTERS = 2_000_000
 
 _BLANK, _MARK, _LITERAL = 0x20, 0x2581, 0x110000  # fixed values: blank, blank mark, a stand-in for a mark in a text
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd 64-bit multiplier
@@ -176,6 +183,74 @@ def _lattice(vocab: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np
     return base, share, ids
 
 
+def _edges(vocab: Vocabulary, codes: np.ndarray, lo: int, hi: int) -> tuple[list[int], list[int], list[int], list[float]]:
+    """Pieces of a run that end at nodes lo + 1 to hi: (first piece of each node, length - 1, id, weight), shorter ones first."""
+    begin = np.arange(max(0, lo - vocab.longest + 1), hi)
+    state, places = np.zeros(len(begin), np.int64), begin
+    found = []
+    for k in range(vocab.longest):
+        state = vocab.step(state, codes[places + k])
+        places, state = places[state >= 0], state[state >= 0]
+        ends = vocab.id_at[state] >= 0
+        found.append((places[ends] + k + 1, np.full(int(ends.sum()), k), vocab.id_at[state[ends]], vocab.weight_at[state[ends]]))
+        on = places + k + 1 < hi
+        places, state = places[on], state[on]
+    # a character that is no piece itself: its bytes
+    single = np.zeros(hi + 1, bool)
+    single[found[0][0]] = True
+    alone = begin[~single[begin + 1]]
+    c = codes[alone]
+    count = 1 + (c >= 0x80) + (c >= 0x800) + ((c >= 0x10000) & (c < _LITERAL))
+    found.append((alone + 1, np.zeros(len(alone), np.int64), np.full(len(alone), -2), count * vocab.byte_weight))
+    node, k, id_, weight = (np.concatenate(x) for x in zip(*found))
+    own = node > lo
+    order = np.lexsort((k[own], node[own]))
+    first = np.searchsorted(node[own][order], np.arange(lo + 1, hi + 2))
+    return first.tolist(), k[own][order].tolist(), id_[own][order].tolist(), weight[own][order].tolist()
+
+
+def _long_filter(vocab: Vocabulary, codes: np.ndarray) -> np.ndarray:
+    """Logarithm of the weight of all paths to each node of one run."""
+    alpha = np.zeros(len(codes) + 1)
+    near: list[float] = [0.0]  # of the last nodes
+    for lo in range(0, len(codes), BLOCK):
+        hi = min(lo + BLOCK, len(codes))
+        first, k, _, weight = _edges(vocab, codes, lo, hi)
+        held = len(near)
+        for t in range(hi - lo):
+            end = held + t - 1
+            paths = [near[end - k[e]] + weight[e] for e in range(first[t], first[t + 1])]
+            top = max(paths)
+            near.append(top + log(sum([exp(x - top) for x in paths])) if len(paths) > 1 else top)
+        alpha[lo + 1 : hi + 1] = near[held:]
+        near = near[-vocab.longest :]
+    return alpha
+
+
+def _long_draw(vocab: Vocabulary, codes: np.ndarray, alpha: np.ndarray, seed: np.uint64, shift: int) -> np.ndarray:
+    """Ids of one segmentation of a run at the places where their pieces begin, -1 elsewhere."""
+    drawn = np.full(len(codes), -1, np.int32)
+    at = len(codes)
+    for lo in range((at - 1) // BLOCK * BLOCK, -1, -BLOCK):
+        hi = min(lo + BLOCK, len(codes))
+        first, k, ids, weight = _edges(vocab, codes, lo, hi)
+        left = max(0, lo - vocab.longest)
+        near = alpha[left : hi + 1].tolist()
+        draw = mix(seed + (shift + np.arange(lo + 1, hi + 1)).astype(np.uint64) * _STEP)
+        u = ((draw >> np.uint64(11)).astype(float) * 2.0**-53).tolist()
+        while at > lo:
+            e, last = first[at - lo - 1], first[at - lo] - 1
+            rest, total = u[at - lo - 1], near[at - left]
+            while e < last:
+                rest -= exp(near[at - left - k[e] - 1] + weight[e] - total)
+                if rest < 0:
+                    break
+                e += 1
+            at -= k[e] + 1
+            drawn[at] = ids[e]
+    return drawn
+
+
 def sample(vocab: Vocabulary, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
     """Ids of one drawn segmentation of each text; `keys` are 64-bit row keys."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -193,13 +268,20 @@ def sample(vocab: Vocabulary, texts: list[str], keys: np.ndarray) -> list[np.nda
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
     first, of = first[order], number[of]
+    long = int(np.searchsorted(-length[first], -LONG, side="left"))  # distinct chunks of more characters
     group_of = np.cumsum(length[first] + 1) // NODES
+    group_of[:long] = -1
 
     owner = np.repeat(np.arange(len(texts)), sizes)[start]
     seed = mix(mix(keys.astype(np.uint64)) + np.uint64(SEED))[owner]
     shift = start - text_start[owner]  # place of the chunk in its text
     drawn = np.full(total, -1, np.int32)
-    for group in np.unique(group_of):  # distinct chunks, as many as one lattice holds
+    for number in range(long):
+        run = codes[start[first[number]] : start[first[number]] + length[first[number]]]
+        alpha = _long_filter(vocab, run)
+        for chunk in np.flatnonzero(of == number):
+            drawn[start[chunk] : start[chunk] + len(run)] = _long_draw(vocab, run, alpha, seed[chunk], int(shift[chunk]))
+    for group in np.unique(group_of[long:]):  # distinct chunks, as many as one lattice holds
         a, b = np.searchsorted(group_of, [group, group + 1])
         base, share, ids = _lattice(vocab, codes, start[first[a:b]], length[first[a:b]])
         chunk = np.flatnonzero((of >= a) & (of < b))
@@ -251,12 +333,16 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = vocabulary(path)
         for batch in batches:
-            keys = batch["doc_key"].to_numpy(np.int64).view(np.uint64)
-            ids = sample(vocab, [t or "" for t in batch["text"]], keys)
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].array, "text_md5": batch["text_md5"],
-                "n_ids": [len(x) for x in ids], "ids": [x.astype("<i4").tobytes() for x in ids],
-            })
+            sizes = batch["text"].map(lambda t: len(t or "")).to_numpy()
+            part = (np.cumsum(sizes) - 1).clip(0) // CHARACTERS
+            for k in np.unique(part):
+                rows = batch.iloc[np.flatnonzero(part == k)]
+                keys = rows["doc_key"].to_numpy(np.int64).view(np.uint64)
+                ids = sample(vocab, [t or "" for t in rows["text"]], keys)
+                yield pd.DataFrame({
+                    "doc_id": rows["doc_id"].array, "text_md5": rows["text_md5"].to_numpy(),
+                    "n_ids": [len(x) for x in ids], "ids": [x.astype("<i4").tobytes() for x in ids],
+                })
 
     one = narrow(docs, doc_id="long", text="string")
     one = one.withColumn("doc_key", F.coalesce("doc_id", F.lit(0))).withColumn("text_md5", text_md5(F.col("text")))

@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import numpy as np
@@ -70,3 +71,25 @@ def test_rows_come_back_and_reruns_agree(spark):
 def test_rows_differ_by_key(spark):
     rows = pieces.encode(documents(spark, [(k, text(30), "aa") for k in range(20)])).collect()
     assert len({bytes(r.ids) for r in rows}) > 15
+
+
+def test_long_runs_draw_as_short_ones(monkeypatch):
+    """The same segmentations whether runs are filtered on their own, in blocks of any size, or side by side."""
+    vocab = pieces.vocabulary(MODEL)
+    texts = ["".join(text(300, k).split()) + "日é\n▁x" * (k % 3) + " " + text(5, k) for k in range(6)] * 2
+    apart = [x.tolist() for x in pieces.sample(vocab, texts, keys(12))]
+    monkeypatch.setattr(pieces, "BLOCK", 50)
+    assert [x.tolist() for x in pieces.sample(vocab, texts, keys(12))] == apart
+    monkeypatch.setattr(pieces, "LONG", 10**9)
+    together = [x.tolist() for x in pieces.sample(vocab, texts, keys(12))]
+    assert sum(a == b for a, b in zip(apart, together)) >= 10  # sums differ by rounding only
+    assert [b"".join(vocab.bytes[i] for i in x).decode() for x in apart] == texts
+
+
+def test_a_million_characters_without_a_blank():
+    vocab, run = pieces.vocabulary(MODEL), "".join(text(300, 1).split())
+    run = (run * (1_000_000 // len(run) + 1))[:1_000_000]
+    began = time.process_time()
+    (ids,) = pieces.sample(vocab, [run], keys(1))
+    assert time.process_time() - began < 30  # 6 s here; 150 s one numpy step at a time
+    assert b"".join(vocab.bytes[i] for i in ids).decode() == run
