@@ -2,9 +2,10 @@
 
 A log row is an event: `message` begins a message with a full text, `delta` adds to it,
 `edit` replaces its text, `regenerate` clears it for the deltas to come, `delete` removes
-it.  The log is parted by conversation and sorted by message and sequence; one pass folds
-the events of each message and renders it.  A task holds one message at a time, so a
-conversation of any length streams through.
+it.  The log is dealt by ranges of conversation and message and sorted by sequence; one
+pass folds the events of each message and renders it.  A task holds one message at a time,
+and a conversation of any length is folded and rendered by as many tasks as it fills; how
+many turns each of them found puts its turns in their place.
 
 The template marks every turn with control strings.  Control strings inside texts are
 escaped by a backslash after their first character, and backslashes are doubled, so that
@@ -18,10 +19,10 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomstar.llm.common import bounded, narrow
+from loomstar.llm.common import bounded, narrow, store
 
 #: Control strings of common chat templates, none of which a text may hold.
 CONTROL = [
@@ -69,16 +70,22 @@ def read_back(formatted: str) -> tuple[str, str]:
 TURN = "conv_id long, turn_no long, role string, formatted string, loss_start long, loss_length long"
 
 
+_FOLDED = "part int, conv_id long, nth long, role string, formatted string, loss_start long, loss_length long"
+
+
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted events to formatted turns."""
-    message, turn_no, conv = None, 0, None  # message: [its key, role, parts]
+    """Sorted events to formatted turns, numbered within this task and conversation."""
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    message, nth, conv = None, 0, None  # message: [its key, role, parts]
 
     def close(rows: list) -> None:
-        nonlocal turn_no
+        nonlocal nth
         if message is not None and message[2] is not None:
             formatted, start, length = render(message[1], "".join(message[2]))
-            rows.append((message[0][0], turn_no, message[1], formatted, start, length))
-            turn_no += 1
+            rows.append((part, message[0][0], nth, message[1], formatted, start, length))
+            nth += 1
 
     for batch in batches:
         rows: list[tuple] = []
@@ -88,7 +95,7 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if message is None or message[0] != (conv_id, at) or kind == "message":
                 close(rows)
                 if message is None or conv != conv_id:
-                    conv, turn_no = conv_id, 0
+                    conv, nth = conv_id, 0
                 message = [(conv_id, at), role or "", []]
             if kind == "delete":
                 message[2] = None
@@ -105,13 +112,13 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _turns(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[x.split()[0] for x in TURN.split(", ")])
+    out = pd.DataFrame(rows, columns=[x.split()[0] for x in _FOLDED.split(", ")])
     out["conv_id"] = pd.array([None if x == "" else int(x) for x in out["conv_id"]], dtype="Int64")
     return out
 
 
 def format_chats(events: DataFrame) -> DataFrame:
-    """Formatted turns (TURN) of all conversations of an event log, in order within each partition.
+    """Formatted turns (TURN) of all conversations of an event log.
 
     `events` has conv_id, message, seq, kind, role, text.  Events are applied in the order
     of conversation, message, seq, then kind, role and text, so ties and repeated rows have
@@ -122,9 +129,19 @@ def format_chats(events: DataFrame) -> DataFrame:
     """
     one = narrow(events, conv_id="long", message="long", seq="long", kind="string", role="string", text="string")
     order = ["conv_id", "message", "seq", "kind", "role", "text"]
-    dealt = one.repartition("conv_id").sortWithinPartitions(*order)
+    dealt = one.repartitionByRange("conv_id", "message").sortWithinPartitions(*order)
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in (("conv_id", "conv"), ("message", "message"))]
-    return bounded(dealt.select(*keys, "kind", "role", "text")).mapInPandas(_fold, TURN)
+    folded = store(bounded(dealt.select(*keys, "kind", "role", "text")).mapInPandas(_fold, _FOLDED), "turns")
+    # Ranges meet inside a conversation at most once each, so few conversations lie in several parts.
+    found = folded.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
+    split = found.groupBy(F.col("conv_id").alias("split")).agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.join(split, F.col("conv_id").eqNullSafe(F.col("split"))).withColumn("before", F.sum("n").over(before))
+    found = found.select(F.col("conv_id").alias("split"), F.col("part").alias("of"), F.coalesce("before", F.lit(0)).alias("before"))
+    place = F.col("conv_id").eqNullSafe(F.col("split")) & (F.col("part") == F.col("of"))
+    # Two rows a part at most.
+    turns = folded.join(F.broadcast(found), place, "left").withColumn("turn_no", F.col("nth") + F.coalesce("before", F.lit(0)))
+    return turns.select(*(x.split()[0] for x in TURN.split(", ")))
 
 
 DIGEST = (
@@ -133,7 +150,24 @@ DIGEST = (
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Turns in order to one row per conversation, everything read from the formatted text."""
+    """What the digests of a conversation are made of, turn by turn, read from the formatted text."""
+    for batch in batches:
+        plain, loss_at, chars = [], [], []
+        for formatted, start, length in zip(batch["formatted"], batch["loss_start"], batch["loss_length"]):
+            role, text = read_back(formatted)
+            masked = unescape(formatted[start : start + length])
+            if masked not in ("", text):
+                raise ValueError("a loss mask covers a text or nothing")
+            plain.append(f"{role}\n{text}\n")
+            loss_at.append(len(role) + 1 if masked else -1)
+            chars.append(len(formatted))
+        yield pd.DataFrame({
+            "conv": batch["conv"], "turn_no": batch["turn_no"], "plain": plain, "loss_at": loss_at, "chars": chars,
+        })
+
+
+def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Turns in order to one row per conversation."""
     names = [x.split()[0] for x in DIGEST.split(", ")]
     now, state = None, None  # state: turns, their digest, loss characters, their digest, characters
 
@@ -148,19 +182,18 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         rows = []
-        columns = (batch[c].tolist() for c in ("conv", "formatted", "loss_start", "loss_length"))
-        for conv, formatted, start, length in zip(*columns):
+        for conv, plain, loss_at, chars in zip(*(batch[c].tolist() for c in ("conv", "plain", "loss_at", "chars"))):
             if state is None or conv != now:
                 if state is not None:
                     rows.append(row())
                 now, state = conv, [0, sha256(), 0, sha256(), 0]
-            role, text = read_back(formatted)
-            loss = unescape(formatted[start : start + length])
             state[0] += 1
-            state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-            state[2] += len(loss)
-            state[3].update(loss.encode("utf-8", "surrogatepass"))
-            state[4] += len(formatted)
+            state[1].update(plain.encode("utf-8", "surrogatepass"))
+            if loss_at >= 0:
+                loss = plain[loss_at:-1]
+                state[2] += len(loss)
+                state[3].update(loss.encode("utf-8", "surrogatepass"))
+            state[4] += chars
         if rows:
             yield frame(rows)
     if state is not None:
@@ -168,13 +201,48 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def digest_chats(turns: DataFrame) -> DataFrame:
-    """One row (DIGEST) per conversation, read back from `format_chats`' own partitions."""
+    """One row (DIGEST) per conversation of TURN rows in any order, read back from the formatted text.
+
+    Turns are read where they are.  Only the digests, which take a conversation's turns one
+    after another, are one task's work for each conversation.
+    """
     conv = F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv")
-    return bounded(turns.select(conv, "formatted", "loss_start", "loss_length")).mapInPandas(_read, DIGEST)
+    rows = bounded(turns.select(conv, "turn_no", "formatted", "loss_start", "loss_length"))
+    read = rows.mapInPandas(_read, "conv string, turn_no long, plain string, loss_at long, chars long")
+    dealt = read.repartition("conv").sortWithinPartitions("conv", "turn_no")
+    return bounded(dealt.select("conv", "plain", "loss_at", "chars")).mapInPandas(_digest, DIGEST)
+
+
+#: Characters of a streamed delta; a text has DELTAS at most, longer ones then.
+DELTA, DELTAS = 400, 1_000
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """A log of one `message` event per row of (conv_id, turn, role, text)."""
+    """The log that rows of (conv_id, turn, role, text) come from, by a rule on conv_id and turn.
+
+    A quarter each of the turns is one `message`; a message without text and its deltas; a
+    draft and its edit; a draft with a delta, a regeneration and the deltas of the final
+    text.  Rows of one turn follow each other in the order of the table.
+    """
     one = narrow(conversations, conv_id="long", turn="long", role="string", text="string")
-    kind: Column = F.lit("message")
-    return one.select("conv_id", F.col("turn").alias("message"), F.col("turn").alias("seq"), kind.alias("kind"), "role", "text")
+    # 20 bits of the task, 30 of the row in it, 12 of the event: no two rows' events mix.
+    row = F.monotonically_increasing_id()
+    place = F.shiftleft(F.shiftright(row, 33), 42) + F.shiftleft(row.bitwiseAND(F.lit((1 << 30) - 1)), 12)
+    text, length = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    step = F.greatest(F.lit(DELTA), F.ceil(length / DELTAS).cast("int"))
+    events = lambda *pairs: F.array(*(F.struct(F.lit(k).alias("kind"), t.alias("text")) for k, t in pairs))
+    cuts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(length / step).cast("int") - 1))
+    deltas = F.transform(cuts, lambda k: F.struct(F.lit("delta").alias("kind"), F.substring(text, k * step + 1, step).alias("text")))
+    draft = F.concat(F.reverse(text), F.lit(" draft"))
+    empty = F.lit("")
+    way = F.pmod(F.coalesce("conv_id", F.lit(0)) + F.coalesce("turn", F.lit(0)), F.lit(4))
+    log = (
+        F.when(way == 0, events(("message", text)))
+        .when(way == 1, F.concat(events(("message", empty)), deltas))
+        .when(way == 2, events(("message", draft), ("edit", text)))
+        .otherwise(F.concat(events(("message", draft), ("delta", draft), ("regenerate", empty)), deltas))
+    )
+    each = one.select("conv_id", "turn", "role", place.alias("place"), F.posexplode(log).alias("nth", "event"))
+    return each.select(
+        "conv_id", F.col("turn").alias("message"), (F.col("place") + F.col("nth")).alias("seq"), "event.kind", "role", "event.text"
+    )
