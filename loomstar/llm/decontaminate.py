@@ -124,7 +124,8 @@ def _scan(share, hits_only: bool):
                 if runs or not hits_only:
                     hit = sum(b - a for a, b in runs)
                     rows.append((row, doc_id, len(words), hit, sorted(items), runs, spans_of(text, runs)))
-            yield _frame(rows)
+            if rows:
+                yield _frame(rows)
 
     return run
 
@@ -132,7 +133,7 @@ def _scan(share, hits_only: bool):
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=["row", "doc_id", "n_words", "n_hit", "items", "runs", "spans"])
     out["doc_id"] = out["doc_id"].astype("Int64")
-    out["spans"] = [[{"start": a, "end": b} for a, b in s] for s in out["spans"]]
+    out["spans"] = pd.Series([[{"start": a, "end": b} for a, b in s] for s in out["spans"]], dtype=object)
     return out
 
 

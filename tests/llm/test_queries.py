@@ -1,4 +1,4 @@
-"""The registered queries: all ten, whole tables, and the SQL where there is any."""
+"""The registered queries: all of them, whole tables, and the SQL where there is any."""
 
 import os
 
@@ -21,12 +21,15 @@ CONTRACT = {
     8: "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     9: "doc_id n_ids ids_crc32 n_chars text_sha256 lossless",
     10: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
+    11: "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    12: "doc_id n_words n_hit n_items items_sha256 contaminated",
+    13: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_and_the_pipeline_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -39,7 +42,9 @@ def test_queries_return_their_contract(spark, name):
     kinds = dict(df.dtypes)
     assert all(kinds[c] == "bigint" for c in wanted if c.startswith("n_") or c.endswith(("_id", "_crc32", "_chars")))
     rows = df.collect()
-    if number in (3, 10):
+    if number == 11:
+        assert sorted(r.vec_id for r in rows) == sorted(r.vec_id for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect())
+    elif number in (3, 10):
         source, n = ("pages", 0) if number == 3 else ("conversations", 1)
         held = spark.read.parquet(f"{SF_DIR}/{source}.parquet")
         assert len(rows) == (held.count() if number == 3 else held.select("conv_id").distinct().count() + n)
@@ -55,7 +60,8 @@ def test_queries_return_their_contract(spark, name):
 def test_queries_equal_sql(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for name_ in ("documents", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{SF_DIR}/{name_}.parquet'")
     cursor = con.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
