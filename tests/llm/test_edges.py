@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from loomstar.llm import (
-    chat, exact_dedup, html_text, language_id, license_scan, near_dedup, packing, pieces, ppm, quality,
+    alignment, chat, decontaminate, exact_dedup, html_text, language_id, license_scan, near_dedup, packing, pieces, ppm, quality,
 )
 from tests.llm.cases import DOCUMENTS, documents, labels
 
@@ -16,6 +16,8 @@ PER_ROW = {
     "ppm": lambda spark, docs: ppm.score(docs),
     "near_dedup": lambda spark, docs: near_dedup.near_dedup(docs),
     "pieces": lambda spark, docs: pieces.decode(pieces.encode(docs)),
+    "decontaminate": lambda spark, docs: decontaminate.decontaminate(docs, spark.createDataFrame([(1, "ka lo"), (None, None)], "item_id long, text string")),
+    "alignment": lambda spark, docs: alignment.links(docs),
 }
 FILTERS = {
     "keep_good": lambda spark, docs: quality.keep_good(docs, labels(spark)),
