@@ -11,8 +11,9 @@ from loomstar.operators.lookups import (
     song_data_by_session, song_data_by_user_and_session, user_data_by_song,
 )
 from loomstar.plans.steps import together
-from loomstar.sinks.tables import overwrite, upsert, write_csv
-from loomstar.sources.files import ARRIVAL, read_events_csv, read_table, with_arrival
+from loomstar.sinks.tables import overwrite, write_csv
+from loomstar.sinks.versions import read_versions, upsert_versions
+from loomstar.sources.files import ARRIVAL, read_events_csv
 
 # The columns that place a row and order it there.
 PLACEMENT = {
@@ -35,10 +36,10 @@ def wide_tables(
     The export is parsed once, into typed parquet, with the place of each record;
     of records with one key the later wins, by file name and then by line.  The
     merged play file is written from there.  `multi_line` reads line breaks inside
-    quotes, one task a file; without it such a record fails the load.  A stored
-    table is merged with the plays, which win, bucket by touched bucket.
+    quotes, by as many tasks as a file has blocks; without it such a record fails the load.  A stored
+    table takes the plays as a version of its own, which wins when it is read.
     """
-    played = non_empty(with_arrival(read_events_csv(spark, root, multi_line)), "artist")
+    played = non_empty(read_events_csv(spark, root, multi_line, arrival=True), "artist")
     staged = f"{out}/staging_plays"
     overwrite(played, staged)
     plays = spark.read.schema(played.schema).parquet(staged)
@@ -47,8 +48,9 @@ def wide_tables(
     def load(name: str) -> None:
         dist, sort = PLACEMENT[name]
         key = [*dist, *sort]
-        upsert(tables[name], f"{out}/{name}", key, sort=key)
+        upsert_versions(tables[name], f"{out}/{name}", key, dist=dist, sort=key)
 
     merge = partial(write_csv, project_play11(plays), f"{out}/plays_csv", mode="overwrite")
     together(merge, *[partial(load, name) for name in PLACEMENT])
-    return {name: read_table(spark, f"{out}/{name}", df.schema) for name, df in tables.items()}
+    keys = {name: [*dist, *sort] for name, (dist, sort) in PLACEMENT.items()}
+    return {name: read_versions(spark, f"{out}/{name}", keys[name], df.schema) for name, df in tables.items()}

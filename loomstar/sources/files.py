@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomstar.schemas import EVENT, EVENT_CSV, PLAY11, SONG
-
-ARRIVAL = ("arrival_file", "arrival_block", "arrival_row")
+from loomstar.sources.records import PLACE as ARRIVAL
+from loomstar.sources.records import read_csv_records
 
 
 def read_json_tree(
@@ -84,30 +84,36 @@ def read_events_for(
     return spark.read.schema(EVENT).option("mode", mode).json(folder)
 
 
-def _csv(spark: SparkSession, root: str | list[str], schema: StructType, multi_line: bool, mode: str):
-    return (
+def _csv(
+    spark: SparkSession, root: str | list[str], schema: StructType, multi_line: bool, mode: str, arrival: bool = False
+) -> DataFrame:
+    if multi_line:
+        records = read_csv_records(spark, root, schema, mode)
+        return records if arrival else records.drop(*ARRIVAL)
+    scan = (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')  # a quote inside a field is doubled
         .option("encoding", "UTF-8")
         .option("recursiveFileLookup", True)
-        .option("multiLine", multi_line)
         .option("columnPruning", False)  # a pruned parse cannot see that a record is malformed
         .option("mode", mode)
         .csv(root)
     )
+    return with_arrival(scan) if arrival else scan
 
 
 def read_events_csv(
-    spark: SparkSession, root: str | list[str], multi_line: bool = False, mode: str = "FAILFAST"
+    spark: SparkSession, root: str | list[str], multi_line: bool = False, mode: str = "FAILFAST", arrival: bool = False
 ) -> DataFrame:
     """The CSV export of the log: one header per file, any number of files.
 
-    `multi_line` allows line breaks inside quotes, at the price that a file is
-    no longer split over tasks.  Without it such a record fails the read.
+    `multi_line` allows line breaks inside quotes, at the price of one shuffle of the
+    text; without it such a record fails the read.  Files are split over tasks either
+    way.  `arrival` adds ARRIVAL, the order in which records lie.
     """
-    return _csv(spark, root, EVENT_CSV, multi_line, mode)
+    return _csv(spark, root, EVENT_CSV, multi_line, mode, arrival)
 
 
 def read_plays_csv(
