@@ -1,5 +1,5 @@
 from loomstar.operators.analytics import (
-    order_by_count, plays_by_weekday_hour, star_counts, top_artists, top_artists_all, top_k,
+    counts_by, day_counts, order_by_count, plays_by_weekday_hour, star_counts, top_artists, top_artists_all, top_k,
     top_songs, top_users,
 )
 from loomstar.operators.dedup import pick_per_key
@@ -13,14 +13,14 @@ from loomstar.operators.lookups import (
     song_data_by_user_and_session, user_data_by_song,
 )
 from loomstar.operators.quality import (
-    DataQualityError, assert_checks, fk_violations, has_rows_checks, null_violations,
+    DataQualityError, assert_checks, fingerprints, fk_violations, fused_checks, has_rows_checks, null_violations,
     pk_violations, row_count, row_counts, run_checks, star_checks,
 )
 from loomstar.operators.skew import lookup_join, measured_bytes
 
 __all__ = [
-    "DataQualityError", "artists_dim", "assert_checks", "catalogue", "dimension",
-    "fk_violations", "has_rows_checks", "lookup_join", "measured_bytes",
+    "DataQualityError", "artists_dim", "assert_checks", "catalogue", "counts_by", "day_counts", "dimension",
+    "fingerprints", "fk_violations", "fused_checks", "has_rows_checks", "lookup_join", "measured_bytes",
     "non_empty", "null_violations", "order_by_count", "pick_per_key", "pk_violations", "plays",
     "plays_by_weekday_hour", "preview", "project_play11", "q_session_item", "q_user_session",
     "q_users_by_song", "row_count", "row_counts", "run_checks", "song_data_by_session",

@@ -30,6 +30,26 @@ def star_counts(
     return counts.groupBy(*by).agg(F.sum("_n").alias(alias))
 
 
+def day_counts(fact: DataFrame, keys: Sequence[str], day: str = "event_date") -> DataFrame:
+    """Plays by day and foreign keys: `n_rows`, and `n_plays` that have an id.
+
+    Counts of days add up, so a report over any days needs these rows and not the fact.
+    """
+    return fact.groupBy(day, *keys).agg(F.count("*").alias("n_rows"), F.count("songplay_id").alias("n_plays"))
+
+
+def counts_by(
+    counts: DataFrame, dims: Sequence[tuple[DataFrame, str]], by: Sequence[str], alias: str, counted: str = "n_plays"
+) -> DataFrame:
+    """`star_counts` from the rows of `day_counts` instead of the fact."""
+    keys = [key for _, key in dims]
+    total = counts.groupBy(*keys).agg(F.sum(counted).alias("_n")).where("_n > 0")
+    for dim, key in dims:
+        wanted = [c for c in by if c in dim.columns and c not in total.columns]
+        total = total.join(dim.select(key, *wanted), key)
+    return total.groupBy(*by).agg(F.sum("_n").alias(alias))
+
+
 def order_by_count(df: DataFrame, count: str) -> DataFrame:
     """Most frequent first, ties by the remaining columns."""
     return df.orderBy(F.desc(count), *[c for c in df.columns if c != count])

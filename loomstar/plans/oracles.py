@@ -322,6 +322,11 @@ FROM ({_BY_USER_SESSION}) WHERE user_id = 1122 AND session_id = 56 ORDER BY item
     + f"SELECT user_first_name, user_last_name FROM ({_BY_SONG}) WHERE song_title = 'Track 3' ORDER BY user_id",
     "insert_if_absent": _INSERTED,
     "upsert_last": _UPSERTED,
+    "upsert_compacted": f"""WITH versions AS (SELECT *, 0 AS version FROM lineitem
+  UNION ALL SELECT * REPLACE (0.0::DOUBLE AS l_extendedprice), 1 FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL SELECT * REPLACE (0.0::DOUBLE AS l_extendedprice), 2 FROM lineitem WHERE l_returnflag = 'A')
+SELECT * EXCLUDE (version) FROM versions QUALIFY row_number() OVER (
+  PARTITION BY l_orderkey, l_linenumber ORDER BY version DESC, l_shipdate DESC, {_LINE_REST_DESC}) = 1""",
     "upsert_partitions": """SELECT c_custkey, c_name, c_nationkey,
   CASE c_mktsegment WHEN 'BUILDING' THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal, c_mktsegment
 FROM customer""",
@@ -372,8 +377,7 @@ WHERE {_FILED} = DATE '{RUN_DATE}'""",
 FROM (SELECT {_fact('at_s').replace('"sessionId" AS', 'CASE WHEN "sessionId" % 50 <> 0 THEN "sessionId" END AS')}
   FROM plays LEFT JOIN songs_once {_ON3})""",
     "rerun_idempotent": _with(_STREAM, _SONG, _STREAM_PLAYS)
-    + f"""SELECT * FROM (SELECT {_fact('at_s', _MD5)}, {_FILED} AS event_date FROM plays LEFT JOIN song {_ON3})
-WHERE event_date BETWEEN DATE '{RUN_DATE}' AND DATE '2024-01-17'""",
+    + f"SELECT {_fact('at_s', _MD5)}, {_FILED} AS event_date FROM plays LEFT JOIN song {_ON3}",
     "row_counts": "\nUNION ALL ".join(_count(t, t) for t in TABLES),
     "quality_report": _with(_LOG) + "\nUNION ALL ".join([
         *[f"SELECT '{t}_has_rows' AS test_name, count(*) > 0 AS passed FROM {t}" for t in TABLES],
@@ -389,6 +393,11 @@ WHERE event_date BETWEEN DATE '{RUN_DATE}' AND DATE '2024-01-17'""",
         "SELECT 'some_discount_in_sql', count(*) > 0 AND coalesce(max(l_discount), 0) <> 0 FROM lineitem",
         "SELECT 'some_loss_in_sql', count(*) > 0 FROM lineitem WHERE l_extendedprice < 0",
     ]),
+    "report_day_counts": _with(_STREAM, _SONG, _STREAM_PLAYS)
+    + "\nUNION ALL ".join([
+        f"""SELECT '{key}' AS report, CAST({key} AS VARCHAR) AS key, count(*) AS n_rows, count(songplay_id) AS n_plays
+FROM (SELECT {_fact('at_s', _MD5)} FROM plays LEFT JOIN song {_ON3}) GROUP BY {key}""" for key in ("artist_id", "user_id")
+    ]),
     "star_violations": _with(_LOG)
     + "\nUNION ALL ".join([
         """SELECT 'orders_key_unique' AS test_name, count(*) = 0 AS passed FROM (
@@ -437,13 +446,10 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.d
     "star_daily_times": _with(_STREAM, _SONG, _STREAM_PLAYS)
     + f"""SELECT start_time, {_parts('start_time', _number('start_time'))}, event_date FROM (
   SELECT at_s AS start_time, {_FILED} AS event_date FROM plays LEFT JOIN song {_ON3_WHOLE})""",
+    "star_daily_users": _with(_STREAM, _SONG, _STREAM_PLAYS) + "SELECT DISTINCT user_id, first_name, last_name, gender, level FROM plays",
     "star_daily_tables": _with(_STREAM, _SONG, _STREAM_PLAYS, _ARTISTS)
     + "\nUNION ALL ".join([
-        _count(
-            "users",
-            f"""(SELECT DISTINCT user_id, level FROM plays
-  WHERE {_FILED} = DATE '{RUN_DATE}')""",
-        ),
+        _count("users", "(SELECT DISTINCT user_id, level FROM plays)"),
         _count("songs", f"({_SONGS_SELECT.replace('SELECT', 'SELECT DISTINCT', 1)})"),
         _count(
             "artists",
@@ -456,6 +462,7 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.d
 }
 ORACLES["stage_table"] = ORACLES["stage_mapping"]
 ORACLES["date_incremental_file"] = ORACLES["date_incremental"]
+ORACLES["star_violations_fused"] = ORACLES["star_violations"]
 ORACLES["failed_checks"] = (
     f"SELECT count(*) AS n_failed FROM ({ORACLES['quality_report']}) WHERE NOT passed"
 )

@@ -17,7 +17,7 @@ from loomstar.plans.roles import (
 )
 from loomstar.schemas import EVENT, SONG, SONGPLAYS, SONGS, STAR, USERS
 from loomstar.session import scratch_path
-from loomstar.streaming import run_for_date, store_plays, stream_events
+from loomstar.streaming import refresh_counts, run_for_date, store_plays, stream_events
 from loomstar.streaming.ingest import keyed_plays
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -378,8 +378,18 @@ def upsert_last(spark, sf_dir):
     path = scratch_path(spark, "upsert")
     stored, later = _halves(spark, sf_dir)
     for rows in (stored, later):
-        sinks.upsert(rows, path, LINE_KEY, ["l_shipdate"], buckets=8)
-    return sources.read_table(spark, path, stored.schema)
+        sinks.upsert_versions(rows, path, LINE_KEY, ["l_shipdate"])
+    return sinks.read_versions(spark, path, LINE_KEY, stored.schema)
+
+
+@query
+def upsert_compacted(spark, sf_dir):
+    """All lines, then those of each return flag again at no price, the versions made one table on the way."""
+    path, lines = scratch_path(spark, "upsert"), table(spark, sf_dir, "lineitem")
+    free = lines.withColumn("l_extendedprice", F.lit(0.0))
+    for rows in (lines, *(free.filter(F.col("l_returnflag") == flag) for flag in ("R", "A"))):
+        sinks.upsert_versions(rows, path, LINE_KEY, ["l_shipdate"], sort=LINE_KEY, compact_at=0.2)
+    return sinks.read_versions(spark, path, LINE_KEY, lines.schema)
 
 
 @query
@@ -621,8 +631,30 @@ def _reruns(spark, sf_dir):
 
 @query
 def rerun_idempotent(spark, sf_dir):
-    """All days loaded, some run again; of the table, the three days that the SQL names."""
-    return _reruns(spark, sf_dir).where(F.col("event_date").between(RUN_DATE, "2024-01-17"))
+    """The plays of all days after the whole log was loaded and some days run again."""
+    return _reruns(spark, sf_dir)
+
+
+@query
+def report_day_counts(spark, sf_dir):
+    """Plays by artist and by user from counts kept by day, brought up to date after days were run again."""
+    root, sink = export_daily(spark, sf_dir), scratch_path(spark, "daily")
+    songs, kept = song_records(spark, sf_dir), {key: scratch_path(spark, "counts") for key in ("artist_id", "user_id")}
+    log = sources.with_file_date(sources.read_json_tree(spark, f"{root}/log_data", EVENT))
+    log = log.where(F.col("event_date") != F.lit(NEXT_DATE).cast("date"))  # comes later
+    sinks.overwrite_partitions(keyed_plays(log, songs, PURCHASE, also=["event_date"]), sink, ["event_date"])
+    for key, path in kept.items():
+        refresh_counts(spark, sink, path, [key])
+    for day in (RUN_DATE, NEXT_DATE, RUN_DATE):
+        run_for_date(spark, root, day, songs, sink, PURCHASE, layout="partition")
+        for key, path in kept.items():
+            refresh_counts(spark, sink, path, [key], day)
+    sums = [F.sum(n).alias(n) for n in ("n_rows", "n_plays")]
+    parts = [
+        spark.read.parquet(path).groupBy(F.col(key).cast("string").alias("key")).agg(*sums).withColumn("report", F.lit(key))
+        for key, path in kept.items()
+    ]
+    return sources.union_sources(*parts)
 
 
 # Quality
@@ -670,22 +702,33 @@ def failed_checks(spark, sf_dir):
     return spark.createDataFrame([(0,)], "n_failed bigint")
 
 
-@query
-def star_violations(spark, sf_dir):
-    """Checks of keys, required columns and references on the log, of which some fail."""
+def _star_rules(spark, sf_dir):
     tables = {
         "lines": table(spark, sf_dir, "lineitem").withColumnsRenamed({"l_orderkey": "o_orderkey", "l_partkey": "p_partkey"}),
         "orders": table(spark, sf_dir, "orders"),
         "parts": table(spark, sf_dir, "part").filter("p_partkey % 2 = 0"),
         "log": event_log(spark, sf_dir, users=False),
     }
-    checks = op.star_checks(
-        tables,
-        unique={"orders": ["o_orderkey"], "lines": ["o_orderkey"]},
-        required={"lines": ["o_orderkey"], "log": ["ts", "length"]},
-        references={"lines": {"o_orderkey": "orders", "p_partkey": "parts"}},
-    )
-    return op.run_checks(spark, checks).select("test_name", "passed")
+    rules = {
+        "unique": {"orders": ["o_orderkey"], "lines": ["o_orderkey"]},
+        "required": {"lines": ["o_orderkey"], "log": ["ts", "length"]},
+        "references": {"lines": {"o_orderkey": "orders", "p_partkey": "parts"}},
+    }
+    return tables, rules
+
+
+@query
+def star_violations(spark, sf_dir):
+    """Checks of keys, required columns and references on the log, of which some fail."""
+    tables, rules = _star_rules(spark, sf_dir)
+    return op.run_checks(spark, op.star_checks(tables, **rules)).select("test_name", "passed")
+
+
+@query
+def star_violations_fused(spark, sf_dir):
+    """The same checks with one scan of each table."""
+    tables, rules = _star_rules(spark, sf_dir)
+    return op.fused_checks(tables, **rules).select("test_name", "passed")
 
 
 @query
@@ -771,13 +814,24 @@ def star_daily_times(spark, sf_dir):
     return _daily_reruns(spark, sf_dir)["time"]
 
 
+def _daily_carried(spark, sf_dir):
+    """The whole log loaded, then one day of it again with the users carried forward."""
+    root, out = export_daily(spark, sf_dir), _out(spark)
+    for run_date in (None, RUN_DATE):
+        tables = star.star_daily(spark, root, out, run_date, PURCHASE, layout="partition", carry_users=True)
+    return tables
+
+
 @query
 def star_daily_tables(spark, sf_dir):
     """Table sizes after loading the whole log and then one day again."""
-    root, out = export_daily(spark, sf_dir), _out(spark)
-    for run_date in (None, RUN_DATE):
-        tables = star.star_daily(spark, root, out, run_date, PURCHASE, layout="partition")
-    return op.row_counts(tables)
+    return op.row_counts(_daily_carried(spark, sf_dir))
+
+
+@query
+def star_daily_users(spark, sf_dir):
+    """All users after a run of one day, not only that day's."""
+    return _daily_carried(spark, sf_dir)["users"]
 
 
 @query

@@ -24,7 +24,7 @@ from loomstar.operators.dimensions import (
 from loomstar.operators.facts import catalogue, songplays, with_start_time
 from loomstar.operators.filters import plays
 from loomstar.operators.quality import (
-    assert_checks, has_rows_checks, run_checks, star_checks,
+    assert_checks, fused_checks, has_rows_checks, run_checks,
 )
 from loomstar.plans.steps import together
 from loomstar.schemas import ARTISTS, EVENT, SONG, SONGPLAYS, SONGS, STAR_KEYS, TIME, USERS
@@ -68,7 +68,7 @@ def _checked(
 ) -> dict[str, DataFrame]:
     """The tables, if unique keys do not repeat, plays have a time and references exist."""
     keys = {name: STAR_KEYS[name] for name in unique}
-    assert_checks(run_checks(spark, star_checks(tables, keys, _REQUIRED, _REFERENCES)))
+    assert_checks(fused_checks(tables, keys, _REQUIRED, _REFERENCES))
     return tables
 
 
@@ -202,6 +202,7 @@ def star_daily(
     page: str = "NextSong",
     layout: str = "file",
     append_fact: bool = False,
+    carry_users: bool = False,
 ) -> dict[str, DataFrame]:
     """Stage one day (or the whole log), add its plays, rebuild the dimensions, check.
 
@@ -211,6 +212,10 @@ def star_daily(
     and daily ones agree.  The plays, and their times, replace those of an earlier
     run for the same days and no other day is read or written; `append_fact` adds
     them regardless.  Fails if a table ends up empty or a play lacks its time.
+
+    By default the users are those of the staged events alone, so after a daily run the
+    fact names users that the dimension lacks.  `carry_users` keeps the stored ones and
+    adds those that are new, and every reference of the fact is checked as well.
     """
     day = None if run_date is None else day_of(run_date)
     raw = (
@@ -238,10 +243,13 @@ def star_daily(
     _write_days(times, f"{out}/time", day, False)
 
     dims = {"users": users_dim(played), "songs": songs_dim(songs), "artists": artists_dim(songs)}
-    together(*[partial(load_dimension, dim, f"{out}/{name}") for name, dim in dims.items()])
+    loads = {name: partial(load_dimension, dim, f"{out}/{name}") for name, dim in dims.items()}
+    if carry_users:
+        loads["users"] = partial(insert_if_absent, dims["users"], f"{out}/users", dims["users"].columns)
+    together(*loads.values())
 
     tables = _stored(out, {**dims, "time": times, "songplays": dated})
     checked = {"staging_events": events, "staging_songs": songs, **tables}
-    no_time = star_checks({"songplays": tables["songplays"]}, required=_REQUIRED)
-    assert_checks(run_checks(spark, {**has_rows_checks(checked), **no_time}))
+    whole = fused_checks(tables, required=_REQUIRED, references=_REFERENCES if carry_users else None)
+    assert_checks(run_checks(spark, has_rows_checks(checked)).unionByName(whole))
     return tables

@@ -1,3 +1,3 @@
-from loomstar.streaming.ingest import run_for_date, store_plays, stream_events
+from loomstar.streaming.ingest import refresh_counts, run_for_date, store_plays, stream_events
 
-__all__ = ["run_for_date", "store_plays", "stream_events"]
+__all__ = ["refresh_counts", "run_for_date", "store_plays", "stream_events"]

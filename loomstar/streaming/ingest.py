@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstar.functions.keys import event_key, play_key
+from loomstar.operators.analytics import day_counts
 from loomstar.operators.facts import songplays, with_start_time
 from loomstar.operators.filters import plays
 from loomstar.schemas import EVENT
-from loomstar.sinks.tables import insert_if_absent, overwrite, partition_path
+from loomstar.sinks.tables import insert_if_absent, overwrite, overwrite_partitions, partition_path
 from loomstar.sources.files import day_of, read_events_for
 
 _BY_MONTH = ["year", "month"]
@@ -95,3 +96,17 @@ def run_for_date(
     day = day_of(run_date)
     fact = keyed_plays(read_events_for(spark, root, day, layout), songs, page)
     overwrite(fact, partition_path(sink, "event_date", day))
+
+
+def refresh_counts(spark: SparkSession, sink: str, counts: str, keys: Sequence[str], run_date: dt.date | str | None = None) -> None:
+    """Bring `day_counts` of the plays at `sink` up to date, for all days or for one.
+
+    Only that day's plays are read and only its counts replaced, so a report after a daily
+    run costs the day and the stored counts, however many plays there are.
+    """
+    if run_date is None:
+        overwrite_partitions(day_counts(spark.read.parquet(sink), keys), counts, ["event_date"])
+        return
+    day = day_of(run_date)
+    plays_ = spark.read.parquet(partition_path(sink, "event_date", day)).withColumn("event_date", F.lit(day))
+    overwrite(day_counts(plays_, keys).drop("event_date"), partition_path(counts, "event_date", day))

@@ -6,7 +6,7 @@ import fixtures
 from loomstar import operators as op
 from loomstar import session
 from loomstar.plans import star_daily, star_distinct, star_first_wins, star_lake
-from loomstar.streaming import run_for_date, store_plays, stream_events
+from loomstar.streaming import refresh_counts, run_for_date, store_plays, stream_events
 
 
 @pytest.fixture
@@ -57,6 +57,37 @@ def test_daily_load_adds_days_and_repeats_safely(spark, raw, out):
     assert op.pk_violations(again["songplays"], ["songplay_id"]).count() > 0
 
 
+def test_daily_load_carries_users_forward(spark, raw, out):
+    """After a whole load and a day, all users of the fact are known, and a lost one fails the next load."""
+    whole = star_daily(spark, raw, f"{out}/star", carry_users=True)
+    users = sorted(map(str, whole["users"].collect()))
+    for _ in range(2):
+        tables = star_daily(spark, raw, f"{out}/star", "2018-11-03", carry_users=True)
+        assert sorted(map(str, tables["users"].collect())) == users and len(users) == 5
+    assert op.fk_violations(tables["songplays"], tables["users"], "user_id").count() == 0
+    star_daily(spark, raw, f"{out}/star", "2018-11-03")  # the day's users alone
+    with pytest.raises(op.DataQualityError, match="songplays_user_id_in_users"):
+        star_daily(spark, raw, f"{out}/star", "2018-11-03", carry_users=True)
+
+
+def test_counts_by_day_give_the_reports_of_the_fact(spark, raw, out):
+    """After any rerun of a day, reports from the stored counts equal a recount; only that day is read."""
+    songs, sink = fixtures.songs(spark), f"{out}/sink"
+    keys = ["artist_id", "song_id"]
+    for day in ("2018-11-02", "2018-11-03"):
+        run_for_date(spark, raw, day, songs, sink)
+    refresh_counts(spark, sink, f"{out}/counts", keys)
+    dims = star_distinct(spark, raw, f"{out}/star")
+    wanted = [(dims["artists"].select("artist_id", "name"), "artist_id"), (dims["songs"].select("song_id", "title"), "song_id")]
+    for rows in (fixtures.event_rows()[:1] * 3, [], fixtures.event_rows()):
+        fixtures.write_lines(f"{raw}/log_data/2018/11/2018-11-02-events.json", rows)
+        run_for_date(spark, raw, "2018-11-02", songs, sink)
+        refresh_counts(spark, sink, f"{out}/counts", keys, "2018-11-02")
+        recount = op.star_counts(spark.read.parquet(sink), wanted, ["name", "title"], "n", "songplay_id")
+        kept = op.counts_by(spark.read.parquet(f"{out}/counts"), wanted, ["name", "title"], "n")
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, recount.collect()))
+
+
 def test_daily_load_fails_on_an_empty_table(spark, raw, out):
     with pytest.raises(op.DataQualityError, match="songplays_has_rows"):
         star_daily(spark, raw, f"{out}/star", page="No such page")
