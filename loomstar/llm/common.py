@@ -49,6 +49,23 @@ def if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+#: A key with more than one row in so many goes by broadcast, so there are fewer such keys than that.
+HOT_KEYS = 1_000
+
+
+def join_sized(left: DataFrame, right: DataFrame, key: str, size: str) -> DataFrame:
+    """`left` joined to `right`, which has one row per `key` with its number of rows, `size`.
+
+    Keys that hold more than a HOT_KEYS-th of all rows, fewer than HOT_KEYS, meet their rows
+    where these are; all other keys shuffle.  `right` is read three times, so store it.
+    """
+    least = (right.agg(F.sum(size)).first()[0] or 0) / HOT_KEYS
+    hot = F.broadcast(right.where(F.col(size) > least))
+    keys = F.broadcast(right.where(F.col(size) > least).select(key))
+    cold = left.join(keys, key, "left_anti").join(right.where(F.col(size) <= least), key)
+    return left.join(hot, key).unionByName(cold)
+
+
 def crc32_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -33,8 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.common import bounded, drop_unkept, if_small, narrow, store, text_md5
-from loomstar.llm.components import components
+from loomstar.llm.common import bounded, drop_unkept, if_small, join_sized, narrow, store, text_md5
+from loomstar.llm.components import components, more_components
 from loomstar.llm.words import flat, hashed, mix, windows
 
 WIDTH = 5
@@ -162,22 +162,29 @@ def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _order() -> Column:
+    """Which row of a class stays: the least doc_id, a null one last, then the first row."""
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+
+
 def _units(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All rows with their row number and word sequence; one unit per distinct word sequence."""
+    """All rows with their row number and word sequence; one unit per distinct word sequence that has words."""
     one = narrow(docs, doc_id="long", text="string").withColumn("text_md5", text_md5(F.col("text")))
     signed = bounded(one).mapInPandas(_sign, "doc_id long, text_md5 string, words binary, bands array<long>")
     rows = store(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
     first = F.min(F.struct("row", "doc_id", "text_md5", "bands"))
-    units = rows.groupBy("words").agg(first.alias("of")).select("words", "of.*")
-    return rows, store(units.withColumn("unit", F.monotonically_increasing_id()), "units")
+    units = rows.where(F.size("bands") > 0).groupBy("words").agg(
+        first.alias("of"), F.count(F.lit(1)).alias("n"), F.min(_order()).alias("best")
+    )
+    unit = F.col("of.row").alias("unit")
+    return rows, store(units.select("words", unit, "of.doc_id", "of.text_md5", "of.bands", "n", "best"), "units")
 
 
-def _links(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """Verified links (a, b) between units, enough of them to connect whatever is linked."""
-    spark = docs.sparkSession
+def _linked(docs: DataFrame, units: DataFrame) -> DataFrame:
+    """(unit, component) of all units that are linked with another."""
     members = units.select("unit", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = store(members.join(sizes, "bucket"), "buckets")
+    shared = store(join_sized(members, store(sizes, "sizes"), "bucket", "size"), "buckets")
 
     wanted = shared.select("unit").distinct().join(units.select("unit", "doc_id", "text_md5"), "unit")
     wanted = if_small(store(wanted, "candidates"), BROADCAST_ROWS)
@@ -194,17 +201,18 @@ def _links(docs: DataFrame, units: DataFrame) -> DataFrame:
     central = shared.groupBy("unit").agg(F.sum("size").alias("weight"))
     large = store(shared.where(F.col("size") > SMALL_BUCKET).join(central, "unit"), "large-buckets")
     rank = F.struct("weight", (-F.col("unit")).alias("less"))
-    leaders = large.groupBy("bucket").agg((-F.max(rank)["less"]).alias("leader"))
-    led = large.join(leaders, "bucket").select("bucket", "unit", "leader", *_ordered("unit", "leader"))
+    leaders = large.groupBy("bucket").agg((-F.max(rank)["less"]).alias("leader"), F.first("size").alias("members"))
+    led = join_sized(large, store(leaders, "leaders"), "bucket", "members")
+    led = store(led.select("bucket", "unit", "leader", *_ordered("unit", "leader")), "led")
     done = _verified(pairs.unionByName(led.where("a <> b").select("a", "b")).distinct(), texts)
-    links = done.where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    found = store(components(done.where(F.col("similarity") >= SIMILARITY).select("a", "b")), "components")
     if large.isEmpty():
-        return links
+        return found
     alike = F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.col("similarity")).alias("alike")
     members = led.join(done, ["a", "b"], "left").select("bucket", "unit", "leader", alike)
-    rest = _undecided(members, components(links), units, texts)
+    rest = _undecided(members, if_small(found, BROADCAST_ROWS), units, texts)
     more = _verified(rest.join(done.select("a", "b"), ["a", "b"], "left_anti"), texts)
-    return links.unionByName(more.where(F.col("similarity") >= SIMILARITY).select("a", "b"))
+    return store(more_components(found, more.where(F.col("similarity") >= SIMILARITY).select("a", "b")), "components")
 
 
 def _shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -225,9 +233,10 @@ def _undecided(members: DataFrame, found: DataFrame, units: DataFrame, texts: Da
     placed = members.join(found, "unit", "left").withColumn("component", F.coalesce("component", "unit"))
     sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("components")
+        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("components"), F.sum("n").alias("members")
     )
-    placed = store(placed.join(largest.where("components > 1").drop("components"), "bucket"), "undecided")
+    largest = store(largest.where("components > 1").drop("components"), "largest")
+    placed = store(join_sized(placed, largest, "bucket", "members").drop("members"), "undecided")
 
     # Shingles of each member, and how many of them another member has as well.
     universe = placed.select("unit").distinct()
@@ -269,16 +278,21 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     shingle.  Other columns are not read; an empty table gives an empty result.
     """
     rows, units = _units(docs)
-    found = store(components(_links(docs, units)), "components")
-    classes = units.where(F.size("bands") > 0).join(found, "unit", "left")
-    classes = classes.select("words", F.coalesce("component", "unit").alias("class"))
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    one = rows.drop("bands").join(store(classes, "classes"), "words", "left")
-    one = one.withColumn("class", F.coalesce("class", -1 - F.col("row")))
-    groups = one.groupBy("class").agg(F.count(F.lit(1)).alias("class_size"), F.min(order).alias("best"))
-    kept = F.col("row") == F.col("best.row")
-    return one.join(groups, "class").select(
-        "doc_id", F.col("best.doc_id").alias("class_id"), "class_size", kept.alias("kept"), "text_md5"
+    found = if_small(_linked(docs, units), BROADCAST_ROWS)
+    linked = store(units.select("words", "unit", "n", "best").join(found, "unit", "left"), "linked")
+    members = linked.where("component is not null")
+    sums = [F.sum("n").alias("class_size"), F.min("best").alias("of")]
+    classes = store(members.groupBy("component").agg(*sums, F.count(F.lit(1)).alias("units")), "classes")
+    joined = join_sized(members, classes, "component", "units").select("words", "n", "class_size", "of")
+    single = linked.where("component is null").select("words", "n", F.col("n").alias("class_size"), F.col("best").alias("of"))
+    of_words = store(joined.unionByName(single), "of-words")
+
+    each = rows.select("doc_id", "text_md5", "row", "words", (F.size("bands") == 0).alias("wordless"))
+    named = join_sized(each.where("not wordless"), of_words, "words", "n")
+    alone = each.where("wordless").withColumns({"class_size": F.lit(1).cast("long"), "of": _order()})
+    columns = ["doc_id", "text_md5", "row", "class_size", "of"]
+    return named.select(*columns).unionByName(alone.select(*columns)).select(
+        "doc_id", F.col("of.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("of.row")).alias("kept"), "text_md5"
     )
 
 
