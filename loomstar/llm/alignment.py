@@ -16,6 +16,7 @@ most, travel to every task; all other pairs meet their counts in a join.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -83,14 +84,15 @@ def _aligned(path_a: str, path_b: str):
         encode_a, encode_b = byte_encoder(path_a), piece_encoder(path_b)
         long_a, long_b = lengths(encode_a.spellings()), lengths(encode_b.spellings())
         for batch in batches:
+            texts = [t or "" for t in batch["text"]]
+            ids_b = [ids if t else b"" for t, ids in zip(texts, encode_b.many(texts))]
+            ids_a = encode_a.many([f" {t}" if ids else "" for t, ids in zip(texts, ids_b)])
             out = []
-            for text in batch["text"]:
-                ids_b = encode_b(text) if text else b""
-                ids_a = encode_a(" " + text) if ids_b else b""
-                ends_a = np.cumsum(long_a[np.frombuffer(ids_a, "<u2")])
-                ends_b = np.cumsum(long_b[np.frombuffer(ids_b, "<u2")])
+            for a, b in zip(ids_a, ids_b):
+                ends_a = np.cumsum(long_a[np.frombuffer(a, "<u2")])
+                ends_b = np.cumsum(long_b[np.frombuffer(b, "<u2")])
                 last_a, last_b = last_flags(ends_a, ends_b)
-                out.append((ids_a, ids_b, bytes(last_a), bytes(last_b)))
+                out.append((a, b, bytes(last_a), bytes(last_b)))
             frame = pd.DataFrame(out, columns=["a_ids", "b_ids", "a_last", "b_last"])
             frame.insert(0, "doc_id", batch["doc_id"].array)
             yield frame
@@ -125,17 +127,13 @@ def groups_text(a_ids: bytes, b_ids: bytes, a_last: bytes, b_last: bytes) -> str
     place_a = np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]
     code[place_a] = 3 * a.astype(np.int64) + ends_a
     code[np.arange(len(b)) + np.cumsum(size_a)[group_b]] = 3 * b.astype(np.int64) + 2 * ends_b
-    return "".join(map(_names().__getitem__, code.tolist()))[:-1]
+    return _names()[code].tobytes().translate(None, b"\0")[:-1].decode()
 
 
-_NAMES: list[str] = []
-
-
-def _names() -> list[str]:
-    """Decimal ids followed by a comma, by a bar, by a semicolon."""
-    if not _NAMES:
-        _NAMES.extend(f"{k}{mark}" for k in range(1 << 16) for mark in ",|;")
-    return _NAMES
+@lru_cache(1)
+def _names() -> np.ndarray:
+    """Decimal ids followed by a comma, by a bar, by a semicolon; each padded to 8 bytes."""
+    return np.array([f"{k}{mark}" for k in range(1 << 16) for mark in ",|;"], "S8").view(np.uint64)
 
 
 def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:

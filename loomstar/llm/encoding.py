@@ -1,25 +1,24 @@
 """Ids of two public tokenizers, encoded word by word where that gives the ids of the whole text.
 
-Ids are little-endian 16-bit numbers.  A worker remembers the ids of short words it has
-met; what it remembers never changes an id.
+Arrow splits many texts at once and numbers their distinct words; each distinct word is
+encoded once, and the ids of the texts are put together by number.  Ids are little-endian
+16-bit numbers.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import sys
-from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Longer words are encoded each time they are met.
-SHORT = 64
-#: Words that a worker remembers, and as many before them: 100 MB at most.
-REMEMBERED = 200_000
-#: Marks that often close a word; none of them begins a contraction.
-_MARKS = ".,;:!?*#$%&|)"
+#: Characters of the texts whose words are numbered together.
+CHARACTERS = 1 << 22
+#: Words that a piece model is given at a time; it takes more than their share of time for longer lines.
+LINE = 200
 #: Fixed value: the character that stands for a blank in pieces.
 BLANK = "▁"
 
@@ -31,10 +30,7 @@ def public(name: str) -> str:
 
 
 def packed(ids: list[int]) -> bytes:
-    out = array("H", ids)
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out.tobytes()
+    return np.array(ids, "<u2").tobytes()
 
 
 def _ranks(path: str) -> dict[bytes, int]:
@@ -42,77 +38,116 @@ def _ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-class _Memory:
-    """Ids of words, the older half forgotten when there are too many."""
+class _Words:
+    """Encodes texts by their distinct words, each behind a blank."""
 
-    def __init__(self, size: int):
-        self.size, self.known, self.before = size, {}, {}
+    #: Whether the first word of a text has no blank before it.
+    headed = True
 
-    def put(self, word: str, ids: bytes) -> bytes:
-        if len(word) <= SHORT:
-            if len(self.known) >= self.size:
-                self.before, self.known = self.known, {}
-            self.known[word] = ids
-        return ids
+    def whole(self, text: str) -> bytes:
+        """Ids of a text that cannot be taken apart."""
+        raise NotImplementedError
 
+    def apart(self, words: pa.Array) -> np.ndarray:
+        """Which words have ids behind a blank that do not depend on the text around them."""
+        raise NotImplementedError
 
-class ByteEncoder:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each behind a blank, and how many each has; none if it cannot be spelt."""
+        raise NotImplementedError
+
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        out, begin, held = [], 0, 0
+        for k, text in enumerate(texts):
+            held += len(text)
+            if held >= CHARACTERS or k + 1 == len(texts):
+                out += self._some(texts[begin : k + 1])
+                begin, held = k + 1, 0
+        return out
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        numbered = lists.flatten().dictionary_encode()
+        number, first = numbered.indices.to_numpy(), lists.offsets.to_numpy()
+        apart = self.apart(numbered.dictionary)
+        ids, sizes = self.encode_words(numbered.dictionary.filter(pa.array(apart)).to_pylist())
+        size = np.zeros(len(apart), np.int64)
+        size[apart] = sizes
+        start = np.cumsum(size) - size
+
+        width, inner = size[number], np.ones(len(number), bool)
+        if self.headed:
+            width[first[:-1]], inner[first[:-1]] = 0, False
+        # Every text has a word, if an empty one.
+        some = lambda flag: np.add.reduceat((flag[number] & inner).astype(np.int64), first[:-1]) > 0
+        entire, unspelt = some(~apart), some(apart & (size == 0))
+        end = np.cumsum(width)
+        body = ids[np.repeat(start[number] - end + width, width) + np.arange(end[-1])].astype("<u2").tobytes()
+        cut = 2 * np.append(0, end)[first]
+        out = [body[a:b] for a, b in zip(cut.tolist(), cut[1:].tolist())]
+        for k in np.flatnonzero(unspelt):
+            out[k] = b""
+        for k in np.flatnonzero(entire):
+            out[k] = self.whole(texts[k])
+        return self.with_heads(texts, out, entire) if self.headed else out
+
+    def with_heads(self, texts: list[str], out: list[bytes], entire: np.ndarray) -> list[bytes]:
+        return out
+
+
+def _sizes(ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Sizes of words one after another, each beginning where its id says."""
+    return np.diff(np.append(np.flatnonzero(begins[ids]), len(ids)))
+
+
+class ByteEncoder(_Words):
     """Byte-level BPE.
 
     The pattern never joins characters on both sides of a single blank between two other
-    characters, so a text is encoded word by word and a word is encoded once.  Texts with
+    characters, so a text that begins with a blank is encoded word by word.  Texts with
     other white space beside a blank are encoded whole.  `special` are strings with an id of
     their own; they part a text.
     """
 
-    def __init__(self, path: str, special: dict[str, int] | None = None, remembered: int = REMEMBERED):
+    def __init__(self, path: str, special: dict[str, int] | None = None):
         import public_tokenizers
         import tiktoken
 
         self.ranks = _ranks(path)
-        self._whole = tiktoken.Encoding(
+        self._encoding = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens=special or {}
         )
         self.special = tuple(special or ())
-        self._words = _Memory(remembered)
-        self._tails: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return packed(self._whole.encode_ordinary(text))
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a blank and the word; none if the word cannot be encoded apart from its text."""
-        ids = self._words.before.get(word)
-        if ids is None:
-            stem = word.rstrip(_MARKS)
-            if not word or word[0].isspace() or word[-1].isspace():
-                ids = b""
-            elif stem != word and stem[-1:].isalpha():  # the pattern parts letters from marks
-                ids = (self._words.known.get(stem) or self._word(stem)) + self._tail(word[len(stem) :])
-            else:
-                ids = self._ids(" " + word)
-        return self._words.put(word, ids)
-
-    def _tail(self, marks: str) -> bytes:
-        ids = self._tails.get(marks)
-        if ids is None:
-            ids = self._ids(marks)
-            if len(self._tails) < 1_000 and len(marks) <= SHORT:
-                self._tails[marks] = ids
-        return ids
+        self._begins = np.array([s[:1] == b" " for s in self.spellings()])
 
-    def __call__(self, text: str) -> bytes:
+    def apart(self, words: pa.Array) -> np.ndarray:
+        return pc.and_(pc.equal(pc.utf8_trim_whitespace(words), words), pc.not_equal(words, "")).to_numpy(zero_copy_only=False)
+
+    def whole(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return packed(self._whole.encode(text, allowed_special="all"))
-        head, *words = text.split(" ")
-        if head[-1:].isspace():
-            return self._ids(text)
-        parts = list(map(self._words.known.get, words))
-        if None in parts:
-            parts = [self._word(w) if x is None else x for w, x in zip(words, parts)]
-        if b"" in parts:
-            return self._ids(text)
-        return (self._ids(head) if head else b"") + b"".join(parts)
+            return packed(self._encoding.encode(text, allowed_special="all"))
+        return packed(self._encoding.encode_ordinary(text))
+
+    def with_heads(self, texts: list[str], out: list[bytes], entire: np.ndarray) -> list[bytes]:
+        for k, text in enumerate(texts):
+            if text[:1] == " " and not self.special:
+                continue
+            head = text.partition(" ")[0]
+            if head[-1:].isspace() or any(s in text for s in self.special):
+                out[k] = self.whole(text)
+            elif head and not entire[k]:
+                out[k] = self.whole(head) + out[k]
+        return out
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self._encoding.encode_ordinary("".join(f" {w}" for w in words)), np.int64)
+        sizes = _sizes(ids, self._begins)
+        if len(sizes) != len(words):
+            raise ValueError("words behind single blanks must begin with a blank's token")
+        return ids, sizes
 
     def spellings(self) -> list[bytes]:
         """Bytes of each id, from 0 on."""
@@ -122,44 +157,56 @@ class ByteEncoder:
         return out
 
 
-class PieceEncoder:
+class PieceEncoder(_Words):
     """BPE pieces with byte fallback, after a blank that the tokenizer adds.
 
     No piece holds the mark of a blank behind another character, so nothing is joined across
-    a single blank and a text is encoded word by word.  Other texts are encoded whole.
+    a single blank and a text is encoded word by word.  Other texts are encoded whole.  A
+    text whose pieces do not spell it out has no ids.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    headed = False
+
+    def __init__(self, path: str):
         import sentencepiece
 
         self._pieces = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self._pieces.id_to_piece(k) for k in range(len(self._pieces))]
         self._apart = not any(BLANK in name.lstrip(BLANK) for name in names)
+        self._begins = np.array([name[:1] == BLANK for name in names])
         self._spellings = [
             bytes([int(name[3:5], 16)]) if self._pieces.is_byte(k) else name.replace(BLANK, " ").encode()
             for k, name in enumerate(names)
         ]
-        self._words = _Memory(remembered)
 
     def spellings(self) -> list[bytes]:
         return self._spellings
 
-    def _checked(self, text: str) -> bytes:
-        """Ids of a text; none unless their bytes are those of a blank and the text."""
-        ids = self._pieces.encode(text)
-        if b"".join(map(self._spellings.__getitem__, ids)) != b" " + text.encode("utf-8", "surrogatepass"):
-            return b""
-        return packed(ids)
+    def apart(self, words: pa.Array) -> np.ndarray:
+        return pc.not_equal(words, "").to_numpy(zero_copy_only=False) & self._apart
 
-    def __call__(self, text: str) -> bytes:
-        """Ids of a text whose pieces spell it out; otherwise none."""
-        words = text.split(" ")
-        if not self._apart or "" in words:
-            return self._checked(text)
-        parts = list(map(self._words.known.get, words))
-        if None in parts:
-            parts = [self._words.put(w, self._checked(w)) if x is None else x for w, x in zip(words, parts)]
-        return b"" if b"" in parts else b"".join(parts)
+    def _spell(self, ids: list[int], text: str) -> bool:
+        """Whether ids spell a blank and the text."""
+        return b"".join(map(self._spellings.__getitem__, ids)) == b" " + text.encode("utf-8", "surrogatepass")
+
+    def whole(self, text: str) -> bytes:
+        ids = self._pieces.encode(text)
+        return packed(ids) if self._spell(ids, text) else b""
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), LINE):
+            line = words[k : k + LINE]
+            text = " ".join(line)
+            found = self._pieces.encode(text)
+            flat = np.array(found, np.int64)
+            size = _sizes(flat, self._begins)
+            if len(size) != len(line) or not self._spell(found, text):
+                each = [np.frombuffer(self.whole(w), "<u2") for w in line]
+                flat, size = np.concatenate(each).astype(np.int64), np.fromiter(map(len, each), np.int64, len(line))
+            ids.append(flat)
+            sizes.append(size)
+        return np.concatenate(ids), np.concatenate(sizes)
 
 
 @lru_cache(1)

@@ -10,12 +10,8 @@ what is left of it goes back to the index, so that only a shard's last window is
 
 from __future__ import annotations
 
-import base64
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstar.llm.common import bounded, narrow
+from loomstar.llm.encoding import added_tokens, byte_encoder, public
 from loomstar.session import scratch_path
 
 WINDOW = 1024
@@ -32,82 +29,6 @@ VOCABULARY = 1 << 16
 #: Remainders in one shard, a million tokens at most: its index takes some 50 MB.
 SHARD_DOCUMENTS = 1_000
 K1, B = 1.2, 0.75
-#: A Python worker remembers the ids of so many distinct words, and of as many before them: 150 MB at most.
-REMEMBERED = 300_000
-
-
-def default_ranks() -> str:
-    """The token file of the tokenizer that `byte_bpe_50k.json` describes too."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
-
-
-class Encoder:
-    """Byte-level BPE ids as little-endian 16-bit numbers.
-
-    The pattern never joins characters on both sides of a single blank between two other
-    characters, so a text is encoded word by word and a word is encoded once.  Texts with
-    other white space beside a blank are encoded whole.
-    """
-
-    def __init__(self, path: str):
-        import public_tokenizers
-        import tiktoken
-
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self._whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._known: dict[str, bytes] = {}
-        self._before: dict[str, bytes] = {}
-        self._tails: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        ids = array("H", self._whole.encode_ordinary(text))
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a blank and the word; none if the word cannot be encoded apart from its text."""
-        ids = self._before.get(word)
-        if ids is None:
-            stem = word.rstrip(_MARKS)
-            if not word or word[0].isspace() or word[-1].isspace():
-                ids = b""
-            elif stem != word and stem[-1:].isalpha():  # the pattern parts letters from marks
-                ids = (self._known.get(stem) or self._word(stem)) + self._tail(word[len(stem) :])
-            else:
-                ids = self._ids(" " + word)
-        if len(self._known) >= REMEMBERED:
-            self._before, self._known = self._known, {}
-        self._known[word] = ids
-        return ids
-
-    def _tail(self, marks: str) -> bytes:
-        ids = self._tails.get(marks)
-        if ids is None:
-            ids = self._ids(marks)
-            if len(self._tails) < 1_000:
-                self._tails[marks] = ids
-        return ids
-
-    def __call__(self, text: str) -> bytes:
-        head, *words = text.split(" ")
-        if head[-1:].isspace():
-            return self._ids(text)
-        parts = list(map(self._known.get, words))
-        if None in parts:
-            parts = [self._word(w) if x is None else x for w, x in zip(words, parts)]
-        if b"" in parts:
-            return self._ids(text)
-        return self._ids(head) + b"".join(parts)
-
-
-@lru_cache(1)
-def encoder(path: str) -> Encoder:
-    """One for each Python worker, whose tasks share what it remembers."""
-    return Encoder(path)
 
 
 def crc(ids: bytes) -> int:
@@ -118,20 +39,18 @@ def crc(ids: bytes) -> int:
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
-#: Marks that often close a word; none of them begins a contraction.
-_MARKS = ".,;:!?*#$%&|)"
 _CUT = "doc_id long, start long, doc_tokens long, ids binary, part int"
 
 
-def _cut(path: str):
+def _cut(path: str, special: tuple[tuple[str, int], ...]):
     """Whole windows and the remainder of each document, as rows of pieces."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = encoder(path), np.array([END_ID], "<u2").tobytes()
+        encode, end = byte_encoder(path, special), np.array([END_ID], "<u2").tobytes()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].array, batch["text"]):
-                ids = encode(text or "") + end
+            for doc_id, ids in zip(batch["doc_id"].array, encode.many([t or "" for t in batch["text"]])):
+                ids += end
                 tokens = len(ids) // 2
                 last = tokens - tokens % WINDOW
                 for start in range(0, last, WINDOW):
@@ -262,19 +181,21 @@ def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n += size
 
 
-def pack(docs: DataFrame, ranks: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, ranks: str | None = None, tokenizer: str | None = None) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
-    `ids` are little-endian 16-bit numbers.  Every id of every document lies in exactly
+    `ranks` and `tokenizer` are the two files of one vocabulary; a string that the second
+    gives an id of its own, such as an end-of-text mark, gets that id inside a text too, as
+    from the tokenizer itself.  `ids` are little-endian 16-bit numbers.  Every id of every document lies in exactly
     one piece; a sequence holds WINDOW ids at most, its pieces gapless from offset 0.  Null
     and empty texts are the end id alone.  Rows that repeat are packed each for itself.  An
     empty table gives no pieces; other columns are not read.
     """
     spark = docs.sparkSession
-    path = ranks or default_ranks()
+    path, special = ranks or public("byte_bpe_50k.tiktoken"), added_tokens(tokenizer or public("byte_bpe_50k.json"))
     one = narrow(docs, doc_id="long", text="string")
     place = scratch_path(spark, "cut")
-    bounded(one).mapInPandas(_cut(path), _CUT).write.partitionBy("part").parquet(place)
+    bounded(one).mapInPandas(_cut(path, special), _CUT).write.partitionBy("part").parquet(place)
     cut = spark.read.schema(_CUT).parquet(place)
     rest, whole = cut.where("part = 1"), cut.where("part = 0")
 

@@ -10,13 +10,13 @@ from loomstar.llm import packing
 from tests.llm.cases import DOCUMENTS, documents, text
 
 ROWS = [r for r in DOCUMENTS if r[0] not in (None, 2)] + [(100 + k, text(20 + 9 * k, k), "aa") for k in range(60)]
+ROWS += [(310, "<|endoftext|>", "aa"), (311, "a <|endoftext|> b<|endoftext|><|endoftext|", "aa"), (312, " <|endoftext|>c  d", "aa")]
 ROWS += [(300, "a  b   c\n\n d \te\r\n f", "aa"), (301, " lead", "aa"), (302, "trail ", "aa"), (303, "it's we'll 1234 é x", "aa")]
 
 
 @pytest.fixture(scope="module")
 def ids():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return {k: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for k, t, _ in ROWS}
 
 
