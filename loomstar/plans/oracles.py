@@ -284,6 +284,7 @@ JOIN artists a ON s.artist_id = a.artist_id""",
     "fact_left_one_split": _LEFT_ONE,
     "fact_inner_distinct": _with(*_BASE) + _DISTINCT_FACT,
     "fact_inner": _with(*_BASE, _ARTISTS) + _INNER_LAKE,
+    "fact_inner_bucketed": _with(*_BASE, _ARTISTS) + _INNER_LAKE,
     "fact_left_fanout": _with(*_BASE, _SONGS_TWICE)
     + f"SELECT {_fact('at_s')} FROM plays LEFT JOIN songs_twice {_ON3}",
     "fact_left_truncated": _with(*_BASE)

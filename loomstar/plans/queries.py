@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -482,11 +481,19 @@ def layout_roundtrip(spark, sf_dir):
 
 @query
 def bucketed_roundtrip(spark, sf_dir):
-    """A catalog table in buckets, read back."""
+    """A table in buckets, read back."""
     plays = op.song_data_by_user_and_session(_plays(spark, sf_dir, names=True))
-    name = f"plays_{uuid.uuid4().hex}"
-    sinks.save_bucketed(plays, name, 8, ["user_id"], ["session_id", "item_in_session"])
-    return spark.table(name)
+    return sinks.in_buckets(plays, 8, ["user_id"], ["session_id", "item_in_session"])
+
+
+@query
+def fact_inner_bucketed(spark, sf_dir):
+    """Plays and catalogue stored in equal buckets of title and artist, and joined where they lie."""
+    songs = song_records(spark, sf_dir)
+    known = op.catalogue(op.songs_dim(songs), op.artists_dim(songs))
+    known = sinks.in_buckets(known, 16, ["title", "artist_name"], ["title", "artist_name"])
+    plays = sinks.in_buckets(_plays(spark, sf_dir, "s"), 16, ["song", "artist"], ["song", "artist"])
+    return op.songplays(plays, known.hint("merge"), how="inner", keys=2)
 
 
 @query

@@ -1,12 +1,12 @@
 from loomstar.sinks.tables import (
-    append, exists, insert_by_name, insert_by_position, insert_if_absent, layout, load_dimension,
+    append, exists, in_buckets, insert_by_name, insert_by_position, insert_if_absent, layout, load_dimension,
     overwrite, overwrite_partitions, partition_path, reset_tables, save_bucketed, upsert, write_csv,
     write_table,
 )
 from loomstar.sinks.versions import compact, read_versions, upsert_versions
 
 __all__ = [
-    "append", "compact", "exists", "insert_by_name", "insert_by_position", "insert_if_absent", "layout",
+    "append", "compact", "exists", "in_buckets", "insert_by_name", "insert_by_position", "insert_if_absent", "layout",
     "load_dimension", "overwrite", "overwrite_partitions", "partition_path", "read_versions", "reset_tables",
     "save_bucketed", "upsert", "upsert_versions", "write_csv", "write_table",
 ]

@@ -5,6 +5,7 @@ Tables are parquet directories.  One writer per table at a time is assumed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -66,16 +67,33 @@ def save_bucketed(
     by: Sequence[str],
     sort: Sequence[str] = (),
     mode: str = "errorifexists",
+    path: str | None = None,
 ) -> None:
     """Save a catalog table hashed into buckets, so joins on `by` need no shuffle.
 
     A join reads each bucket in one task.  Where one value of `by` holds a
     large share of the rows use `layout`, whose reads and joins can be split.
+    Its files lie at `path`, or in the warehouse, which a cluster must share.
     """
     writer = layout(df, by).write.mode(mode).format("parquet").bucketBy(buckets, *by)
+    writer = writer.option("path", path) if path else writer
     (writer.sortBy(*sort) if sort else writer).saveAsTable(table)
 
 
+def in_buckets(df: DataFrame, buckets: int, by: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
+    """`df` from a scratch table in hash buckets: joins of two such frames on all of `by` need no shuffle.
+
+    Worth its one shuffle where a frame is joined on the same keys again and again.  The
+    table leaves the catalog at once; its files stay until `clear_scratch`.
+    """
+    spark, name = df.sparkSession, f"buckets_{uuid.uuid4().hex}"
+    save_bucketed(df, name, buckets, by, sort, path=scratch_path(spark, "buckets"))
+    stored = spark.table(name)
+    stored.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def write_csv(
     df: DataFrame, path: str, quote_all: bool = True, mode: str = "errorifexists"
 ) -> None:

@@ -151,3 +151,10 @@ def test_reruns_leave_other_days_alone(spark, out):
     run_for_date(spark, export_daily(spark, SF_DIR), RUN_DATE, less, f"{out}/sink", PURCHASE, layout="partition")
     after = prints(spark.read.parquet(f"{out}/sink").select(whole.columns))
     assert {day for day in before if before[day] != after[day]} <= {RUN_DATE} and before.keys() == after.keys()
+
+
+def test_stored_buckets_join_without_an_exchange(spark):
+    joined = QUERIES["fact_inner_bucketed"](spark, SF_DIR)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and joined.count() > 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
