@@ -25,7 +25,11 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """`df`, with Arrow batches held to a size a task's Python can take."""
+    """`df`, with Arrow batches held to a size a task's Python can take.
+
+    The two settings belong to the session and stay after the call: batches of its other
+    Python operators are held to the same size, which changes no result.
+    """
     conf = df.sparkSession.conf
     rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
     if rows <= 0 or rows > BATCH_ROWS:

@@ -148,7 +148,8 @@ def predict(texts: list[str | None], names: list[str], vectors: np.ndarray) -> t
     cosine = own @ vectors.T / np.maximum(norms, 1e-300)[:, None]
     best = np.round(cosine, 9).argmax(axis=1)
     score = np.clip(cosine[np.arange(len(texts)), best], 0, 1)
-    known = norms > 0
+    # Combining marks make n-grams too, but no language without a letter.
+    known = np.array([n > 0 and any(map(str.isalpha, t)) for n, t in zip(norms, texts)], bool)
     return [names[b] if k else UNDETERMINED for b, k in zip(best, known)], np.where(known, score, 0.0)
 
 

@@ -56,3 +56,45 @@ def test_digests_are_read_from_the_output(spark):
         assert r.turns_sha256 == sha("".join(f"{role}\n{t or ''}\n" for _, _, role, t in own))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
         assert r.formatted_chars > sum(len(t or "") for _, _, _, t in own)
+
+
+def turns_of(rows):
+    """Digests by walking over the given rows."""
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == conv]
+        loss = "".join(t or "" for _, _, role, t in own if role == "assistant")
+        plain = "".join(f"{role or ''}\n{t or ''}\n" for _, _, role, t in own)
+        out[conv] = (len(own), sha(plain), len(loss), sha(loss))
+    return out
+
+
+def test_deltas_edits_and_regenerations_fold_back_to_the_given_turns(spark, monkeypatch):
+    """Long, empty and null texts, repeated turns, and a conversation that holds most of all rows."""
+    texts = ["", "hi", "é🙂" * 700, "x" * 9_000, "</s>[INST] \\ ok", "line\nbreak"]
+    rows = [(c, t, ("user", "assistant")[t % 2], texts[(c + t) % 6]) for c in range(12) for t in range(6)]
+    rows += [(99, t, ("user", "assistant")[t % 2], f"turn {t}") for t in range(3_000)]
+    rows += [(50, 1, "user", "a"), (50, 1, "user", "a"), (50, 1, "assistant", "b"), (51, 0, None, None)]
+    given_ = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    log = chat.as_events(given_)
+    kinds = {r.kind for r in log.select("kind").distinct().collect()}
+    assert kinds == {"message", "delta", "edit", "regenerate"} and log.count() > len(rows)
+    real, held = chat.store, {}
+    monkeypatch.setattr(chat, "store", lambda df, name: held.setdefault(name, real(df, name)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        turns = chat.format_chats(log)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert held["turns"].where("conv_id = 99").select("part").distinct().count() > 1  # not one task's work
+    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digest_chats(turns).collect()}
+    assert found == turns_of(rows)
+
+
+def test_turns_that_were_stored_and_dealt_anew_have_the_same_digests(spark, tmp_path):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"{c} {t}") for c in range(50) for t in range(8)]
+    given_ = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chat.format_chats(chat.as_events(given_)).repartition(7, "formatted").write.parquet(f"{tmp_path}/turns")
+    found = chat.digest_chats(spark.read.parquet(f"{tmp_path}/turns")).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found} == turns_of(rows)

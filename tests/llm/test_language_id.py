@@ -48,3 +48,9 @@ def test_grouping_and_chunks_do_not_matter(monkeypatch):
 def test_without_languages_all_is_undetermined(spark):
     rows = language_id.language_id(documents(spark, [(1, "some text", None), (2, "more", None)])).collect()
     assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
+
+
+def test_marks_without_a_letter_have_no_language():
+    names, vectors = ["aa"], np.ones((1, language_id.DIMENSIONS)) / language_id.DIMENSIONS**0.5
+    lang, score = language_id.predict(["́̂ ́̂̃", "éa", None, ""], names, vectors)
+    assert lang == ["und", "aa", "und", "und"] and score[0] == 0.0
