@@ -322,6 +322,7 @@ FROM ({_BY_USER_SESSION}) WHERE user_id = 1122 AND session_id = 56 ORDER BY item
     "lookup_users_by_song": _with(_LOG, _PLAYS)
     + f"SELECT user_first_name, user_last_name FROM ({_BY_SONG}) WHERE song_title = 'Track 3' ORDER BY user_id",
     "insert_if_absent": _INSERTED,
+    "insert_if_absent_by_digest": _INSERTED,
     "upsert_last": _UPSERTED,
     "upsert_compacted": f"""WITH versions AS (SELECT *, 0 AS version FROM lineitem
   UNION ALL SELECT * REPLACE (0.0::DOUBLE AS l_extendedprice), 1 FROM lineitem WHERE l_returnflag = 'R'

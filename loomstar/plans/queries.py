@@ -372,6 +372,16 @@ def insert_if_absent(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def insert_if_absent_by_digest(spark, sf_dir):
+    """The same insertions, of which each reads only stored files that may hold one of its keys."""
+    path = scratch_path(spark, "absent")
+    stored, later = _halves(spark, sf_dir)
+    for rows in (stored, later, later):
+        sinks.insert_if_absent_by_digest(rows, path, LINE_KEY, ["l_shipdate"])
+    return spark.read.parquet(path)
+
+
 @query
 def upsert_last(spark, sf_dir):
     path = scratch_path(spark, "upsert")

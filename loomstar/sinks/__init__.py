@@ -1,3 +1,4 @@
+from loomstar.sinks.digests import files_with, insert_if_absent_by_digest
 from loomstar.sinks.tables import (
     append, exists, in_buckets, insert_by_name, insert_by_position, insert_if_absent, layout, load_dimension,
     overwrite, overwrite_partitions, partition_path, reset_tables, save_bucketed, upsert, write_csv,
@@ -6,7 +7,7 @@ from loomstar.sinks.tables import (
 from loomstar.sinks.versions import compact, read_versions, upsert_versions
 
 __all__ = [
-    "append", "compact", "exists", "in_buckets", "insert_by_name", "insert_by_position", "insert_if_absent", "layout",
+    "append", "compact", "exists", "files_with", "in_buckets", "insert_by_name", "insert_by_position", "insert_if_absent", "insert_if_absent_by_digest", "layout",
     "load_dimension", "overwrite", "overwrite_partitions", "partition_path", "read_versions", "reset_tables",
     "save_bucketed", "upsert", "upsert_versions", "write_csv", "write_table",
 ]
