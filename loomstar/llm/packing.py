@@ -1,11 +1,19 @@
 """Packing documents into training windows by lexical neighbourhood.
 
 A document is its token ids and an end id.  Whole windows are cut off a document first;
-what remains, less than a window, is packed with its lexical neighbours.  Remainders are
-dealt into shards of bounded size.  Each shard is an inverted index under BM25, with
-document frequencies of the whole corpus: its first unused document seeds a window, and
-the best-scoring unused neighbours fill it.  The last one is cut at the window's end and
-what is left of it goes back to the index, so that only a shard's last window is padded.
+what remains, less than a window, is packed with its lexical neighbours.  The index over
+all remainders is sharded by content: centroids of BM25 vectors, fitted on a bounded sample,
+give every remainder a cluster, and clusters, ordered so that similar ones adjoin, and the
+rarest ids inside them put neighbours into one shard.  Each shard is an inverted index under
+BM25, with document frequencies of the whole corpus: its first unused document seeds a
+window, and the best-scoring unused neighbours fill it.  The last one is cut at the
+window's end and what is left of it goes back to the index, so that only a shard's last
+window is padded.
+
+A seed is answered by its own shard.  The five best neighbours of a text in the whole
+corpus cannot all lie there: texts without a topic have thousands of neighbours as good as
+the best, and to rank them all takes work with the square of the corpus.  What a shard finds
+is close to them: see the measured recall and score in the README.
 """
 
 from __future__ import annotations
@@ -26,9 +34,13 @@ WINDOW = 1024
 END_ID = 0
 #: Ids below this are document-frequency cells: 2 bytes an id, 8 bytes a cell.
 VOCABULARY = 1 << 16
-#: Remainders in one shard, a million tokens at most: its index takes some 50 MB.
-SHARD_DOCUMENTS = 1_000
+#: Remainders in one shard, two million tokens at most: its index takes some 100 MB.
+SHARD_DOCUMENTS = 2_000
+#: Centroids, the dimensions that ids are folded into, and the remainders they are fitted on.
+CLUSTERS, DIMENSIONS, SAMPLE, FITTINGS = 16, 1_024, 4_096, 10
 K1, B = 1.2, 0.75
+#: An id that one text of so many in a shard holds has a row of all texts in its index: 130 MB at most.
+DENSE = 16
 
 
 def crc(ids: bytes) -> int:
@@ -85,6 +97,40 @@ def _sketches(batch: list[bytes], documents: np.ndarray) -> np.ndarray:
     return first % VOCABULARY * VOCABULARY + second % VOCABULARY
 
 
+def _vectors(batch: list[bytes], documents: np.ndarray, total: int) -> np.ndarray:
+    """BM25 weights of each text's ids, folded into DIMENSIONS and scaled to length 1."""
+    ids = np.frombuffer(b"".join(batch), "<u2").astype(np.int64)
+    sizes = np.fromiter(map(len, batch), np.int64, len(batch)) // 2
+    key, times = np.unique(np.repeat(np.arange(len(batch)), sizes) * VOCABULARY + ids, return_counts=True)
+    owner, term = key // VOCABULARY, key % VOCABULARY
+    idf = np.log1p((total - documents[term] + 0.5) / (documents[term] + 0.5))
+    weight = idf * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[owner] / (WINDOW / 2)))
+    out = np.bincount(owner * DIMENSIONS + term % DIMENSIONS, weights=weight, minlength=len(batch) * DIMENSIONS)
+    out = out.reshape(len(batch), DIMENSIONS)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+
+def fit_centroids(sample: list[bytes], documents: np.ndarray, total: int) -> np.ndarray:
+    """Centroids of the sample, in an order in which similar ones adjoin."""
+    if not sample:
+        return np.zeros((1, DIMENSIONS))
+    x = _vectors(sample, documents, total)
+    centers = x[:CLUSTERS].copy()
+    for _ in range(FITTINGS):
+        nearest = _nearest(x, centers)
+        for k in np.unique(nearest):
+            mean = x[nearest == k].mean(axis=0)
+            centers[k] = mean / max(np.linalg.norm(mean), 1e-12)
+    chain, left = [0], list(range(1, len(centers)))
+    while left:
+        chain.append(left.pop(int(np.argmax(np.round(centers[left] @ centers[chain[-1]], 9)))))
+    return centers[chain]
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.round(x @ centers.T, 9).argmax(axis=1)  # rounded: alike on any machine
+
+
 def pack_shard(items: list[tuple[int, bytes]], documents: np.ndarray, total: int) -> list[tuple[int, int, int, int, int]]:
     """Windows of one shard: (item, start in it, length, window, offset), every id once.
 
@@ -103,8 +149,16 @@ def pack_shard(items: list[tuple[int, bytes]], documents: np.ndarray, total: int
     idf = np.log1p((total - documents + 0.5) / (documents + 0.5))
     weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / length.mean()))
     order = np.argsort(term, kind="stable")
-    term, owner, weight = term[order], owner[order], weight[order]
+    term, owner, weight = term[order], owner[order], weight[order].astype(np.float32)
     first = np.searchsorted(term, np.arange(VOCABULARY + 1))
+    often = np.diff(first)
+    # Postings of ids that many texts hold are whole rows, all others are lists.
+    full = np.flatnonzero(often >= max(2, n // DENSE))
+    row_of = np.full(VOCABULARY, -1)
+    row_of[full] = np.arange(len(full))
+    rows = np.zeros((len(full), n), np.float32)
+    own = row_of[term] >= 0
+    rows[row_of[term[own]], owner[own]] = weight[own]
 
     left = length.astype(np.int64)
     begin = np.zeros(n, np.int64)
@@ -118,17 +172,22 @@ def pack_shard(items: list[tuple[int, bytes]], documents: np.ndarray, total: int
         room, offset = WINDOW - int(left[seed]), int(left[seed])
         left[seed] = 0
         # The query is all ids of the seed; one that the seed alone holds matches nothing else.
-        query = terms[seed]
-        start, size = first[query], first[query + 1] - first[query]
-        start, size = start[size > 1], size[size > 1]
-        at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
-        score = np.bincount(owner[at], weights=weight[at], minlength=n)
+        query = terms[seed].astype(np.int64)
+        place = row_of[query]
+        score = rows[place[place >= 0]].sum(axis=0)
+        rare = query[(place < 0) & (often[query] > 1)]
+        if len(rare):
+            start, size = first[rare], often[rare]
+            at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+            score += np.bincount(owner[at], weights=weight[at], minlength=n).astype(np.float32)
         score[left == 0] = -1
-        for k in np.argsort(-score, kind="stable"):
-            if not room or score[k] < 0:
+        while room:
+            k = int(score.argmax())  # ties by place
+            if score[k] < 0:
                 break
+            score[k] = -1
             take = min(room, int(left[k]))
-            out.append((int(k), int(begin[k]), take, window, offset))
+            out.append((k, int(begin[k]), take, window, offset))
             begin[k] += take
             left[k] -= take
             room -= take
@@ -204,20 +263,26 @@ def pack(docs: DataFrame, ranks: str | None = None, tokenizer: str | None = None
     documents = np.zeros(VOCABULARY, np.int64)
     documents[counts["id"]] = counts["documents"]
     total = rest.count()
-    share = spark.sparkContext.broadcast(documents)
+    sample = rest.orderBy(F.xxhash64("ids"), "ids", "doc_id").limit(SAMPLE).select("ids").collect()
+    centers = fit_centroids([bytes(r.ids) for r in sample], documents, total)
+    share = spark.sparkContext.broadcast((documents, centers))
 
     @F.pandas_udf("long")
     def sketch(ids: pd.Series) -> pd.Series:
-        return pd.Series(_sketches(ids.tolist(), share.value) if len(ids) else [], dtype="int64")
+        batch, (frequent, centers) = ids.tolist(), share.value
+        if not batch:
+            return pd.Series([], dtype="int64")
+        near = _nearest(_vectors(batch, frequent, total), centers)
+        return pd.Series(near * (VOCABULARY * VOCABULARY) + _sketches(batch, frequent))
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _pack(share.value, total)(batches)
+        return _pack(share.value[0], total)(batches)
 
     # Documents with the same rare ids are neighbours in the order, and so in a shard; equal
     # sketches of any number are parted by id, so no shard outgrows its size.
     shards = max(1, -(-total // SHARD_DOCUMENTS))
     order = ["sketch", "doc_id", "start", "tie"]
     dealt = bounded(rest).withColumn("sketch", sketch("ids")).withColumn("tie", F.xxhash64("ids"))
-    dealt = dealt.repartitionByRange(max(1, -(-shards // 4)), *order).sortWithinPartitions(*order)
+    dealt = dealt.repartitionByRange(max(1, -(-shards // 2)), *order).sortWithinPartitions(*order)
     parts = bounded(dealt.select("doc_id", "start", "doc_tokens", "ids")).mapInPandas(packed, PIECE)
     return parts.unionByName(bounded(whole.select("doc_id", "start", "doc_tokens", "ids")).mapInPandas(_whole, PIECE))

@@ -68,3 +68,49 @@ def test_all_ids_of_a_seed_take_part():
         documents_[np.unique(np.frombuffer(x, "<u2"))] += 1
     placed = packing.pack_shard(items, documents_, len(items))
     assert [p[0] for p in placed[:2]] == [0, 61]
+
+
+def recall_of_top(texts, size, k=5):
+    """Share of each text's k best by BM25 over all that lie in its own shard, and the share of their scores found there."""
+    n = len(texts)
+    documents_ = np.zeros(packing.VOCABULARY, np.int64)
+    for x in texts:
+        documents_[np.unique(np.frombuffer(x, "<u2"))] += 1
+    centers = packing.fit_centroids(texts[: packing.SAMPLE], documents_, n)
+    near = packing._nearest(packing._vectors(texts, documents_, n), centers)
+    shard = np.empty(n, int)
+    shard[np.lexsort((packing._sketches(texts, documents_), near))] = np.arange(n) // size
+    used = np.flatnonzero(documents_)
+    tf = np.stack([np.bincount(np.frombuffer(x, "<u2"), minlength=packing.VOCABULARY)[used] for x in texts]).astype(float)
+    df, length = documents_[used], tf.sum(axis=1)
+    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    weight = tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * length / length.mean())[:, None]) * idf
+    score = (tf > 0) @ weight.T
+    np.fill_diagonal(score, -1)
+    found, share = [], []
+    for s in range(n):
+        best = np.argsort(-score[s], kind="stable")[:k]
+        own = np.sort(score[s][(shard == shard[s]) & (np.arange(n) != s)])[-k:]
+        found.append(np.mean(shard[best] == shard[s]))
+        share.append(own.sum() / max(score[s][best].sum(), 1e-9))
+    return np.mean(found), np.mean(share)
+
+
+def test_neighbours_of_a_topic_lie_in_one_of_many_shards():
+    """Against BM25 over all shards: texts of 12 topics among common words, dealt into 12 shards."""
+    pick = np.random.default_rng(8)
+    common, topics = np.arange(100, 160), [np.arange(1000 + 40 * t, 1040 + 40 * t) for t in range(12)]
+    texts = [
+        np.concatenate([pick.choice(common, 80), pick.choice(topics[k % 12], 60)]).astype("<u2").tobytes() for k in range(600)
+    ]
+    recall, share = recall_of_top(texts, 50)
+    assert recall >= 0.9 and share >= 0.95
+
+
+def test_shards_without_topics_hold_neighbours_nearly_as_good_as_the_best():
+    """Texts of one language: the five best of all are spread over all shards, those found score nearly as high."""
+    texts = [np.frombuffer(x, "<u2")[:500].tobytes() for x in packing.byte_encoder(packing.public("byte_bpe_50k.tiktoken"), ()).many(
+        [text(60 + 7 * (k % 20), k) for k in range(400)]
+    )]
+    recall, share = recall_of_top(texts, 100)
+    assert share >= 0.9 and recall > 0.25  # a quarter is chance
