@@ -464,6 +464,13 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.d
 }
 ORACLES["stage_table"] = ORACLES["stage_mapping"]
 ORACLES["date_incremental_file"] = ORACLES["date_incremental"]
+ORACLES["lookups_clustered"] = _with(_LOG, _PLAYS) + f"""SELECT 'session_item' AS lookup, artist_name, song_title, length,
+  CAST(NULL AS VARCHAR) AS user_first_name, CAST(NULL AS VARCHAR) AS user_last_name
+FROM ({_BY_SESSION}) WHERE session_id = 14 AND item_in_session = 6
+UNION ALL SELECT 'user_session', artist_name, song_title, NULL, user_first_name, user_last_name
+FROM ({_BY_USER_SESSION}) WHERE user_id = 1122 AND session_id = 56
+UNION ALL SELECT 'users_by_song', NULL, NULL, NULL, user_first_name, user_last_name
+FROM ({_BY_SONG}) WHERE song_title = 'Track 3'"""
 ORACLES["star_violations_fused"] = ORACLES["star_violations"]
 ORACLES["failed_checks"] = (
     f"SELECT count(*) AS n_failed FROM ({ORACLES['quality_report']}) WHERE NOT passed"

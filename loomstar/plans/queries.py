@@ -354,6 +354,23 @@ def lookup_users_by_song(spark, sf_dir):
     return op.q_users_by_song(op.user_data_by_song(plays), "Track 3")
 
 
+@query
+def lookups_clustered(spark, sf_dir):
+    """The three lookups from one table of all plays, clustered by session, user and song."""
+    path = scratch_path(spark, "clustered")
+    plays = _plays(spark, sf_dir, names=True).withColumn("user_id", F.col("userId").try_cast("bigint"))
+    sinks.write_clustered(plays, path, ["sessionId", "user_id", "song"])
+    stored = spark.read.parquet(path)
+    own = lambda **values: sinks.where_equal(stored, values).drop("user_id")
+    found = {
+        "session_item": op.q_session_item(op.song_data_by_session(own(sessionId=14)), 14, 6),
+        "user_session": op.q_user_session(op.song_data_by_user_and_session(own(user_id=1122, sessionId=56)), 1122, 56),
+        "users_by_song": op.q_users_by_song(op.user_data_by_song(own(song="Track 3")), "Track 3"),
+    }
+    rows = sources.union_sources(*[df.withColumn("lookup", F.lit(name)) for name, df in found.items()])
+    return rows.withColumn("length", F.round(F.col("length").cast("double"), 2))
+
+
 # Writes, each read back
 
 
