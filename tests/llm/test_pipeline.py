@@ -6,7 +6,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from loomstar.llm import language_id, packing, quality
+from loomstar.llm import encoding, language_id, quality
 from loomstar.llm.common import store, table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -73,7 +73,8 @@ def test_near_copies_by_brute_force(steps):
 
 def test_packing_holds_every_document_whole(spark, steps):
     pieces = corpus_pipeline.run(spark, SF_DIR).collect()
-    encode = packing.Encoder(packing.default_ranks())
+    special = dict(encoding.added_tokens(encoding.public("byte_bpe_50k.json")))
+    encode = encoding.ByteEncoder(encoding.public("byte_bpe_50k.tiktoken"), special)
     tokens = {r.doc_id: len(encode(r.text)) // 2 + 1 for r in steps[4].collect()}
     found = dict.fromkeys(tokens, 0)
     for p in pieces:
