@@ -66,6 +66,7 @@ class _Words:
             if held >= CHARACTERS or k + 1 == len(texts):
                 out += self._some(texts[begin : k + 1])
                 begin, held = k + 1, 0
+        pa.default_memory_pool().release_unused()
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
@@ -74,19 +75,23 @@ class _Words:
         number, first = numbered.indices.to_numpy(), lists.offsets.to_numpy()
         apart = self.apart(numbered.dictionary)
         ids, sizes = self.encode_words(numbered.dictionary.filter(pa.array(apart)).to_pylist())
-        size = np.zeros(len(apart), np.int64)
+        # Numbers of 4 bytes: a batch has far fewer than 2^31 ids.
+        size = np.zeros(len(apart), np.int32)
         size[apart] = sizes
-        start = np.cumsum(size) - size
+        start = np.cumsum(size, dtype=np.int32) - size
 
         width, inner = size[number], np.ones(len(number), bool)
         if self.headed:
             width[first[:-1]], inner[first[:-1]] = 0, False
         # Every text has a word, if an empty one.
-        some = lambda flag: np.add.reduceat((flag[number] & inner).astype(np.int64), first[:-1]) > 0
+        some = lambda flag: np.add.reduceat((flag[number] & inner).astype(np.int32), first[:-1]) > 0
         entire, unspelt = some(~apart), some(apart & (size == 0))
-        end = np.cumsum(width)
-        body = ids[np.repeat(start[number] - end + width, width) + np.arange(end[-1])].astype("<u2").tobytes()
-        cut = 2 * np.append(0, end)[first]
+        end = np.cumsum(width, dtype=np.int32)
+        place = np.repeat(start[number] - end + width, width)
+        place += np.arange(end[-1], dtype=np.int32)
+        body = ids[place].tobytes()
+        del place
+        cut = 2 * np.append(0, end.astype(np.int64))[first]
         out = [body[a:b] for a, b in zip(cut.tolist(), cut[1:].tolist())]
         for k in np.flatnonzero(unspelt):
             out[k] = b""
@@ -143,7 +148,7 @@ class ByteEncoder(_Words):
         return out
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(self._encoding.encode_ordinary("".join(f" {w}" for w in words)), np.int64)
+        ids = np.array(self._encoding.encode_ordinary("".join(f" {w}" for w in words)), "<u2")
         sizes = _sizes(ids, self._begins)
         if len(sizes) != len(words):
             raise ValueError("words behind single blanks must begin with a blank's token")
@@ -194,16 +199,16 @@ class PieceEncoder(_Words):
         return packed(ids) if self._spell(ids, text) else b""
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        ids, sizes = [np.zeros(0, "<u2")], [np.zeros(0, np.int64)]
         for k in range(0, len(words), LINE):
             line = words[k : k + LINE]
             text = " ".join(line)
             found = self._pieces.encode(text)
-            flat = np.array(found, np.int64)
+            flat = np.array(found, "<u2")
             size = _sizes(flat, self._begins)
             if len(size) != len(line) or not self._spell(found, text):
                 each = [np.frombuffer(self.whole(w), "<u2") for w in line]
-                flat, size = np.concatenate(each).astype(np.int64), np.fromiter(map(len, each), np.int64, len(line))
+                flat, size = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(line))
             ids.append(flat)
             sizes.append(size)
         return np.concatenate(ids), np.concatenate(sizes)

@@ -26,6 +26,8 @@ FOLDS = 5
 UNDETERMINED = "und"
 #: n-grams bound at once: DIMENSIONS * CHUNK floats are 16 MB.
 CHUNK = 4096
+#: Characters whose n-grams are laid out at the same time, about 70 bytes each.
+CHARACTERS = 1 << 20
 #: In the pipeline a text goes if it is undetermined or so unlike every language.
 MIN_SCORE = 0.1
 
@@ -89,6 +91,13 @@ def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return gram[inside], owner[:n][inside], letters
 
 
+def _parts(texts: list[str | None]) -> list[slice]:
+    """Runs of texts of CHARACTERS characters, or one text."""
+    ends = np.cumsum([len(t or "") for t in texts])
+    cuts = np.flatnonzero(np.diff((ends - 1).clip(0) // CHARACTERS)) + 1
+    return [slice(a, b) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)])]
+
+
 def bundles(texts: list[str | None], group: np.ndarray, groups: int) -> np.ndarray:
     """The bundle of each group of texts, exact whole numbers; memory is fixed per batch."""
     gram, owner, letters = grams_of(texts)
@@ -114,8 +123,10 @@ def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total: dict[str, np.ndarray] = {}
     for batch in batches:
         group, names = pd.factorize(batch["lang"])
-        for name, vector in zip(names, bundles(batch["text"].tolist(), group, len(names))):
-            total[name] = total.get(name, 0) + np.rint(vector).astype(np.int64)
+        texts = batch["text"].tolist()
+        for part in _parts(texts):
+            for name, vector in zip(names, bundles(texts[part], group[part], len(names))):
+                total[name] = total.get(name, 0) + np.rint(vector).astype(np.int64)
     for name, vector in total.items():
         yield pd.DataFrame({"lang": name, "place": np.arange(DIMENSIONS), "value": vector})
 
@@ -141,7 +152,8 @@ def prototypes(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def predict(texts: list[str | None], names: list[str], vectors: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and cosine of each text; `und` and 0 without a letter or without languages."""
-    own = bundles(texts, np.arange(len(texts)), len(texts))
+    own = [bundles(texts[p], np.arange(p.stop - p.start), p.stop - p.start) for p in _parts(texts)]
+    own = np.concatenate(own) if own else np.zeros((0, DIMENSIONS))
     norms = np.linalg.norm(own, axis=1)
     if not names:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
