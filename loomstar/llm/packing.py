@@ -36,7 +36,8 @@ END_ID = 0
 VOCABULARY = 1 << 16
 #: Remainders in one shard, two million tokens at most: its index takes some 100 MB.
 SHARD_DOCUMENTS = 2_000
-#: Centroids, the dimensions that ids are folded into, and the remainders they are fitted on.
+#: Centroids, the dimensions that ids are folded into, and the remainders they are fitted on, about so many and
+#: never more than twice as many.
 CLUSTERS, DIMENSIONS, SAMPLE, FITTINGS = 16, 1_024, 4_096, 10
 K1, B = 1.2, 0.75
 #: An id that one text of so many in a shard holds has a row of all texts in its index: 130 MB at most.
@@ -263,8 +264,11 @@ def pack(docs: DataFrame, ranks: str | None = None, tokenizer: str | None = None
     documents = np.zeros(VOCABULARY, np.int64)
     documents[counts["id"]] = counts["documents"]
     total = rest.count()
-    sample = rest.orderBy(F.xxhash64("ids"), "ids", "doc_id").limit(SAMPLE).select("ids").collect()
-    centers = fit_centroids([bytes(r.ids) for r in sample], documents, total)
+    # About SAMPLE rows whatever the number of tasks; a limit for rows that repeat over and over.
+    chance = F.pmod(F.xxhash64("doc_id", "start", "ids"), F.lit(1 << 30)).alias("chance")
+    some = rest.select("ids", chance).where(F.col("chance") <= (1 << 30) * SAMPLE // max(total, 1)).limit(2 * SAMPLE)
+    sample = sorted((r.chance, bytes(r.ids)) for r in some.collect())
+    centers = fit_centroids([ids for _, ids in sample], documents, total)
     share = spark.sparkContext.broadcast((documents, centers))
 
     @F.pandas_udf("long")
