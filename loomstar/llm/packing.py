@@ -75,12 +75,19 @@ def _cut(path: str, special: tuple[tuple[str, int], ...]):
     return run
 
 
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising distinct ids of one text, and how often each stands there."""
+    ordered = np.sort(ids)
+    begin = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ids) else np.zeros(0, np.int64)
+    return ordered[begin], np.diff(np.append(begin, len(ids)))
+
+
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """In how many remainders of this task each id occurs: VOCABULARY rows at most."""
     found = np.zeros(VOCABULARY, np.int64)
     for batch in batches:
         for ids in batch["ids"]:
-            found[np.unique(np.frombuffer(ids, "<u2"))] += 1
+            found[_distinct(np.frombuffer(ids, "<u2"))[0]] += 1
     used = np.flatnonzero(found)
     yield pd.DataFrame({"id": used, "documents": found[used]})
 
@@ -99,16 +106,18 @@ def _sketches(batch: list[bytes], documents: np.ndarray) -> np.ndarray:
 
 
 def _vectors(batch: list[bytes], documents: np.ndarray, total: int) -> np.ndarray:
-    """BM25 weights of each text's ids, folded into DIMENSIONS and scaled to length 1."""
-    ids = np.frombuffer(b"".join(batch), "<u2").astype(np.int64)
+    """BM25 weights of each text's ids, folded into DIMENSIONS and scaled to length 1.
+
+    Ids that fall on one dimension count as one id of their mean IDF.
+    """
+    ids = np.frombuffer(b"".join(batch), "<u2")
     sizes = np.fromiter(map(len, batch), np.int64, len(batch)) // 2
-    key, times = np.unique(np.repeat(np.arange(len(batch)), sizes) * VOCABULARY + ids, return_counts=True)
-    owner, term = key // VOCABULARY, key % VOCABULARY
-    idf = np.log1p((total - documents[term] + 0.5) / (documents[term] + 0.5))
-    weight = idf * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[owner] / (WINDOW / 2)))
-    out = np.bincount(owner * DIMENSIONS + term % DIMENSIONS, weights=weight, minlength=len(batch) * DIMENSIONS)
-    out = out.reshape(len(batch), DIMENSIONS)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+    cell = np.repeat(np.arange(len(batch)) * DIMENSIONS, sizes) + ids % DIMENSIONS
+    idf = np.log1p((total - documents + 0.5) / (documents + 0.5))
+    times = np.bincount(cell, minlength=len(batch) * DIMENSIONS).reshape(len(batch), DIMENSIONS)
+    out = np.bincount(cell, weights=idf[ids], minlength=len(batch) * DIMENSIONS).reshape(len(batch), DIMENSIONS)
+    out *= (K1 + 1) / (times + K1 * (1 - B + B * sizes[:, None] / (WINDOW / 2)))
+    return out / np.maximum(np.sqrt(np.einsum("ij,ij->i", out, out)), 1e-12)[:, None]
 
 
 def fit_centroids(sample: list[bytes], documents: np.ndarray, total: int) -> np.ndarray:
@@ -141,7 +150,7 @@ def pack_shard(items: list[tuple[int, bytes]], documents: np.ndarray, total: int
     n = len(items)
     terms, owners, times = [], [], []
     for k, x in enumerate(ids):
-        own, often = np.unique(x, return_counts=True)
+        own, often = _distinct(x)
         terms.append(own)
         owners.append(np.full(len(own), k))
         times.append(often)
