@@ -56,10 +56,14 @@ _CUT = "doc_id long, start long, doc_tokens long, ids binary, part int"
 
 
 def _cut(path: str, special: tuple[tuple[str, int], ...]):
-    """Whole windows and the remainder of each document, as rows of pieces."""
+    """Whole windows (part 0) and the remainder (1) of each document, as rows of pieces.
+
+    Part 2 is in how many remainders of this task each id (`start`) occurs (`doc_tokens`).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, end = byte_encoder(path, special), np.array([END_ID], "<u2").tobytes()
+        found = np.zeros(VOCABULARY, np.int64)
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch["doc_id"].array, encode.many([t or "" for t in batch["text"]])):
@@ -69,8 +73,13 @@ def _cut(path: str, special: tuple[tuple[str, int], ...]):
                 for start in range(0, last, WINDOW):
                     rows.append((doc_id, start, tokens, ids[2 * start : 2 * (start + WINDOW)], 0))
                 if last < tokens:
-                    rows.append((doc_id, last, tokens, ids[2 * last :], 1))
+                    rest = ids[2 * last :]
+                    rows.append((doc_id, last, tokens, rest, 1))
+                    found[_distinct(np.frombuffer(rest, "<u2"))[0]] += 1
             yield pd.DataFrame(rows, columns=["doc_id", "start", "doc_tokens", "ids", "part"])
+        used = np.flatnonzero(found)
+        none = pd.array([None] * len(used), "Int64")
+        yield pd.DataFrame({"doc_id": none, "start": used, "doc_tokens": found[used], "ids": b"", "part": 2})
 
     return run
 
@@ -82,16 +91,6 @@ def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[begin], np.diff(np.append(begin, len(ids)))
 
 
-def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """In how many remainders of this task each id occurs: VOCABULARY rows at most."""
-    found = np.zeros(VOCABULARY, np.int64)
-    for batch in batches:
-        for ids in batch["ids"]:
-            found[_distinct(np.frombuffer(ids, "<u2"))[0]] += 1
-    used = np.flatnonzero(found)
-    yield pd.DataFrame({"id": used, "documents": found[used]})
-
-
 def _sketches(batch: list[bytes], documents: np.ndarray) -> np.ndarray:
     """Each text's rarest two ids that other documents hold too: near documents sort together."""
     ids = np.frombuffer(b"".join(batch), "<u2").astype(np.int64)
@@ -268,8 +267,7 @@ def pack(docs: DataFrame, ranks: str | None = None, tokenizer: str | None = None
     cut = spark.read.schema(_CUT).parquet(place)
     rest, whole = cut.where("part = 1"), cut.where("part = 0")
 
-    counts = bounded(rest).mapInPandas(_frequencies, "id int, documents long")
-    counts = counts.groupBy("id").agg(F.sum("documents").alias("documents")).toPandas()
+    counts = cut.where("part = 2").groupBy(F.col("start").alias("id")).agg(F.sum("doc_tokens").alias("documents")).toPandas()
     documents = np.zeros(VOCABULARY, np.int64)
     documents[counts["id"]] = counts["documents"]
     total = rest.count()
