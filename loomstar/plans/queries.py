@@ -13,6 +13,7 @@ from loomstar import sinks, sources
 from loomstar.plans import star, wide
 from loomstar.plans.roles import (
     PLAY, PURCHASE, event_log, event_stream, export_daily, export_monthly, filed_on, song_records, table,
+    write_json,
 )
 from loomstar.schemas import EVENT, SONG, SONGPLAYS, SONGS, STAR, USERS
 from loomstar.session import scratch_path
@@ -546,7 +547,7 @@ def csv_events_roundtrip(spark, sf_dir):
 def _json_tree(spark, sf_dir):
     root = scratch_path(spark, "json")
     log = event_log(spark, sf_dir).withColumns({"a": F.col("page"), "b": F.col("level")})
-    log.write.partitionBy("a", "b").json(f"{root}/log_data")
+    write_json(log, f"{root}/log_data", ["a", "b"])
     return root
 
 
@@ -564,9 +565,8 @@ def json_glob_roundtrip(spark, sf_dir):
 def json_songs_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "songs")
     songs = song_records(spark, sf_dir)
-    songs.withColumns({
-        "a": F.col("artist_location"), "b": F.col("year"), "c": F.col("num_songs")
-    }).write.partitionBy("a", "b", "c").json(f"{root}/song_data")
+    levels = {"a": F.col("artist_location"), "b": F.col("year"), "c": F.col("num_songs")}
+    write_json(songs.withColumns(levels), f"{root}/song_data", [*levels])
     return sources.read_songs(spark, root)
 
 
@@ -647,7 +647,7 @@ def stream_ingest(spark, sf_dir):
     root, sink = scratch_path(spark, "json"), scratch_path(spark, "streamed")
     songs, checkpoint = song_records(spark, sf_dir), scratch_path(spark, "progress")
     for name, rows in (("first", log.filter("location = 'F'")), ("second", log)):
-        rows.write.json(f"{root}/{name}")
+        write_json(rows, f"{root}/{name}")
         stream_events(spark, root, checkpoint, lambda batch: store_plays(batch, songs, sink, PLAY))
     return spark.read.parquet(sink).drop("event_key")
 

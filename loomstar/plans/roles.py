@@ -10,12 +10,15 @@ agree exactly only for full-price plays and otherwise in whole seconds.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstar.functions.timeparts import from_epoch_millis, to_epoch_millis
 from loomstar.schemas import EVENT
 from loomstar.session import scratch_path
+from loomstar.sinks.tables import FILE_RECORDS
 
 PLAY = "R"
 PURCHASE = "purchase"
@@ -46,6 +49,24 @@ def song_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, sf_dir: str, users: bool, songs: bool, names: bool) -> DataFrame:
+    """Line items with the rows that the flags of `event_log` name.
+
+    Line items move while they are narrow: to their part first, which adds little, and then
+    to their order, which has met its customer before.  There they are placed as a choice
+    per session needs them.
+    """
+    log = table(spark, sf_dir, "lineitem")
+    if songs:
+        log = log.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    if users or names:
+        orders = table(spark, sf_dir, "orders")
+        if names:
+            orders = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        log = log.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return log
+
+
 def event_log(
     spark: SparkSession, sf_dir: str, users: bool = True, songs: bool = True, names: bool = False
 ) -> DataFrame:
@@ -54,15 +75,7 @@ def event_log(
     Each flag joins the table behind some fields, which stay null without it:
     `users` the order, `songs` the part, `names` the customer as well.
     """
-    log = table(spark, sf_dir, "lineitem")
-    if users or names:
-        orders = table(spark, sf_dir, "orders")
-        log = log.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if names:
-        log = log.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    if songs:
-        log = log.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-
+    log = _lines(spark, sf_dir, users, songs, names)
     page = F.col("l_returnflag")
     at = to_epoch_millis("l_shipdate") + F.col("l_linenumber") * 3_600_000 + F.col("l_suppkey")
     fields = {
@@ -123,18 +136,28 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(table(spark, sf_dir, "events"), fields)
 
 
+def write_json(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Raw JSON as logs are kept: compressed, in files that one task can read whole."""
+    writer = df.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS)
+    writer.partitionBy(*by).json(path)
+
+
 def export_songs(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write the catalogue as JSON, three directory levels below song_data/."""
     levels = {"a": F.col("artist_location"), "b": F.col("year"), "c": F.col("num_songs")}
     songs = song_records(spark, sf_dir).withColumns(levels)
-    songs.hint("rebalance", *levels).write.partitionBy(*levels).json(f"{root}/song_data")
+    write_json(songs.hint("rebalance", *levels), f"{root}/song_data", [*levels])
 
 
 def export_monthly(spark: SparkSession, sf_dir: str) -> str:
-    """Write line items and parts as raw JSON below a fresh folder; return it."""
+    """Write line items and parts as raw JSON below a fresh folder; return it.
+
+    A task of the last join writes a file for each of its months, so the wide records do
+    not move once more; there are some 80 months at any size.
+    """
     root, day = scratch_path(spark, "raw"), from_epoch_millis("ts")
     log = event_log(spark, sf_dir, names=True).withColumns({"y": F.year(day), "m": F.month(day)})
-    log.hint("rebalance", "y", "m").write.partitionBy("y", "m").json(f"{root}/log_data")
+    write_json(log, f"{root}/log_data", ["y", "m"])
     export_songs(spark, sf_dir, root)
     return root
 
@@ -149,6 +172,6 @@ def export_daily(spark: SparkSession, sf_dir: str) -> str:
     """Write the events by day of their file, and the parts, below a fresh folder; return it."""
     root = scratch_path(spark, "raw")
     log = event_stream(spark, sf_dir).withColumn("event_date", filed_on())
-    log.hint("rebalance", "event_date").write.partitionBy("event_date").json(f"{root}/log_data")
+    write_json(log.hint("rebalance", "event_date"), f"{root}/log_data", ["event_date"])
     export_songs(spark, sf_dir, root)
     return root

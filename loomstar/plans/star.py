@@ -51,7 +51,8 @@ _REFERENCES = {
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
-    overwrite(df, path)
+    """`df` from a typed file, packed tightly: it holds the whole log and is read a column at a time."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

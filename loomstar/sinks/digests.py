@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomstar.operators.dedup import pick_per_key
-from loomstar.sinks.tables import _once, absent, append, exists
+from loomstar.sinks.tables import absent, append, exists, once
 
 #: Bits of a key's hash: a thousand million stored keys answer falsely for one in 280,000.
 BITS = 48
@@ -70,7 +70,7 @@ def insert_if_absent_by_digest(
     spark = df.sparkSession
     fresh = pick_per_key(df, keys, order_by, "first")
     if exists(spark, path):
-        fresh = _once(fresh)  # for its hashes and for the insert
+        fresh = once(fresh)  # for its hashes and for the insert
         touched = files_with(fresh, path, df.schema, keys)
         if touched:
             stored = spark.read.schema(df.schema).option("basePath", path).parquet(*touched).select(*df.columns)

@@ -23,6 +23,8 @@ from loomstar.session import scratch_path
 MAX_TOUCHED = 1_000
 #: Partitions of a new upsert table without partition columns; pass more for a large one.
 BUCKETS = 64
+#: Records of one compressed text file, some 300 MB of text.
+FILE_RECORDS = 1_000_000
 _BUCKET = "bucket_of_"
 
 
@@ -95,11 +97,16 @@ def in_buckets(df: DataFrame, buckets: int, by: Sequence[str], sort: Sequence[st
 
 
 def write_csv(
-    df: DataFrame, path: str, quote_all: bool = True, mode: str = "errorifexists"
+    df: DataFrame, path: str, quote_all: bool = True, mode: str = "errorifexists", compression: str = "none"
 ) -> None:
-    """CSV with a header in every file, quotes inside a field doubled."""
+    """CSV with a header in every file, quotes inside a field doubled.
+
+    A compressed file is read whole, by one task, so it holds FILE_RECORDS at most.
+    """
     (
         df.write.mode(mode)
+        .option("compression", compression)
+        .option("maxRecordsPerFile", 0 if compression == "none" else FILE_RECORDS)
         .option("header", True)
         .option("quoteAll", quote_all)
         .option("quote", '"')
@@ -216,10 +223,10 @@ def absent(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFra
     )
 
 
-def _once(df: DataFrame) -> DataFrame:
+def once(df: DataFrame) -> DataFrame:
     """`df` computed once and for all, in a file of the shared folder."""
     path = scratch_path(df.sparkSession, "incoming")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -243,7 +250,7 @@ def insert_if_absent(
     if exists(spark, path):
         stored = spark.read.schema(df.schema).parquet(path)
         if prune_on:
-            fresh = _once(fresh)  # for its values and for the insert
+            fresh = once(fresh)  # for its values and for the insert
             stored = touching(stored, fresh, prune_on)
         fresh = absent(fresh, stored, keys)
     append(fresh, path, partition_by)
@@ -282,7 +289,7 @@ def upsert(
         partition_by = [name]
     latest = pick_per_key(df, keys, order_by, "last")
     if stored is not None:
-        latest = _once(latest)  # for its partitions and for the merge
+        latest = once(latest)  # for its partitions and for the merge
         stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
         latest = merged(latest, touching(stored, latest, partition_by), keys)
     overwrite_partitions(latest, path, partition_by, sort)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,15 +19,19 @@ from loomstar.schemas import EVENT, EVENT_CSV, PLAY11, SONG
 from loomstar.sources.records import PLACE as ARRIVAL
 from loomstar.sources.records import read_csv_records
 
+#: Names of JSON files; a compressed one is read whole, by one task.
+JSON_FILES = "*.{json,json.gz}"
+ARRIVAL_NUMBER = "arrival"
+
 
 def read_json_tree(
     spark: SparkSession, root: str | list[str], schema: StructType, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """All *.json files below `root`, at any depth, one record per line."""
+    """All JSON files below `root`, at any depth, plain or compressed, one record per line."""
     return (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", JSON_FILES)
         .option("mode", mode)
         .json(root)
     )
@@ -35,12 +39,12 @@ def read_json_tree(
 
 def read_songs(spark: SparkSession, root: str, mode: str = "FAILFAST") -> DataFrame:
     """Song metadata, kept three directory levels below song_data/."""
-    return spark.read.schema(SONG).option("mode", mode).json(f"{root}/song_data/*/*/*/*.json")
+    return spark.read.schema(SONG).option("mode", mode).json(f"{root}/song_data/*/*/*/{JSON_FILES}")
 
 
 def read_events(spark: SparkSession, root: str, mode: str = "FAILFAST") -> DataFrame:
     """The event log, kept by year and month below log_data/."""
-    return spark.read.schema(EVENT).option("mode", mode).json(f"{root}/log_data/*/*/*.json")
+    return spark.read.schema(EVENT).option("mode", mode).json(f"{root}/log_data/*/*/{JSON_FILES}")
 
 
 def day_of(run_date: dt.date | str) -> dt.date:
@@ -60,7 +64,7 @@ def with_file_date(df: DataFrame, name: str = "event_date") -> DataFrame:
     A day is what its file holds, also where a record's own time lies on a
     neighbouring day.  Null for files without a date; call it on a scan.
     """
-    found = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})(?:-events\.json|/[^/]+)$", 1)
+    found = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})(?:-events\.json(?:\.gz)?|/[^/]+)$", 1)
     return df.withColumn(name, found.try_cast("date"))
 
 
@@ -149,6 +153,20 @@ def with_arrival(df: DataFrame) -> DataFrame:
     )
 
 
+def with_arrival_number(df: DataFrame) -> DataFrame:
+    """ARRIVAL as one number of the same order, which makes rows that are sorted or moved by it narrow.
+
+    The blocks of all files, a row each, are put in order in one task; a row's place in
+    its block is the low part of its ARRIVAL row.
+    """
+    file, block, row = ARRIVAL
+    order = Window.orderBy(file, block)
+    places = df.select(file, block).distinct().withColumn("_place", F.row_number().over(order).cast("bigint"))
+    within = F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = df.join(F.broadcast(places), [file, block])
+    return numbered.withColumn(ARRIVAL_NUMBER, F.shiftleft("_place", 33) + within).drop("_place", *ARRIVAL)
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """All rows of all frames, columns matched by name, missing ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

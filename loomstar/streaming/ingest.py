@@ -14,7 +14,7 @@ from loomstar.operators.facts import songplays, with_start_time
 from loomstar.operators.filters import plays
 from loomstar.schemas import EVENT
 from loomstar.sinks.tables import insert_if_absent, overwrite, overwrite_partitions, partition_path
-from loomstar.sources.files import day_of, read_events_for
+from loomstar.sources.files import JSON_FILES, day_of, read_events_for
 
 _BY_MONTH = ["year", "month"]
 #: Files in one batch of a stream, which commits after each.
@@ -61,7 +61,7 @@ def stream_events(
     reader = (
         spark.readStream.schema(EVENT)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", JSON_FILES)
         .option("mode", "FAILFAST")
     )
     if max_files:
