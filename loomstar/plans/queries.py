@@ -877,11 +877,11 @@ def wide_tables(spark, sf_dir):
     """
     root, out = scratch_path(spark, "csv-log"), scratch_path(spark, "wide")
     log = event_log(spark, sf_dir, names=True).drop("userAgent")
-    log = op.pick_per_key(log, ["sessionId", "itemInSession"], ["ts"])
+    log = sinks.once(op.pick_per_key(log, ["sessionId", "itemInSession"], ["ts"]))  # for both files sets
     live = F.when(F.col("artist") != "", F.concat("song", F.lit("\n(live)"))).otherwise(F.col("song"))
-    sinks.write_csv(log, f"{root}/a", quote_all=False)
-    sinks.write_csv(log.filter("location = 'F'").withColumn("song", live), f"{root}/b", quote_all=False)
+    for name, rows in (("a", log), ("b", log.filter("location = 'F'").withColumn("song", live))):
+        sinks.write_csv(rows, f"{root}/{name}", quote_all=False, compression="gzip")
     for _ in range(2):
-        tables = wide.wide_tables(spark, root, out)
+        tables = wide.wide_tables(spark, root, out, compression="gzip")
     rows = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
     return sources.union_sources(*rows).withColumn("length", F.round(F.col("length").cast("double"), 2))

@@ -11,11 +11,11 @@ from loomstar.operators.lookups import (
     song_data_by_session, song_data_by_user_and_session, user_data_by_song,
 )
 from loomstar.plans.steps import together
-from loomstar.sinks.tables import overwrite, write_csv
+from loomstar.sinks.tables import write_csv
 from loomstar.sinks.versions import read_versions, upsert_versions
-from loomstar.sources.files import ARRIVAL, read_events_csv
+from loomstar.sources.files import ARRIVAL_NUMBER, read_events_csv, with_arrival_number
 
-# The columns that place a row and order it there.
+# The columns that place a row and order it there; files are sorted by both.
 PLACEMENT = {
     "song_data_by_session": (["session_id"], ["item_in_session"]),
     "song_data_by_user_and_session": (["user_id", "session_id"], ["item_in_session"]),
@@ -29,7 +29,7 @@ _BUILD = {
 
 
 def wide_tables(
-    spark: SparkSession, root: str, out: str, multi_line: bool = True
+    spark: SparkSession, root: str, out: str, multi_line: bool = True, compression: str = "none"
 ) -> dict[str, DataFrame]:
     """Merge the CSV files into one play file and upsert the three tables from them.
 
@@ -38,19 +38,22 @@ def wide_tables(
     merged play file is written from there.  `multi_line` reads line breaks inside
     quotes, by as many tasks as a file has blocks; without it such a record fails the load.  A stored
     table takes the plays as a version of its own, which wins when it is read.
+    `compression` is that of the merged play file.
     """
     played = non_empty(read_events_csv(spark, root, multi_line, arrival=True), "artist")
     staged = f"{out}/staging_plays"
-    overwrite(played, staged)
+    played.write.mode("overwrite").option("compression", "zstd").parquet(staged)
     plays = spark.read.schema(played.schema).parquet(staged)
-    tables = {name: build(plays, ARRIVAL) for name, build in _BUILD.items()}
+    numbered = with_arrival_number(plays)
+    tables = {name: build(numbered, [ARRIVAL_NUMBER]) for name, build in _BUILD.items()}
 
     def load(name: str) -> None:
-        dist, sort = PLACEMENT[name]
-        key = [*dist, *sort]
-        upsert_versions(tables[name], f"{out}/{name}", key, dist=dist, sort=key)
+        # The choice per key has brought rows together; each file is sorted by place, so a
+        # lookup opens a row group of it, and a hot session or song stays spread over files.
+        key = [*PLACEMENT[name][0], *PLACEMENT[name][1]]
+        upsert_versions(tables[name], f"{out}/{name}", key, sort=key)
 
-    merge = partial(write_csv, project_play11(plays), f"{out}/plays_csv", mode="overwrite")
+    merge = partial(write_csv, project_play11(plays), f"{out}/plays_csv", mode="overwrite", compression=compression)
     together(merge, *[partial(load, name) for name in PLACEMENT])
     keys = {name: [*dist, *sort] for name, (dist, sort) in PLACEMENT.items()}
     return {name: read_versions(spark, f"{out}/{name}", keys[name], df.schema) for name, df in tables.items()}

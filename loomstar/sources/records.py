@@ -10,12 +10,20 @@ edge, two a block at most, meet in a second, small step.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Where a record begins: its file, block and line.
 PLACE = ("arrival_file", "arrival_block", "arrival_row")
+_GROUP = "file string, block bigint, nth bigint, line bigint, text string, quotes bigint"
+_GROUP_ARROW = pa.schema([
+    ("file", pa.string()), ("block", pa.int64()), ("nth", pa.int64()), ("line", pa.int64()), ("text", pa.string()), ("quotes", pa.int64()),
+])
 
 
 def _lines(spark: SparkSession, root: str | list[str]) -> DataFrame:
@@ -37,6 +45,48 @@ def _text(column: str = "text") -> F.Column:
     return F.array_join(F.transform(parts, lambda p: p[column]), "\n").alias("text")
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), _GROUP_ARROW)], schema=_GROUP_ARROW)
+
+
+def _grouped(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Lines of blocks, each block's in its order, to the records that they make within their block.
+
+    The `nth` record of a block has number 0 if it began in an earlier one.  `whole` gives
+    the records that begin and end in their block, else the pieces of those that cross its edge.
+    """
+    place, last, above, nth = None, -1, 0, 0  # of the block in hand
+    begun: list = []  # the record in hand: file, block, nth, line, its lines, quotes
+
+    def closed(record: list) -> list[tuple]:
+        file, block, n, line, texts, quotes = record
+        return [(file, block, n, line, "\n".join(texts), quotes)] if (n > 0 and quotes % 2 == 0) == whole else []
+
+    for batch in batches:
+        found: list[tuple] = []
+        columns = [batch.column(c).to_pylist() for c in ("file", "block", "before", "line", "text", "quotes")]
+        for file, block, before, line, text, quotes in zip(*columns):
+            begins = (file, block) != place
+            if begins:
+                place, last, above, nth = (file, block), -1, 0, 0
+            if line <= last:
+                raise ValueError(f"lines of {file} came out of order")
+            starts = (before + above) % 2 == 0
+            if starts or begins:
+                if begun:
+                    found += closed(begun)
+                nth += starts
+                begun = [file, block, nth, line, [], 0]
+            begun[4].append(text)
+            begun[5] += quotes
+            above += quotes
+            last = line
+        if found:
+            yield _batch(found)
+    if begun and (found := closed(begun)):
+        yield _batch(found)
+
+
 def csv_records(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """(file, block, line, text): the records of all files below `root` without the first of each, their header.
 
@@ -50,20 +100,15 @@ def csv_records(spark: SparkSession, root: str | list[str]) -> DataFrame:
     before = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("before")
     blocks = per_block.select("file", "block", before)
 
-    in_block = Window.partitionBy("file", "block").orderBy("line")
-    above = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = lines.join(blocks, ["file", "block"]).withColumn("starts", ((F.col("before") + above) % 2 == 0).cast("int"))
-    placed = placed.withColumn("nth", F.sum("starts").over(in_block))  # 0: begun in an earlier block
-    first = F.min(F.struct("line")).getField("line").alias("line")
-    groups = placed.groupBy("file", "block", "nth").agg(_text(), F.sum("quotes").alias("quotes"), first)
-    whole = (F.col("nth") > 0) & (F.col("quotes") % 2 == 0)
+    placed = lines.join(F.broadcast(blocks), ["file", "block"])  # a row each; lines stay in their task, in order
+    groups = lambda whole: placed.mapInArrow(partial(_grouped, whole=whole), _GROUP)
 
     begun = F.sum((F.col("nth") > 0).cast("int")).over(Window.partitionBy("file").orderBy("block", "nth"))
-    pieces = groups.where(~whole).withColumn("record", begun)
+    pieces = groups(False).withColumn("record", begun)
     begins = F.min(F.struct("block", "line", "nth")).alias("begins")
     crossing = pieces.groupBy("file", "record").agg(_text(), begins)
     crossing = crossing.select("file", "begins.block", "begins.line", "begins.nth", "text")
-    records = groups.where(whole).select("file", "block", "line", "nth", "text").unionByName(crossing)
+    records = groups(True).select("file", "block", "line", "nth", "text").unionByName(crossing)
     header = (F.col("block") == 0) & (F.col("nth") == 1)
     return records.where(~header & (F.col("text") != "")).drop("nth")
 

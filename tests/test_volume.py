@@ -50,3 +50,32 @@ def test_lines_do_not_move_once_more_for_a_choice_per_session(spark):
         assert moves(op.pick_per_key(log, ["sessionId", "itemInSession"], ["ts"])) == moves(log)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def csv_log(spark, tmp_path, compression="none"):
+    log = fixtures.events(spark).select(*EVENT_CSV.fieldNames()).withColumn("song", F.lit('two\n"lines"'))
+    sinks.write_csv(log.repartition(3), str(tmp_path / compression), compression=compression)
+    return str(tmp_path / compression)
+
+
+def test_text_of_csv_records_stays_in_its_tasks(spark, tmp_path):
+    records = sources.csv_records(spark, csv_log(spark, tmp_path))
+    assert "MapInArrow" in plan(records)
+    assert "starts" not in plan(records)  # no window over all lines
+
+
+def test_compressed_csv_gives_the_same_records(spark, tmp_path):
+    read = lambda kind: sources.read_events_csv(spark, csv_log(spark, tmp_path, kind), multi_line=True).collect()
+    plain, packed = read("none"), read("gzip")
+    assert sorted(map(str, plain)) == sorted(map(str, packed))
+    assert len(packed) == fixtures.events(spark).count() and {r.song for r in packed} == {'two\n"lines"'}
+
+
+def test_the_arrival_number_orders_as_arrival_does(spark, tmp_path):
+    log = sources.read_events_csv(spark, csv_log(spark, tmp_path), multi_line=True, arrival=True)
+    staged = str(tmp_path / "staged")
+    log.withColumn("at", F.struct(*sources.ARRIVAL)).write.parquet(staged)
+    numbered = sources.with_arrival_number(spark.read.parquet(staged))
+    rows = numbered.select("at", "arrival").collect()
+    assert len({r.arrival for r in rows}) == len(rows) == fixtures.events(spark).count()
+    assert [r.at for r in sorted(rows, key=lambda r: r.arrival)] == sorted(r.at for r in rows)
