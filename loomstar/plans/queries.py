@@ -644,6 +644,7 @@ def stream_ingest(spark, sf_dir):
     """Closed lines streamed in, then all lines, which overlap them; some plays lack a session."""
     session = F.col("sessionId")
     log = event_log(spark, sf_dir).withColumn("sessionId", F.when(session % 50 != 0, session))
+    log = sinks.once(log)  # for both files sets
     root, sink = scratch_path(spark, "json"), scratch_path(spark, "streamed")
     songs, checkpoint = song_records(spark, sf_dir), scratch_path(spark, "progress")
     for name, rows in (("first", log.filter("location = 'F'")), ("second", log)):

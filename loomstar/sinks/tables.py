@@ -237,23 +237,30 @@ def insert_if_absent(
     order_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     prune_on: Sequence[str] = (),
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Insert the rows whose key is new; a stored row is never changed.
 
     Of several new rows with one key the first in `order_by` is taken, ties by
     the remaining columns.  Repeating the call changes nothing.  `prune_on`
     names columns that the key determines and the table is partitioned or
-    sorted by; stored rows with other values are then not read.
+    sorted by; stored rows with other values are then not read.  `derived` columns
+    follow from the others; they are worked out, and put first, when rows are written.
     """
     spark = df.sparkSession
     fresh = pick_per_key(df, keys, order_by, "first")
     if exists(spark, path):
         stored = spark.read.schema(df.schema).parquet(path)
-        if prune_on:
+        if prune_on and set(prune_on) <= set(partition_by):
+            # Few values, read apart: the rows then meet the stored ones where the choice put them.
+            stored = touching(stored, once(df.select(*prune_on).distinct()), prune_on)
+        elif prune_on:
             fresh = once(fresh)  # for its values and for the insert
             stored = touching(stored, fresh, prune_on)
         fresh = absent(fresh, stored, keys)
-    append(fresh, path, partition_by)
+    placed = layout(fresh, partition_by).select(*[c.alias(name) for name, c in (derived or {}).items()], "*")
+    writer = placed.write.mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def merged(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -39,10 +39,9 @@ def store_plays(events: DataFrame, songs: DataFrame, sink: str, page: str = "Nex
     """
     played = with_start_time(plays(events, page), "s").withColumn("event_key", event_key(EVENT.fieldNames()))
     fact = songplays(played, songs, match="first", also=["event_key"])
-    fact = fact.select(play_key("session_id", "start_time").alias("songplay_id"), "*").withColumns(
-        {"year": F.year("start_time"), "month": F.month("start_time")}
-    )
-    insert_if_absent(fact, sink, ["event_key"], ["start_time"], _BY_MONTH, _BY_MONTH)
+    fact = fact.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+    own = {"songplay_id": play_key("session_id", "start_time")}  # a digest as wide as some rows
+    insert_if_absent(fact, sink, ["event_key"], ["start_time"], _BY_MONTH, _BY_MONTH, own)
 
 
 def stream_events(

@@ -79,3 +79,15 @@ def test_the_arrival_number_orders_as_arrival_does(spark, tmp_path):
     rows = numbered.select("at", "arrival").collect()
     assert len({r.arrival for r in rows}) == len(rows) == fixtures.events(spark).count()
     assert [r.at for r in sorted(rows, key=lambda r: r.arrival)] == sorted(r.at for r in rows)
+
+
+def test_derived_columns_are_written_and_not_needed_to_insert(spark, out):
+    rows = spark.createDataFrame([(1, 10, "a"), (2, 11, "b")], "k int, part int, v string")
+    more = spark.createDataFrame([(2, 11, "z"), (3, 10, "c"), (None, 12, "n")], "k int, part int, v string")
+    for df in (rows, more, more):
+        sinks.insert_if_absent(df, f"{out}/t", ["k"], ["v"], ["part"], ["part"], {"name": F.concat("v", F.lit("!"))})
+    table = spark.read.parquet(f"{out}/t")
+    assert table.columns[0] == "name"
+    assert sorted(map(str, table.select("k", "part", "v", "name").collect())) == sorted(
+        f"Row(k={k}, part={p}, v='{v}', name='{v}!')" for k, p, v in [(1, 10, "a"), (2, 11, "b"), (3, 10, "c"), (None, 12, "n")]
+    )
