@@ -23,6 +23,16 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).cast("bigint")).first()[0]
 
 
+def sized(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` for the side of a join that Spark may broadcast, only if it measures under `broadcast_bytes`.
+
+    Spark guesses a table's size from its files, whose columns can be packed a hundred times
+    tighter than the rows that a broadcast gathers; a load that joins the same table day
+    after day would send it through the driver each time.
+    """
+    return df if measured_bytes(df) <= broadcast_bytes else df.hint("merge")
+
+
 def equal_nulls(columns: Sequence[str]) -> Column:
     """Equality of `c` and `_c` for all columns, null equal to null."""
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])

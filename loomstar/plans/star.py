@@ -26,6 +26,7 @@ from loomstar.operators.filters import plays
 from loomstar.operators.quality import (
     assert_checks, fused_checks, has_rows_checks, run_checks,
 )
+from loomstar.operators.skew import sized
 from loomstar.plans.steps import together
 from loomstar.schemas import ARTISTS, EVENT, SONG, SONGPLAYS, SONGS, STAR_KEYS, TIME, USERS
 from loomstar.sinks.tables import (
@@ -231,7 +232,7 @@ def star_daily(
     )
     played = with_start_time(plays(events, page), "s")
 
-    fact = songplays(played, songs, also=["event_date"]).select(
+    fact = songplays(played, sized(songs), also=["event_date"]).select(
         play_key("session_id", "start_time").alias("songplay_id"), "*"
     )
     dated = insert_by_position(fact, _DATED)

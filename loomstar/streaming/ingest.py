@@ -12,6 +12,7 @@ from loomstar.functions.keys import event_key, play_key
 from loomstar.operators.analytics import day_counts
 from loomstar.operators.facts import songplays, with_start_time
 from loomstar.operators.filters import plays
+from loomstar.operators.skew import sized
 from loomstar.schemas import EVENT
 from loomstar.sinks.tables import insert_if_absent, overwrite, overwrite_partitions, partition_path
 from loomstar.sources.files import JSON_FILES, day_of, read_events_for
@@ -25,7 +26,7 @@ def keyed_plays(
     events: DataFrame, songs: DataFrame, page: str = "NextSong", **options
 ) -> DataFrame:
     """Play facts under their md5 key, in whole seconds; `options` as in `songplays`."""
-    fact = songplays(with_start_time(plays(events, page), "s"), songs, **options)
+    fact = songplays(with_start_time(plays(events, page), "s"), sized(songs), **options)
     return fact.select(play_key("session_id", "start_time").alias("songplay_id"), "*")
 
 

@@ -91,3 +91,11 @@ def test_derived_columns_are_written_and_not_needed_to_insert(spark, out):
     assert sorted(map(str, table.select("k", "part", "v", "name").collect())) == sorted(
         f"Row(k={k}, part={p}, v='{v}', name='{v}!')" for k, p, v in [(1, 10, "a"), (2, 11, "b"), (3, 10, "c"), (None, 12, "n")]
     )
+
+
+def test_a_catalogue_over_the_limit_is_not_sent_through_the_driver(spark):
+    songs = spark.range(5_000).select(F.col("id").alias("k"), F.lit("same").alias("v"))
+    plays = spark.range(9).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in plan(plays.join(op.sized(songs), "k", "left"))
+    assert "Broadcast" not in plan(plays.join(op.sized(songs, 1_000), "k", "left"))
+    assert plays.join(op.sized(songs, 1_000), "k", "left").filter("v is null").count() == 0
