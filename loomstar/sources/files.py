@@ -113,8 +113,8 @@ def read_events_csv(
 ) -> DataFrame:
     """The CSV export of the log: one header per file, any number of files.
 
-    `multi_line` allows line breaks inside quotes, at the price of one shuffle of the
-    text; without it such a record fails the read.  Files are split over tasks either
+    `multi_line` allows line breaks inside quotes, at the price of reading the text again;
+    without it such a record fails the read.  Files are split over tasks either
     way.  `arrival` adds ARRIVAL, the order in which records lie.
     """
     return _csv(spark, root, EVENT_CSV, multi_line, mode, arrival)
