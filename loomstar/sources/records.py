@@ -6,36 +6,47 @@ the parity as it is.  Quotes are counted per block of a file and added up over t
 blocks, a row each, which tells every block whether it begins inside quotes.  Lines then
 become records within their block, and only the pieces of records that cross a block's
 edge, two a block at most, meet in a second, small step.
+
+A compressed file has one block, and Spark's own parser reads it in one pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import partial, reduce
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Where a record begins: its file, block and line.
 PLACE = ("arrival_file", "arrival_block", "arrival_row")
+#: Endings of compressed files that cannot be split.
+_ONE_BLOCK = (".gz", ".deflate", ".lz4", ".snappy", ".zst")
 _GROUP = "file string, block bigint, nth bigint, line bigint, text string, quotes bigint"
 _GROUP_ARROW = pa.schema([
     ("file", pa.string()), ("block", pa.int64()), ("nth", pa.int64()), ("line", pa.int64()), ("text", pa.string()), ("quotes", pa.int64()),
 ])
 
 
+def _scan(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(root)
+
+
 def _lines(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """Every line with its place and its number of quotes; a carriage return before the break is part of it."""
-    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(root)
-    line = F.regexp_replace("value", "\r$", "")
-    return lines.select(
+    value = F.col("value")
+    bare = F.when(F.endswith(value, F.lit("\r")), F.left(value, F.length(value) - 1)).otherwise(value)
+    return _scan(spark, root).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
-        line.alias("text"),
-        (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))).alias("quotes"),
+        bare.alias("text"),
+        (F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))).cast("bigint").alias("quotes"),
     )
 
 
@@ -45,8 +56,13 @@ def _text(column: str = "text") -> F.Column:
     return F.array_join(F.transform(parts, lambda p: p[column]), "\n").alias("text")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), _GROUP_ARROW)], schema=_GROUP_ARROW)
+def _batch(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, _GROUP_ARROW)], schema=_GROUP_ARROW)
+
+
+def _joined(lines: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The lines from each of `ends` to the next as one text."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lines), "\n")
 
 
 def _grouped(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
@@ -56,35 +72,51 @@ def _grouped(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.Reco
     the records that begin and end in their block, else the pieces of those that cross its edge.
     """
     place, last, above, nth = None, -1, 0, 0  # of the block in hand
-    begun: list = []  # the record in hand: file, block, nth, line, its lines, quotes
+    begun: list = []  # the record in hand: file, block, nth, line, its lines so far, quotes
 
-    def closed(record: list) -> list[tuple]:
+    def closed(record: list) -> Iterator[pa.RecordBatch]:
         file, block, n, line, texts, quotes = record
-        return [(file, block, n, line, "\n".join(texts), quotes)] if (n > 0 and quotes % 2 == 0) == whole else []
+        if (n > 0 and quotes % 2 == 0) == whole:
+            yield _batch([file], [block], [n], [line], ["\n".join(texts)], [quotes])
 
     for batch in batches:
-        found: list[tuple] = []
-        columns = [batch.column(c).to_pylist() for c in ("file", "block", "before", "line", "text", "quotes")]
-        for file, block, before, line, text, quotes in zip(*columns):
+        if not batch.num_rows:
+            continue
+        files, texts = batch.column("file"), batch.column("text")
+        blocks, befores, lines, counts = (batch.column(c).to_numpy() for c in ("block", "before", "line", "quotes"))
+        other = pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False) | (np.diff(blocks) != 0)
+        for low, high in pairwise([0, *(np.flatnonzero(other) + 1).tolist(), batch.num_rows]):
+            file, block, line, quotes = files[low].as_py(), int(blocks[low]), lines[low:high], counts[low:high]
             begins = (file, block) != place
             if begins:
                 place, last, above, nth = (file, block), -1, 0, 0
-            if line <= last:
+            if line[0] <= last or (np.diff(line) <= 0).any():
                 raise ValueError(f"lines of {file} came out of order")
-            starts = (before + above) % 2 == 0
-            if starts or begins:
+            starts = (befores[low] + above + np.cumsum(quotes) - quotes) % 2 == 0
+            number = nth + np.cumsum(starts)
+            starts[0] |= begins
+            at = np.flatnonzero(starts)
+            ends = [*at.tolist(), high - low]
+            if ends[0]:  # more lines of the record in hand
+                begun[4] += _joined(texts[low:high], [0, ends[0]]).to_pylist()
+                begun[5] += int(quotes[: ends[0]].sum())
+            if len(at):
                 if begun:
-                    found += closed(begun)
-                nth += starts
-                begun = [file, block, nth, line, [], 0]
-            begun[4].append(text)
-            begun[5] += quotes
-            above += quotes
-            last = line
-        if found:
-            yield _batch(found)
-    if begun and (found := closed(begun)):
-        yield _batch(found)
+                    yield from closed(begun)
+                sums = np.add.reduceat(quotes, at)
+                kept = ((number[at] > 0) & (sums % 2 == 0)) == whole
+                kept[-1] = False  # it may go on
+                if kept.any():
+                    found = at[kept]
+                    yield _batch(
+                        files.take(pa.array(low + found)), np.full(len(found), block), number[found], line[found],
+                        _joined(texts[low:high], at).filter(pa.array(kept[:-1])), sums[kept],
+                    )
+                text = _joined(texts[low:high], ends[-2:]).to_pylist()
+                begun = [file, block, int(number[at[-1]]), int(line[at[-1]]), text, int(sums[-1])]
+            above, nth, last = above + int(quotes.sum()), int(number[-1]), line[-1]
+    if begun:
+        yield from closed(begun)
 
 
 def csv_records(spark: SparkSession, root: str | list[str]) -> DataFrame:
@@ -113,14 +145,34 @@ def csv_records(spark: SparkSession, root: str | list[str]) -> DataFrame:
     return records.where(~header & (F.col("text") != "")).drop("nth")
 
 
+def _whole_files(spark: SparkSession, root: str | list[str]) -> bool:
+    """Whether every file below `root` is one block, and its line breaks are LF."""
+    lines = _scan(spark, root)
+    files = lines.inputFiles()
+    if not files or not all(f.endswith(_ONE_BLOCK) for f in files):
+        return False
+    return lines.where(F.contains("value", F.lit("\r"))).isEmpty()
+
+
 def read_csv_records(
     spark: SparkSession, root: str | list[str], schema: StructType, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """`csv_records` parsed to the columns of `schema`, with PLACE beside them."""
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    """The records of all files below `root`, but for headers, as columns of `schema` with PLACE beside them.
+
+    Compressed files are parsed as they are read if a look through their text finds no
+    carriage return, which `csv_records` takes for part of a line break and Spark's parser does not.
+    """
     options = {"quote": '"', "escape": '"', "mode": mode, "multiLine": "true"}
-    records = csv_records(spark, root)
-    parsed = records.select(
-        F.from_csv("text", ddl, options).alias("record"), *(F.col(a).alias(b) for a, b in zip(("file", "block", "line"), PLACE))
+    always = F.monotonically_increasing_id() >= 0  # no later filter moves below it
+    if _whole_files(spark, root):
+        reader = spark.read.schema(schema).options(**options, header=True, lineSep="\n", recursiveFileLookup=True)
+        # A parse that leaves out columns or rows cannot see that a record is malformed: this names all columns.
+        scan = reader.csv(root).where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in schema.names], always))
+        places = ("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+        return scan.select("*", *((F.col(a) if isinstance(a, str) else a).alias(b) for a, b in zip(places, PLACE)))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = csv_records(spark, root).select(
+        F.from_csv(F.when(always, F.col("text")), ddl, options).alias("record"),  # else a filter parses it once more
+        *(F.col(a).alias(b) for a, b in zip(("file", "block", "line"), PLACE)),
     )
     return parsed.select("record.*", *PLACE)
