@@ -52,13 +52,21 @@ def song_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str, users: bool, songs: bool, names: bool) -> DataFrame:
     """Line items with the rows that the flags of `event_log` name.
 
-    Line items move while they are narrow: to their part first, which adds little, and then
-    to their order, which has met its customer before.  There they are placed as a choice
-    per session needs them.
+    Line items move while they are narrow: to their part first, which adds little, and then,
+    as the few values that an event is made of, to their order, which has met its customer
+    before.  There they are placed as a choice per session needs them.
     """
     log = table(spark, sf_dir, "lineitem")
+    at = to_epoch_millis("l_shipdate") + F.col("l_linenumber") * 3_600_000 + F.col("l_suppkey")
+    values = {"at": at}
     if songs:
         log = log.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        played = F.col("l_returnflag") == PLAY
+        values["p_brand"] = F.col("p_brand")
+        values["length"] = F.when(played, F.col("p_size") + F.col("l_discount"))
+        values["title"] = F.when(played, F.floor(F.col("p_partkey") / 8))
+    named = [c.alias(name) for name, c in values.items()]
+    log = log.select("l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag", *named)
     if users or names:
         orders = table(spark, sf_dir, "orders")
         if names:
@@ -77,7 +85,6 @@ def event_log(
     """
     log = _lines(spark, sf_dir, users, songs, names)
     page = F.col("l_returnflag")
-    at = to_epoch_millis("l_shipdate") + F.col("l_linenumber") * 3_600_000 + F.col("l_suppkey")
     fields = {
         "auth": F.lit("Logged In"),
         "itemInSession": F.col("l_linenumber"),
@@ -86,7 +93,7 @@ def event_log(
         "page": page,
         "sessionId": F.col("l_orderkey"),
         "status": F.lit(200),
-        "ts": at,
+        "ts": F.col("at"),
     }
     if users or names:
         fields |= {
@@ -99,13 +106,12 @@ def event_log(
         fields |= {"firstName": F.col("c_mktsegment"), "lastName": F.col("c_name")}
     if songs:
         spelled = F.when(F.col("l_linestatus") == "F", F.upper("p_brand"))
-        title = _title(F.floor(F.col("p_partkey") / 8))
         fields |= {
             "artist": F.when(page == PLAY, spelled.otherwise(F.col("p_brand"))).when(
                 page == "A", F.lit("")
             ),
-            "length": F.when(page == PLAY, F.col("p_size") + F.col("l_discount")),
-            "song": F.when(page == PLAY, title).when(page == "A", F.lit("")),
+            "length": F.col("length"),
+            "song": F.when(page == PLAY, _title(F.col("title"))).when(page == "A", F.lit("")),
             "userAgent": F.concat(F.lit('"agent '), F.col("p_brand"), F.lit('"')),
         }
     return _records(log, fields)

@@ -11,9 +11,9 @@ from loomstar.operators.lookups import (
     song_data_by_session, song_data_by_user_and_session, user_data_by_song,
 )
 from loomstar.plans.steps import together
-from loomstar.sinks.tables import write_csv
+from loomstar.sinks.tables import once, write_csv
 from loomstar.sinks.versions import read_versions, upsert_versions
-from loomstar.sources.files import ARRIVAL_NUMBER, read_events_csv, with_arrival_number
+from loomstar.sources.files import ARRIVAL_NUMBER, arrival_places, read_events_csv, with_arrival_number
 
 # The columns that place a row and order it there; files are sorted by both.
 PLACEMENT = {
@@ -44,14 +44,14 @@ def wide_tables(
     staged = f"{out}/staging_plays"
     played.write.mode("overwrite").option("compression", "zstd").parquet(staged)
     plays = spark.read.schema(played.schema).parquet(staged)
-    numbered = with_arrival_number(plays)
+    numbered = with_arrival_number(plays, once(arrival_places(plays)))  # for three tables
     tables = {name: build(numbered, [ARRIVAL_NUMBER]) for name, build in _BUILD.items()}
 
     def load(name: str) -> None:
         # The choice per key has brought rows together; each file is sorted by place, so a
         # lookup opens a row group of it, and a hot session or song stays spread over files.
         key = [*PLACEMENT[name][0], *PLACEMENT[name][1]]
-        upsert_versions(tables[name], f"{out}/{name}", key, sort=key)
+        upsert_versions(tables[name], f"{out}/{name}", key, sort=key, chosen=True)
 
     merge = partial(write_csv, project_play11(plays), f"{out}/plays_csv", mode="overwrite", compression=compression)
     together(merge, *[partial(load, name) for name in PLACEMENT])

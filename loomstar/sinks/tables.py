@@ -25,6 +25,8 @@ MAX_TOUCHED = 1_000
 BUCKETS = 64
 #: Records of one compressed text file, some 300 MB of text.
 FILE_RECORDS = 1_000_000
+#: Of gzip: a third of the default level's time, files a tenth larger.
+GZIP_LEVEL = "FOUR"
 _BUCKET = "bucket_of_"
 
 
@@ -106,6 +108,7 @@ def write_csv(
     (
         df.write.mode(mode)
         .option("compression", compression)
+        .option("zlib.compress.level", GZIP_LEVEL)
         .option("maxRecordsPerFile", 0 if compression == "none" else FILE_RECORDS)
         .option("header", True)
         .option("quoteAll", quote_all)

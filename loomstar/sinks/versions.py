@@ -125,11 +125,13 @@ def upsert_versions(
     dist: Sequence[str] = (),
     sort: Sequence[str] = (),
     compact_at: float = COMPACT_AT,
+    chosen: bool = False,
 ) -> None:
     """Insert new keys and replace the rows of stored ones, last write wins.
 
     Of several rows with one key the last in `order_by` is taken, ties by the remaining
-    columns; null keys are equal.  Read the table with `read_versions`.
+    columns; null keys are equal.  Rows that `pick_per_key` gave for these keys are `chosen`
+    and not chosen from once more.  Read the table with `read_versions`.
     """
     spark = df.sparkSession
     base, later = _live(versions(spark, path))
@@ -139,4 +141,5 @@ def upsert_versions(
             compact(spark, path, keys, df.schema, dist, sort)
             base, later = _live(versions(spark, path))
     last = max((v.number for v in [*([base] if base else []), *later]), default=0)
-    _write(pick_per_key(df, keys, order_by, "last"), path, last + 1, base is None, dist, sort)
+    rows = df if chosen else pick_per_key(df, keys, order_by, "last")
+    _write(rows, path, last + 1, base is None, dist, sort)

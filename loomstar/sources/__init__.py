@@ -1,5 +1,5 @@
 from loomstar.sources.files import (
-    ARRIVAL, day_of, events_path, file_census, read_events, read_events_csv, read_events_for, read_json_tree, read_plays_csv,
+    ARRIVAL, arrival_places, day_of, events_path, file_census, read_events, read_events_csv, read_events_for, read_json_tree, read_plays_csv,
     read_songs, read_table, union_sources, with_arrival, with_arrival_number, with_file_date,
 )
 from loomstar.sources.records import csv_records, read_csv_records
@@ -8,7 +8,7 @@ from loomstar.sources.staging import (
 )
 
 __all__ = [
-    "ARRIVAL", "EVENT_MAPPING", "EVENT_STAGE", "WHOLE_EVENTS", "WHOLE_SONGS", "csv_records", "day_of", "events_path", "file_census", "read_events", "read_events_csv",
+    "ARRIVAL", "EVENT_MAPPING", "EVENT_STAGE", "WHOLE_EVENTS", "WHOLE_SONGS", "arrival_places", "csv_records", "day_of", "events_path", "file_census", "read_events", "read_events_csv",
     "read_csv_records", "read_events_for", "read_json_tree", "read_plays_csv", "read_songs", "read_table", "stage",
     "stage_auto", "stage_table", "union_sources", "with_arrival", "with_arrival_number", "with_file_date",
 ]

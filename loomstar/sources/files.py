@@ -153,15 +153,21 @@ def with_arrival(df: DataFrame) -> DataFrame:
     )
 
 
-def with_arrival_number(df: DataFrame) -> DataFrame:
+def arrival_places(df: DataFrame) -> DataFrame:
+    """The blocks of all files, a row each, numbered in their order by one task."""
+    file, block, _ = ARRIVAL
+    order = Window.orderBy(file, block)
+    return df.select(file, block).distinct().withColumn("_place", F.row_number().over(order).cast("bigint"))
+
+
+def with_arrival_number(df: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """ARRIVAL as one number of the same order, which makes rows that are sorted or moved by it narrow.
 
-    The blocks of all files, a row each, are put in order in one task; a row's place in
-    its block is the low part of its ARRIVAL row.
+    A row's place in its block is the low part of its ARRIVAL row.  `places` is
+    `arrival_places(df)` if it was stored, as for several uses.
     """
     file, block, row = ARRIVAL
-    order = Window.orderBy(file, block)
-    places = df.select(file, block).distinct().withColumn("_place", F.row_number().over(order).cast("bigint"))
+    places = arrival_places(df) if places is None else places
     within = F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
     numbered = df.join(F.broadcast(places), [file, block])
     return numbered.withColumn(ARRIVAL_NUMBER, F.shiftleft("_place", 33) + within).drop("_place", *ARRIVAL)

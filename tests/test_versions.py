@@ -88,3 +88,16 @@ def test_filters_on_keys_reach_all_scans(spark, out):
     found = read(spark, path).filter("k = 3")
     assert rows(found) == [(3, "b", 1)]
     assert found._jdf.queryExecution().executedPlan().toString().count("EqualTo(k,3)") >= 2
+
+
+def test_chosen_rows_are_not_chosen_from_once_more(spark, out, monkeypatch):
+    first, later = ((1, "a", 0), (2, "b", 0), (None, "n", 0)), ((2, "z", 1), (3, "c", 1), (None, "m", 1))
+    calls = []
+    with monkeypatch.context() as patched:
+        patched.setattr("loomstar.sinks.versions.pick_per_key", lambda *args: calls.append(args))
+        for new in (first, later):
+            sinks.upsert_versions(kv(spark, *new), f"{out}/t", ["k"], chosen=True)
+    assert not calls
+    for new in (first, later):
+        sinks.upsert_versions(kv(spark, *new), f"{out}/u", ["k"])
+    assert rows(read(spark, f"{out}/t")) == rows(read(spark, f"{out}/u"))

@@ -3,6 +3,7 @@
 import glob
 import gzip
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -52,6 +53,18 @@ def test_lines_do_not_move_once_more_for_a_choice_per_session(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_lines_move_to_their_order_as_the_values_of_an_event(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = plan(roles.event_log(spark, SF_DIR, names=True).drop("userAgent")).split("Exchange hashpartitioning(l_orderkey", 1)[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    moved = found.split("\n")[1]
+    names = set(re.findall(r"(?:\[|, |AS )(\w+)#\d+L?(?=[,\]])", moved))
+    assert names == {"l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag", "at", "p_brand", "length", "title"}
+
+
 def csv_log(spark, tmp_path, compression="none"):
     log = fixtures.events(spark).select(*EVENT_CSV.fieldNames()).withColumn("song", F.lit('two\n"lines"'))
     sinks.write_csv(log.repartition(3), str(tmp_path / compression), compression=compression)
@@ -81,6 +94,16 @@ def test_the_arrival_number_orders_as_arrival_does(spark, tmp_path):
     assert [r.at for r in sorted(rows, key=lambda r: r.arrival)] == sorted(r.at for r in rows)
 
 
+def test_places_of_blocks_may_be_stored(spark, tmp_path):
+    log = sources.read_events_csv(spark, csv_log(spark, tmp_path), multi_line=True, arrival=True)
+    log.write.parquet(str(tmp_path / "staged"))
+    staged = spark.read.parquet(str(tmp_path / "staged"))
+    numbers = lambda *places: sorted(map(str, sources.with_arrival_number(staged, *places).collect()))
+    stored = sinks.once(sources.arrival_places(staged))
+    assert numbers(stored) == numbers()
+    assert "Window" not in plan(sources.with_arrival_number(staged, stored))
+
+
 def test_derived_columns_are_written_and_not_needed_to_insert(spark, out):
     rows = spark.createDataFrame([(1, 10, "a"), (2, 11, "b")], "k int, part int, v string")
     more = spark.createDataFrame([(2, 11, "z"), (3, 10, "c"), (None, 12, "n")], "k int, part int, v string")
