@@ -878,7 +878,7 @@ def wide_tables(spark, sf_dir):
     """
     root, out = scratch_path(spark, "csv-log"), scratch_path(spark, "wide")
     log = event_log(spark, sf_dir, names=True).drop("userAgent")
-    log = sinks.once(op.pick_per_key(log, ["sessionId", "itemInSession"], ["ts"]))  # for both files sets
+    log = sinks.once(op.pick_per_key(log, ["sessionId", "itemInSession"], ["ts"]), wide.MANY_VALUED)  # for both files sets
     live = F.when(F.col("artist") != "", F.concat("song", F.lit("\n(live)"))).otherwise(F.col("song"))
     for name, rows in (("a", log), ("b", log.filter("location = 'F'").withColumn("song", live))):
         sinks.write_csv(rows, f"{root}/{name}", quote_all=False, compression="gzip")

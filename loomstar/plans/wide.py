@@ -11,7 +11,7 @@ from loomstar.operators.lookups import (
     song_data_by_session, song_data_by_user_and_session, user_data_by_song,
 )
 from loomstar.plans.steps import together
-from loomstar.sinks.tables import once, write_csv
+from loomstar.sinks.tables import once, packing, write_csv
 from loomstar.sinks.versions import read_versions, upsert_versions
 from loomstar.sources.files import ARRIVAL_NUMBER, arrival_places, read_events_csv, with_arrival_number
 
@@ -21,6 +21,11 @@ PLACEMENT = {
     "song_data_by_user_and_session": (["user_id", "session_id"], ["item_in_session"]),
     "user_data_by_song": (["song_title"], ["user_id"]),
 }
+#: Columns of the log and of the tables in which most rows have a value of their own.
+MANY_VALUED = (
+    "lastName", "registration", "sessionId", "song", "ts", "userId", "arrival_row",
+    "session_id", "song_title", "user_id", "user_last_name",
+)
 _BUILD = {
     "song_data_by_session": song_data_by_session,
     "song_data_by_user_and_session": song_data_by_user_and_session,
@@ -42,7 +47,7 @@ def wide_tables(
     """
     played = non_empty(read_events_csv(spark, root, multi_line, arrival=True), "artist")
     staged = f"{out}/staging_plays"
-    played.write.mode("overwrite").option("compression", "zstd").parquet(staged)
+    played.write.mode("overwrite").options(**packing(MANY_VALUED)).parquet(staged)
     plays = spark.read.schema(played.schema).parquet(staged)
     numbered = with_arrival_number(plays, once(arrival_places(plays)))  # for three tables
     tables = {name: build(numbered, [ARRIVAL_NUMBER]) for name, build in _BUILD.items()}
@@ -51,7 +56,7 @@ def wide_tables(
         # The choice per key has brought rows together; each file is sorted by place, so a
         # lookup opens a row group of it, and a hot session or song stays spread over files.
         key = [*PLACEMENT[name][0], *PLACEMENT[name][1]]
-        upsert_versions(tables[name], f"{out}/{name}", key, sort=key, chosen=True)
+        upsert_versions(tables[name], f"{out}/{name}", key, sort=key, chosen=True, options=packing(MANY_VALUED))
 
     merge = partial(write_csv, project_play11(plays), f"{out}/plays_csv", mode="overwrite", compression=compression)
     together(merge, *[partial(load, name) for name in PLACEMENT])

@@ -43,6 +43,14 @@ def layout(df: DataFrame, dist: Sequence[str] = (), sort: Sequence[str] = ()) ->
     return df.sortWithinPartitions(*sort) if sort else df
 
 
+def packing(many: Sequence[str] = ()) -> dict[str, str]:
+    """Parquet options for rows that are many: zstd, and no dictionary for columns of `many` values.
+
+    A dictionary that nearly every row adds to is given up only when it has grown large.
+    """
+    return {"compression": "zstd"} | {f"parquet.enable.dictionary#{c}": "false" for c in many}
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -50,15 +58,17 @@ def write_table(
     partition_by: Sequence[str] = (),
     dist: Sequence[str] = (),
     sort: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Write parquet, by default refusing to touch an existing table.
 
     Rows of one partition, or of one `dist` value, are brought together first,
     so that the write makes a few full files and not one sliver per task.
+    `options` are those of the files, such as `packing`.
     """
     # The writer needs rows ordered by partition; sorting by it first spares a second sort.
     order = [*partition_by, *sort] if sort else []
-    writer = layout(df, [*partition_by, *dist], order).write.mode(mode)
+    writer = layout(df, [*partition_by, *dist], order).write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -226,10 +236,10 @@ def absent(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFra
     )
 
 
-def once(df: DataFrame) -> DataFrame:
-    """`df` computed once and for all, in a file of the shared folder."""
+def once(df: DataFrame, many: Sequence[str] = ()) -> DataFrame:
+    """`df` computed once and for all, in a file of the shared folder, packed as columns of `many` values need it."""
     path = scratch_path(df.sparkSession, "incoming")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**packing(many)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

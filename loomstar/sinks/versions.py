@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,12 +88,14 @@ def read_versions(spark: SparkSession, path: str, keys: Sequence[str], schema: S
     return new if base is None else absent(scan(base), new, keys).unionByName(new)
 
 
-def _write(df: DataFrame, path: str, number: int, base: bool, dist: Sequence[str], sort: Sequence[str]) -> None:
+def _write(
+    df: DataFrame, path: str, number: int, base: bool, dist: Sequence[str], sort: Sequence[str], options: Mapping[str, str] | None
+) -> None:
     spark = df.sparkSession
     pending = f"{path}/_pending-{uuid.uuid4().hex}"
     source, files = _folder(spark, pending)
     try:
-        write_table(df, pending, dist=dist, sort=sort)
+        write_table(df, pending, dist=dist, sort=sort, options=options)
     except BaseException:
         files.delete(source, True)
         raise
@@ -103,14 +105,15 @@ def _write(df: DataFrame, path: str, number: int, base: bool, dist: Sequence[str
 
 
 def compact(
-    spark: SparkSession, path: str, keys: Sequence[str], schema: StructType, dist: Sequence[str] = (), sort: Sequence[str] = ()
+    spark: SparkSession, path: str, keys: Sequence[str], schema: StructType, dist: Sequence[str] = (), sort: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Make all versions one base, and drop those that an earlier base had replaced."""
     found = versions(spark, path)
     base, later = _live(found)
     if not later:
         return
-    _write(read_versions(spark, path, keys, schema), path, later[-1].number, True, dist, sort)
+    _write(read_versions(spark, path, keys, schema), path, later[-1].number, True, dist, sort, options)
     for v in found:
         if base is not None and (v.number, v.base) < (base.number, base.base):
             folder, files = _folder(spark, v.path)
@@ -126,20 +129,22 @@ def upsert_versions(
     sort: Sequence[str] = (),
     compact_at: float = COMPACT_AT,
     chosen: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Insert new keys and replace the rows of stored ones, last write wins.
 
     Of several rows with one key the last in `order_by` is taken, ties by the remaining
     columns; null keys are equal.  Rows that `pick_per_key` gave for these keys are `chosen`
-    and not chosen from once more.  Read the table with `read_versions`.
+    and not chosen from once more.  `options` are those of the files.  Read the table with
+    `read_versions`.
     """
     spark = df.sparkSession
     base, later = _live(versions(spark, path))
     if base is not None and later:
         held = sum(bytes_of(spark, v.path) for v in later)
         if held > compact_at * bytes_of(spark, base.path):
-            compact(spark, path, keys, df.schema, dist, sort)
+            compact(spark, path, keys, df.schema, dist, sort, options)
             base, later = _live(versions(spark, path))
     last = max((v.number for v in [*([base] if base else []), *later]), default=0)
     rows = df if chosen else pick_per_key(df, keys, order_by, "last")
-    _write(rows, path, last + 1, base is None, dist, sort)
+    _write(rows, path, last + 1, base is None, dist, sort, options)
